@@ -28,15 +28,19 @@ def clean(silver: DataFrame, flags: Sequence[str] = FLAG_NAMES) -> DataFrame:
 
 
 def mart(silver: DataFrame) -> DataFrame:
-    """Aggregate clean silver rows by (month, pickup zone, pickup hour).
+    """Aggregate clean silver rows by (month, pickup zone, pickup hour)."""
+    return aggregate(clean(silver))
+
+
+def aggregate(rows: DataFrame) -> DataFrame:
+    """The mart's aggregate over rows already known to be clean.
 
     Partial aggregation runs before the shuffle, so even a zone/hour holding a
     third of all trips is combined inside each task; the exchange carries at most
     one row per group per task.
     """
     return (
-        clean(silver)
-        .groupBy(F.col(MONTH), F.col("pu_location_id"), F.hour("pickup_datetime").alias("hora"))
+        rows.groupBy(F.col(MONTH), F.col("pu_location_id"), F.hour("pickup_datetime").alias("hora"))
         .agg(
             F.count(F.lit(1)).alias("viajes"),
             # decimal(10,2) summed stays exact: decimal(20,2)

@@ -1,0 +1,20 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only when it is proven to hold at most this many rows.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``dim`` only if it holds at most ``max_rows`` rows, else leave the
+    join to the planner (shuffle join, AQE may still convert it at run time).
+
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap whatever the
+    size of the dimension.
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim

@@ -21,12 +21,13 @@ def _seconds(expr: Column) -> Column:
     return expr.cast("int")
 
 
-def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trips_raw(spark: SparkSession, sf_dir: str, null_pickup_every: int | None = None) -> DataFrame:
     """B1: one raw trip per lineitem row, 19 columns as published plus the file month.
 
     About 1 row in 1,000 has its pickup 60 days earlier than its file month; five
     columns are null together on every 21st order; ``l_returnflag = 'R'`` line 7
-    carries a negative total.
+    carries a negative total. ``null_pickup_every`` blanks the pickup of every
+    n-th order, the case only the mart's not-null test catches.
     """
     li = table(spark, sf_dir, "lineitem")
     ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
@@ -40,10 +41,11 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     def unless_null(value: Column) -> Column:
         return F.when(~five_null, value)
 
+    shown_pickup = pickup if null_pickup_every is None else F.when(ok % null_pickup_every != 0, pickup)
     return li.select(
         (ln % 3 + 1).cast("bigint").alias("VendorID"),
         F.date_format("l_shipdate", "yyyy-MM").alias(FILE_MONTH),
-        pickup.alias("tpep_pickup_datetime"),
+        shown_pickup.alias("tpep_pickup_datetime"),
         F.timestamp_add("SECOND", _seconds((ok * 7 + pk * 13) % 5400 - 30 + late), pickup).alias(
             "tpep_dropoff_datetime"
         ),
