@@ -115,3 +115,21 @@ def test_canary(spark, lake):
     silver.materialize(spark, lake, "yellow", silver.landed_raw_months(spark, lake, "yellow"))
     path = gold.write_canary(spark, lake)
     assert spark.read.parquet(path).first()["filas_en_silver"] == 6000
+
+
+def test_catalog_names(spark, lake):
+    from tripmart import tables
+
+    silver.materialize(spark, lake, "yellow", silver.landed_raw_months(spark, lake, "yellow"))
+    gold.build(spark, lake)
+    names = tables.register_lake(spark, lake)
+    assert "silver.tlc_yellow" in names and "gold.viajes_por_zona_hora" in names
+    assert tables.exists(spark, "silver.tlc_yellow")
+    assert tables.partitions(spark, "silver.tlc_yellow").count() == 83
+    assert spark.table("silver.tlc_yellow").count() == 6000
+    for name in names:
+        tables.drop(spark, name)
+    for ns in ("silver", "gold"):
+        tables.drop_namespace(spark, ns)
+    assert "silver" not in tables.namespaces(spark)
+    assert spark.read.parquet(lake.silver("yellow")).count() == 6000  # files stay

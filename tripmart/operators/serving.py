@@ -107,10 +107,9 @@ def trips(mart: DataFrame, flt: TripFilter) -> DataFrame:
     rows = chosen.orderBy(*GRAIN)
     if flt.limit > 0:
         rows = rows.limit(flt.limit)
-        shown = F.least(total, F.lit(flt.limit).cast("bigint"))
-    else:
-        shown = total
-    return rows.select(
+    # `filas` is derived from the projected total, so the subquery runs once.
+    shown = F.least(F.col("total"), F.lit(flt.limit).cast("bigint")) if flt.limit > 0 else F.col("total")
+    projected = rows.select(
         F.col(MONTH),
         F.col("pu_location_id").alias("zona"),
         "hora",
@@ -118,9 +117,9 @@ def trips(mart: DataFrame, flt: TripFilter) -> DataFrame:
         "ingreso",
         "distancia_total",
         "duracion_media_seg",
-        shown.alias("filas"),
         total.alias("total"),
     )
+    return projected.select(*projected.columns[:-1], shown.alias("filas"), "total")
 
 
 def as_json(rows: DataFrame) -> DataFrame:

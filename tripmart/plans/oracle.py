@@ -169,10 +169,11 @@ _EVENTS_LANDED = """landed_events AS (
 )"""
 
 _MPH = f"""mph AS (
-  SELECT trip_distance / (CAST({DUR} AS DOUBLE) / CAST(3600 AS DOUBLE)) AS mph
+  SELECT mes, trip_distance / (CAST({DUR} AS DOUBLE) / CAST(3600 AS DOUBLE)) AS mph
   FROM silver WHERE {DUR} > 0 AND trip_distance IS NOT NULL
 ), ranked AS (
-  SELECT mph, row_number() OVER (ORDER BY mph) AS rn, count(*) OVER () AS n FROM mph
+  SELECT mes, mph, row_number() OVER (PARTITION BY mes ORDER BY mph) AS rn,
+         count(*) OVER (PARTITION BY mes) AS n FROM mph
 )"""
 
 
@@ -304,10 +305,10 @@ def oracle_sql() -> dict[str, str]:
             extra=_ZONES,
         ),
         "speed_profile": with_silver(
-            "SELECT max(n) AS n, "
+            "SELECT mes, max(n) AS n, "
             "max(CASE WHEN rn = CAST(ceil(CAST(0.5 AS DOUBLE) * n) AS BIGINT) THEN mph END) AS mph_p50, "
             "max(CASE WHEN rn = CAST(ceil(CAST(0.999 AS DOUBLE) * n) AS BIGINT) THEN mph END) AS mph_p999, "
-            "max(mph) AS mph_max FROM ranked",
+            "max(mph) AS mph_max FROM ranked GROUP BY mes",
             extra=_MPH,
         ),
         "negative_by_payment": with_silver(
