@@ -46,8 +46,24 @@ def is_missing(err: AnalysisException) -> bool:
     return any(m in text for m in PATH_MISSING)
 
 
+def _path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Ask the Hadoop file system directly when the JVM is reachable (classic
+    sessions); ``None`` when it is not (Spark Connect)."""
+    jvm = getattr(spark, "_jvm", None)
+    jsc = getattr(spark.sparkContext, "_jsc", None) if jvm is not None else None
+    if jvm is None or jsc is None:
+        return None
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(jsc.hadoopConfiguration()).exists(hpath))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a readable parquet table (schema resolves)."""
+    try:
+        if _path_exists(spark, path) is False:
+            return False  # skip the failing read and its error log
+    except Exception:  # noqa: BLE001 - fall back to reading
+        pass
     try:
         _ = spark.read.parquet(path).schema
         return True

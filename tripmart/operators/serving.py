@@ -97,19 +97,18 @@ class TripFilter:
 
 
 def trips(mart: DataFrame, flt: TripFilter) -> DataFrame:
-    """Q1: matching rows in grain order, limited, with ``total`` matching and ``filas`` returned.
+    """Q1: matching rows in grain order, limited, with ``total`` = rows matching.
 
-    The total is a scalar subquery (one small aggregate job), not a join; a
-    positive limit is a top-k (``TakeOrderedAndProject``), not a full sort.
+    The rows returned are the answer (their count is what the API reports as
+    returned); ``total`` is a scalar subquery evaluated once, not a join, and a
+    positive limit plans as a top-k (``TakeOrderedAndProject``), not a full sort.
     """
     chosen = flt.apply(mart)
     total = chosen.select(F.count(F.lit(1))).scalar()
     rows = chosen.orderBy(*GRAIN)
     if flt.limit > 0:
         rows = rows.limit(flt.limit)
-    # `filas` is derived from the projected total, so the subquery runs once.
-    shown = F.least(F.col("total"), F.lit(flt.limit).cast("bigint")) if flt.limit > 0 else F.col("total")
-    projected = rows.select(
+    return rows.select(
         F.col(MONTH),
         F.col("pu_location_id").alias("zona"),
         "hora",
@@ -119,7 +118,6 @@ def trips(mart: DataFrame, flt: TripFilter) -> DataFrame:
         "duracion_media_seg",
         total.alias("total"),
     )
-    return projected.select(*projected.columns[:-1], shown.alias("filas"), "total")
 
 
 def as_json(rows: DataFrame) -> DataFrame:

@@ -195,7 +195,6 @@ SERVE_LIMIT = 100
 
 _SERVE = f"""served AS (
   SELECT mes, pu_location_id AS zona, hora, viajes, ingreso, distancia_total, duracion_media_seg,
-         least((SELECT count(*) FROM mart WHERE hora = {SERVE_HOUR}), {SERVE_LIMIT}) AS filas,
          (SELECT count(*) FROM mart WHERE hora = {SERVE_HOUR}) AS total
   FROM mart WHERE hora = {SERVE_HOUR}
   ORDER BY mes, pu_location_id, hora
