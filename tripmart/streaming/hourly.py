@@ -105,13 +105,18 @@ def start_hourly_stream(
     )
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
+        # Day folders keep the changelog prunable: a reader of some days never
+        # scans the updates of others.
+        hour = F.col("window.start").cast("timestamp_ntz")
         (
             batch.select(
-                F.col("window.start").cast("timestamp_ntz").alias("hora"),
+                hour.alias("hora"),
                 "eventos",
                 F.lit(batch_id).cast("bigint").alias("lote"),
+                F.date_format(hour, "yyyy-MM-dd").alias("dia"),
             )
             .write.mode("append")
+            .partitionBy("dia")
             .parquet(sink)
         )
 
@@ -122,7 +127,12 @@ def start_hourly_stream(
     return writer.start()
 
 
-def read_hourly_sink(spark: SparkSession, sink: str) -> DataFrame:
-    """Latest count per hour from the changelog written by the stream."""
+def read_hourly_sink(spark: SparkSession, sink: str, days: list[str] | None = None) -> DataFrame:
+    """Latest count per hour from the changelog written by the stream.
+
+    ``days`` ("YYYY-MM-DD") restricts the read to those day folders.
+    """
     log = spark.read.parquet(sink)
+    if days:
+        log = log.where(F.col("dia").isin(days))
     return log.groupBy("hora").agg(F.max_by("eventos", "lote").alias("eventos"))
