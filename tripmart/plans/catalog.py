@@ -110,6 +110,16 @@ def q_rewrite_month(spark, sf_dir):
     return table.groupBy(MONTH).agg(F.count(F.lit(1)).alias("filas"))
 
 
+def q_silver_report(spark, sf_dir):
+    """The run report of a silver backfill (A2, A3, P3, S6, D5) as one row."""
+    lake, months = _landed_lake(spark, sf_dir, "report")
+    r = silver.materialize(spark, lake, "yellow", months)
+    row = (r.read, r.flagged, r.written, ",".join(r.extras), r.created, r.coherent, sum(r.cast_nulls.values()))
+    schema = ("leidas bigint, marcadas bigint, escritas bigint, sobrantes string, tabla_creada boolean, "
+              "coherente boolean, nulos_por_cast bigint")
+    return spark.createDataFrame([row], schema)
+
+
 def q_staged_publish(spark, sf_dir):
     """Write months to staging, validate there, publish only if clean."""
     from tripmart.plans import publish
@@ -290,5 +300,6 @@ QUERIES: dict[str, Query] = {
     "missing_hours": q_missing_hours,
     "hourly_events_stream": q_hourly_events_stream,
     "staged_publish": q_staged_publish,
+    "silver_report": q_silver_report,
     "contract_report": q_contract_report,
 }

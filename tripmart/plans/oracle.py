@@ -257,6 +257,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "rewrite_month": _PER_MONTH,
         "staged_publish": _PER_MONTH,
+        "silver_report": with_silver(
+            f"SELECT count(*) AS leidas, CAST(count_if({ANY}) AS BIGINT) AS marcadas, count(*) AS escritas, "
+            "'' AS sobrantes, true AS tabla_creada, true AS coherente, CAST(0 AS BIGINT) AS nulos_por_cast FROM silver"
+        ),
         "incremental_vs_full": with_mart(f"SELECT {_MART_COLS} FROM mart"),
         "canary_count": with_silver("SELECT count(*) AS filas_en_silver FROM silver"),
         "serve_trips": with_mart("SELECT * FROM served", extra=_SERVE),
