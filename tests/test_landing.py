@@ -60,3 +60,18 @@ def test_pending_months_stop_at_the_first_unpublished(spark):
     landed = spark.createDataFrame([("2024-01",)], "mes string")
     got = sorted(r.mes for r in L.pending_months(published, landed, months_past_last=2).collect())
     assert got == ["2024-02", "2024-03"]
+
+
+def test_landed_files_listing(spark, tmp_path):
+    from tripmart.sources.landed import landed_files
+
+    root = tmp_path / "landing.v1"
+    (root / "tlc").mkdir(parents=True)
+    (root / "tlc" / "a.bin").write_bytes(b"x" * 1024)
+    (root / "tlc" / "b.bin").write_bytes(b"y" * 500)
+    got = {r.key: r.length for r in landed_files(spark, f"file://{root}").collect()}
+    assert got == {"tlc/a.bin": 1024, "tlc/b.bin": 500}
+    listing = spark.createDataFrame([("tlc/a.bin", 200, "e1", 1024), ("tlc/b.bin", 200, "e2", 1024)], LISTING)
+    ledger = spark.createDataFrame([], LEDGER)
+    v = L.verify_sizes(L.classify(listing, ledger), landed_files(spark, f"file://{root}"))
+    assert {r.key: r.completo for r in v.collect()} == {"tlc/a.bin": True, "tlc/b.bin": False}

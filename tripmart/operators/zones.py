@@ -28,9 +28,15 @@ def with_zone_names(df: DataFrame, zones: DataFrame, id_col: str = "pu_location_
 
 
 def id_gaps(zones: DataFrame) -> DataFrame:
-    """Ids missing from 1..max(id). The range is built in the plan from the max."""
-    top = zones.agg(F.max(ZONE_ID).alias("top"))
-    expected = top.select(F.explode(F.sequence(F.lit(1), F.col("top"))).alias(ZONE_ID))
+    """Ids missing from 1..max(id).
+
+    The expected ids come from ``spark.range``, generated across tasks, so even a
+    catalogue with a stray huge id never expands inside one task.
+    """
+    top = zones.agg(F.max(ZONE_ID)).first()[0]
+    if top is None or top < 1:
+        return zones.sparkSession.createDataFrame([], f"{ZONE_ID} int")
+    expected = zones.sparkSession.range(1, int(top) + 1).select(F.col("id").cast("int").alias(ZONE_ID))
     return expected.join(zones.select(ZONE_ID), ZONE_ID, "left_anti")
 
 
