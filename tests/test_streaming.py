@@ -27,3 +27,31 @@ def test_missing_hours_include_dropped_files(spark):
     assert "05 04" in missing and "11 13" in missing
     present = {r.hora.strftime("%d %H") for r in hourly.hourly_counts(events).collect()}
     assert not (missing & present)
+
+
+def test_late_files_within_lateness_count_and_older_ones_are_dropped(spark):
+    import datetime as dt
+
+    root = scratch(spark, "test-late")
+    events = fixtures.landed_events(spark, SF_SMALL)
+    hourly.land_hourly_files(events, f"{root}/files")
+    args = (spark, f"{root}/files", f"{root}/counts", f"{root}/ckpt")
+    hourly.start_hourly_stream(*args).awaitTermination()
+    before = {r.hora: r.eventos for r in hourly.read_hourly_sink(spark, f"{root}/counts").collect()}
+    last = max(before)
+
+    def late_file(hour: dt.datetime, n: int) -> None:
+        rows = [(10_000_000 + i, hour + dt.timedelta(minutes=i), 1, "late", 1.0, "{}") for i in range(n)]
+        df = spark.createDataFrame(rows, hourly.EVENT_SCHEMA)
+        df.write.mode("append").option("compression", "gzip").option(
+            "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+        ).json(f"{root}/files/hora={hour:%Y-%m-%dT%H}")
+
+    within = last - dt.timedelta(hours=5)      # inside the 24 h lateness
+    too_old = last - dt.timedelta(days=5)      # behind the watermark
+    late_file(within, 3)
+    late_file(too_old, 4)
+    hourly.start_hourly_stream(*args).awaitTermination()
+    after = {r.hora: r.eventos for r in hourly.read_hourly_sink(spark, f"{root}/counts").collect()}
+    assert after[within] == before.get(within, 0) + 3
+    assert after.get(too_old) == before.get(too_old)

@@ -202,6 +202,41 @@ _SERVE = f"""served AS (
 )"""
 
 
+_CONTRACT_TYPES = (
+    ("VendorID", "INT"), ("tpep_pickup_datetime", "TIMESTAMP"), ("tpep_dropoff_datetime", "TIMESTAMP"),
+    ("passenger_count", "INT"), ("trip_distance", "DOUBLE"), ("RatecodeID", "INT"),
+    ("store_and_fwd_flag", "VARCHAR"), ("PULocationID", "INT"), ("DOLocationID", "INT"), ("payment_type", "INT"),
+    ("fare_amount", "DECIMAL(10,2)"), ("extra", "DECIMAL(10,2)"), ("mta_tax", "DECIMAL(10,2)"),
+    ("tip_amount", "DECIMAL(10,2)"), ("tolls_amount", "DECIMAL(10,2)"), ("improvement_surcharge", "DECIMAL(10,2)"),
+    ("total_amount", "DECIMAL(10,2)"), ("congestion_surcharge", "DECIMAL(10,2)"), ("Airport_fee", "DECIMAL(10,2)"),
+)
+
+
+def _contract_report() -> str:
+    losses = " + ".join(f"count_if({c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL)" for c, t in _CONTRACT_TYPES)
+    fixed = [
+        ("yellow as published", "ok", "19 columns; extras: none"),
+        ("airport_fee lower case", "ok", "19 columns; extras: none"),
+        ("two columns missing", "error",
+         "source of ''yellow'' lacks 2 contract columns: congestion_surcharge, Airport_fee"),
+        ("extra column", "ok", "19 columns; extras: cbd_congestion_fee"),
+        ("service without contract", "error", "no column contract for ''fhvhv''; known: yellow"),
+        ("duplicate up to case", "error",
+         "source of ''yellow'' has columns differing only in case: VendorID/vendorid"),
+    ]
+    rows = " UNION ALL ".join(f"SELECT '{a}' AS caso, '{b}' AS resultado, '{c}' AS detalle" for a, b, c in fixed)
+    return with_mart(
+        f"{rows} UNION ALL "
+        "SELECT 'type probe', CASE WHEN count(*) > 0 THEN 'ok' ELSE 'error' END, CAST(count(*) AS VARCHAR) || ' rows' "
+        "FROM trips_raw UNION ALL "
+        f"SELECT 'cast losses', CASE WHEN ({losses}) = 0 THEN 'ok' ELSE 'warning' END, "
+        f"CASE WHEN ({losses}) = 0 THEN 'none' ELSE 'some' END FROM trips_raw UNION ALL "
+        "SELECT 'income has two decimals', CASE WHEN count(*) = 0 THEN 'ok' ELSE 'error' END, "
+        "CAST(count(*) AS VARCHAR) || ' violations' FROM mart "
+        "WHERE NOT regexp_matches(CAST(ingreso AS VARCHAR), '^-?[0-9]+[.][0-9]{2}$')"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     flag_counts = ", ".join(f"CAST(count_if({f}) AS BIGINT) AS {f}" for f in FLAGS)
     return {
@@ -257,6 +292,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "rewrite_month": _PER_MONTH,
         "staged_publish": _PER_MONTH,
+        "contract_report": _contract_report(),
         "silver_report": with_silver(
             f"SELECT count(*) AS leidas, CAST(count_if({ANY}) AS BIGINT) AS marcadas, count(*) AS escritas, "
             "'' AS sobrantes, true AS tabla_creada, true AS coherente, CAST(0 AS BIGINT) AS nulos_por_cast FROM silver"
