@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.functions import months
 
@@ -57,11 +57,49 @@ def _path_exists(spark: SparkSession, path: str) -> bool | None:
     return bool(hpath.getFileSystem(jsc.hadoopConfiguration()).exists(hpath))
 
 
+def _list_dirs(spark: SparkSession, pattern: str) -> list[str] | None:
+    """Names of the folders matching a glob (one listing call, no file walk)."""
+    jvm = getattr(spark, "_jvm", None)
+    jsc = getattr(spark.sparkContext, "_jsc", None) if jvm is not None else None
+    if jvm is None or jsc is None:
+        return None
+    hpath = jvm.org.apache.hadoop.fs.Path(pattern)
+    statuses = hpath.getFileSystem(jsc.hadoopConfiguration()).globStatus(hpath)
+    return [] if statuses is None else [st.getPath().getName() for st in statuses if st.isDirectory()]
+
+
+def month_folders(spark: SparkSession, root: str) -> list[str] | None:
+    """Months present as ``mes=YYYY-MM`` folders of a partitioned table, or None
+    when the file system is not reachable from the driver."""
+    try:
+        names = _list_dirs(spark, f"{root.rstrip('/')}/mes=*")
+    except Exception:  # noqa: BLE001 - caller falls back to Spark's listing
+        return None
+    if names is None:
+        return None
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("mes="))
+
+
+def read_months(spark: SparkSession, root: str, months) -> DataFrame:
+    """Read only the given month partitions of a table (``mes`` kept as a column).
+
+    Only those folders are listed, so the cost does not grow with the number of
+    months the table holds.
+    """
+    root = root.rstrip("/")
+    return spark.read.option("basePath", root).parquet(*[f"{root}/mes={m}" for m in months])
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable parquet table (schema resolves)."""
+    """True when ``path`` holds a table.
+
+    With the driver's file system at hand, the folder's existence decides (no
+    listing of the table's files); otherwise the schema must resolve.
+    """
     try:
-        if _path_exists(spark, path) is False:
-            return False  # skip the failing read and its error log
+        found = _path_exists(spark, path)
+        if found is not None:
+            return found
     except Exception:  # noqa: BLE001 - fall back to reading
         pass
     try:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.flags import FLAG_NAMES, MONTH, duration_seconds, is_clean
-from tripmart.lake import CANARY_NAME, Lake, table_exists
+from tripmart.lake import CANARY_NAME, Lake, month_folders, read_months, table_exists
 
 GRAIN = (MONTH, "pu_location_id", "hora")
 MART_COLUMNS = (*GRAIN, "viajes", "ingreso", "distancia_total", "duracion_media_seg")
@@ -82,14 +82,20 @@ def refresh(
     """
     target = target or lake.gold()
     wanted = list(months)
-    source = spark.read.parquet(lake.silver(service)).where(F.col(MONTH).isin(wanted))
-    m = mart(source)
-    if not table_exists(spark, target):
-        _write(m, target, dynamic=False)
+    in_silver = month_folders(spark, lake.silver(service))
+    if in_silver is None:
+        source = spark.read.parquet(lake.silver(service)).where(F.col(MONTH).isin(wanted))
     else:
-        _write(m, target, dynamic=True)
-    present = {r[0] for r in spark.read.parquet(target).where(F.col(MONTH).isin(wanted)).select(MONTH).distinct().collect()}
-    missing = sorted(set(wanted) - present)
+        absent = sorted(set(wanted) - set(in_silver))
+        if absent:
+            raise EmptyMart(f"months not in silver: {', '.join(absent)}")
+        source = read_months(spark, lake.silver(service), wanted)
+    m = mart(source)
+    _write(m, target, dynamic=table_exists(spark, target))
+    in_mart = month_folders(spark, target)
+    if in_mart is None:
+        in_mart = [r[0] for r in spark.read.parquet(target).select(MONTH).distinct().collect()]
+    missing = sorted(set(wanted) - set(in_mart))
     if missing:
         raise EmptyMart(f"months without clean trips, mart partition not replaced: {', '.join(missing)}")
     return target
