@@ -1,7 +1,6 @@
 """Landing outcomes per scenario (A6) and on the documents listing."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID
 from tripmart.operators import landing as L

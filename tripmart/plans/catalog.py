@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tripmart.functions.flags import MONTH, any_flag
 from tripmart.lake import Lake
 from tripmart.operators import checks, gold, landing, profile, serving, silver, zones
-from tripmart.operators import contract as C
 from tripmart.plans import oracle
 from tripmart.session import configure, scratch
 from tripmart.sources import fixtures
