@@ -19,6 +19,10 @@ from tripmart.sources import fixtures  # noqa: E402
 from tripmart.streaming import hourly  # noqa: E402
 
 NOTES = {
+    "raw landing (rebalance by month)": (
+        "Hash exchange by month marked REBALANCE: adaptive execution splits a month above the "
+        "advisory size and merges small ones; no range-sampling pass."
+    ),
     "silver write (scan -> typed projection -> flags)": (
         "One stage, no exchange: the file split that is read is the split that is written; "
         "casts and flags run inside one whole-stage-codegen span."
@@ -50,6 +54,9 @@ def main(argv):
     s = spark.read.parquet(lake.silver("yellow"))
     m = serving.read_mart(spark, lake.gold())
     plans = {
+        "raw landing (rebalance by month)": fixtures.trips_raw(spark, sf_dir)
+        .withColumnRenamed("mes_archivo", "mes")
+        .hint("rebalance", "mes"),
         "silver write (scan -> typed projection -> flags)": silver.transform(raw, "yellow")[0],
         "gold mart over written silver": gold.mart(s),
         "gold refresh of two months": gold.mart(s.where(F.col("mes").isin(months[:2]))),
