@@ -46,7 +46,7 @@ def is_missing(err: AnalysisException) -> bool:
     return any(m in text for m in PATH_MISSING)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool | None:
+def path_exists(spark: SparkSession, path: str) -> bool | None:
     """Ask the Hadoop file system directly when the JVM is reachable (classic
     sessions); ``None`` when it is not (Spark Connect)."""
     jvm = getattr(spark, "_jvm", None)
@@ -97,7 +97,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     listing of the table's files); otherwise the schema must resolve.
     """
     try:
-        found = _path_exists(spark, path)
+        found = path_exists(spark, path)
         if found is not None:
             return found
     except Exception:  # noqa: BLE001 - fall back to reading
