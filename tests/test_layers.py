@@ -133,3 +133,13 @@ def test_catalog_names(spark, lake):
         tables.drop_namespace(spark, ns)
     assert "silver" not in tables.namespaces(spark)
     assert spark.read.parquet(lake.silver("yellow")).count() == 6000  # files stay
+
+
+def test_backfill_of_a_range(spark, lake):
+    months = silver.landed_raw_months(spark, lake, "yellow")
+    first, last = months[-3], months[-1]
+    y, m = map(int, last.split("-"))
+    beyond = f"{y + (m == 12):04d}-{1 if m == 12 else m + 1:02d}"
+    result = silver.backfill(spark, lake, "yellow", first, beyond)
+    assert result.not_landed == (beyond,)
+    assert result.report.months == (months[-3], months[-2], months[-1]) and result.report.coherent
