@@ -105,7 +105,9 @@ def start_hourly_stream(
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
         # Day folders keep the changelog prunable: a reader of some days never
-        # scans the updates of others.
+        # scans the updates of others. A batch's update holds one row per hour it
+        # touched, so it is shuffled by day (cheap) to write one file per day,
+        # while the stateful stage above keeps its own parallelism.
         hour = F.col("window.start").cast("timestamp_ntz")
         (
             batch.select(
@@ -114,6 +116,7 @@ def start_hourly_stream(
                 F.lit(batch_id).cast("bigint").alias("lote"),
                 F.date_format(hour, "yyyy-MM-dd").alias("dia"),
             )
+            .repartition("dia")
             .write.mode("append")
             .partitionBy("dia")
             .parquet(sink)
