@@ -74,3 +74,10 @@ def test_landed_files_listing(spark, tmp_path):
     ledger = spark.createDataFrame([], LEDGER)
     v = L.verify_sizes(L.classify(listing, ledger), landed_files(spark, f"file://{root}"))
     assert {r.key: r.completo for r in v.collect()} == {"tlc/a.bin": True, "tlc/b.bin": False}
+
+
+def test_quoted_and_absent_markers(spark):
+    listing = spark.createDataFrame([("a", 200, '"abc"', 1), ("b", 200, None, 1)], LISTING)
+    ledger = spark.createDataFrame([("a", "abc", 1), ("b", "", 1)], LEDGER)
+    got = {r.key: (r.etag, r.resultado) for r in L.classify(listing, ledger).collect()}
+    assert got == {"a": ("abc", L.ALREADY_PRESENT), "b": ("", L.ALREADY_PRESENT)}

@@ -31,6 +31,11 @@ def _isin(col: Column, values: Sequence[int]) -> Column:
     return col.isin(list(values)) if values else F.lit(False)
 
 
+def source_marker(etag: Column) -> Column:
+    """The marker as recorded: surrounding quotes stripped, an absent one empty."""
+    return F.coalesce(F.regexp_replace(etag, r'^"+|"+$', ""), F.lit(""))
+
+
 def classify(
     listing: DataFrame,
     ledger: DataFrame,
@@ -44,7 +49,7 @@ def classify(
     key that passed the status and size checks.
     """
     recorded = ledger.select(F.col("key"), F.col("etag").alias("recorded_etag"))
-    joined = listing.join(recorded, "key", "left")
+    joined = listing.withColumn("etag", source_marker(F.col("etag"))).join(recorded, "key", "left")
     status, size, etag, rec = (F.col(c) for c in ("status", "declared_size", "etag", "recorded_etag"))
     outcome = (
         F.when(_isin(status, excused), F.lit(NOT_AVAILABLE))

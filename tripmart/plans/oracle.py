@@ -123,7 +123,7 @@ _PER_MONTH = with_silver("SELECT mes, count(*) AS filas FROM silver GROUP BY mes
 
 _LISTING = """listing AS (
   SELECT doc_id AS key, CASE WHEN doc_id % 17 = 0 THEN 403 ELSE 200 END AS status,
-         md5(text) AS etag, n_chars AS declared_size
+         coalesce(regexp_replace(md5(text), '^"+|"+$', '', 'g'), '') AS etag, n_chars AS declared_size
   FROM documents
 ), ledger AS (
   SELECT doc_id AS key, CASE WHEN doc_id % 5 = 0 THEN md5('old') ELSE md5(text) END AS etag,
