@@ -84,13 +84,18 @@ def start_hourly_stream(
     lateness: str = "24 hours",
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    state_partitions: int = 16,
 ):
     """Count events per hour from landed files as a Structured Streaming query.
 
     ``lateness`` is the watermark delay: rows older than the latest event minus
     this delay are late and dropped by the aggregate, and the state of hours
-    past the watermark is released. Returns the ``StreamingQuery``.
+    past the watermark is released. ``state_partitions`` sizes the state store:
+    after map-side partial aggregation the state holds one row per open hour,
+    so it stays small however large the input is. It is fixed in the
+    checkpoint at the first start. Returns the ``StreamingQuery``.
     """
+    spark = _stream_session(spark, state_partitions)
     reader = spark.readStream.schema(EVENT_SCHEMA).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -129,6 +134,18 @@ def start_hourly_stream(
     return writer.start()
 
 
+def _stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A sibling session (same cluster, own SQL settings) whose shuffle width is
+    the state width, leaving the caller's settings untouched."""
+    try:
+        child = spark.newSession()
+    except Exception:  # noqa: BLE001 - sessions that cannot fork keep their own setting
+        return spark
+    child.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return child
+
+
 def read_hourly_sink(spark: SparkSession, sink: str, days: list[str] | None = None) -> DataFrame:
     """Latest count per hour from the changelog written by the stream.
 
