@@ -55,3 +55,17 @@ def test_late_files_within_lateness_count_and_older_ones_are_dropped(spark):
     after = {r.hora: r.eventos for r in hourly.read_hourly_sink(spark, f"{root}/counts").collect()}
     assert after[within] == before.get(within, 0) + 3
     assert after.get(too_old) == before.get(too_old)
+
+
+def test_many_micro_batches_give_the_batch_counts(spark):
+    root = scratch(spark, "test-multi")
+    events = fixtures.landed_events(spark, SF_SMALL)
+    hourly.land_hourly_files(events, f"{root}/files")
+    q = hourly.start_hourly_stream(
+        spark, f"{root}/files", f"{root}/counts", f"{root}/ckpt", lateness="3650 days", max_files_per_trigger=100
+    )
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) > 1
+    streamed = hourly.read_hourly_sink(spark, f"{root}/counts")
+    batch = hourly.hourly_counts(events)
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
