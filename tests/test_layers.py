@@ -143,3 +143,21 @@ def test_backfill_of_a_range(spark, lake):
     result = silver.backfill(spark, lake, "yellow", first, beyond)
     assert result.not_landed == (beyond,)
     assert result.report.months == (months[-3], months[-2], months[-1]) and result.report.coherent
+
+
+def test_registration_picks_up_new_months(spark):
+    from tripmart import tables
+
+    lake = Lake(scratch(spark, "test-register"))
+    silver.land_raw(fixtures.trips_raw(spark, SF_SMALL), lake)
+    months = silver.landed_raw_months(spark, lake, "yellow")
+    silver.materialize(spark, lake, "yellow", months[:2])
+    tables.register(spark, "silver_reg.tlc_yellow", lake.silver("yellow"))
+    assert tables.partitions(spark, "silver_reg.tlc_yellow").count() == 2
+    silver.materialize(spark, lake, "yellow", months[2:4])
+    tables.register(spark, "silver_reg.tlc_yellow", lake.silver("yellow"))
+    assert tables.partitions(spark, "silver_reg.tlc_yellow").count() == 4
+    expected = spark.read.parquet(lake.silver("yellow")).count()
+    assert spark.table("silver_reg.tlc_yellow").count() == expected
+    tables.drop(spark, "silver_reg.tlc_yellow")
+    tables.drop_namespace(spark, "silver_reg")
