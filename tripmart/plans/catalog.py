@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tripmart.functions.flags import MONTH, any_flag
 from tripmart.lake import Lake
 from tripmart.operators import checks, gold, landing, profile, serving, silver, zones
-from tripmart.plans import oracle
+from tripmart.plans import oracle, publish, reports
 from tripmart.session import configure, scratch
 from tripmart.sources import fixtures
 from tripmart.sources import zones as zone_source
@@ -121,8 +121,6 @@ def q_silver_report(spark, sf_dir):
 
 def q_staged_publish(spark, sf_dir):
     """Write months to staging, validate there, publish only if clean."""
-    from tripmart.plans import publish
-
     lake, months = _landed_lake(spark, sf_dir, "staged")
     publish.stage_validate_publish(spark, lake, "yellow", months)
     table = spark.read.parquet(lake.silver("yellow"))
@@ -258,8 +256,6 @@ def q_hourly_events_stream(spark, sf_dir):
 # --- contract ---------------------------------------------------------------
 def q_contract_report(spark, sf_dir):
     """P2-P4, S7, D10 as one report: (caso, resultado, detalle)."""
-    from tripmart.plans import reports
-
     return reports.contract_report(spark, sf_dir)
 
 
