@@ -46,6 +46,10 @@ def main() -> None:
     silver.land_raw(fixtures.trips_raw(spark, WARMUP_DIR), warm)
     silver.materialize(spark, warm, "yellow", silver.landed_raw_months(spark, warm, "yellow"))
     gold.build(spark, warm)
+    warm_hourly = scratch(spark, "bench-warmup-hourly")
+    hourly.land_hourly_files(fixtures.landed_events(spark, WARMUP_DIR), f"{warm_hourly}/files")
+    hourly.start_hourly_stream(spark, f"{warm_hourly}/files", f"{warm_hourly}/counts",
+                               f"{warm_hourly}/ckpt").awaitTermination()
 
     step("land_raw", lambda: silver.land_raw(fixtures.trips_raw(spark, sf_dir), lake))
     months = silver.landed_raw_months(spark, lake, "yellow")
