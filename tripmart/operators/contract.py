@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 # Name of the column that carries the month of the source file when a raw
 # DataFrame spans several files (fixtures, backfills). Never a contract column.
@@ -123,13 +124,32 @@ def typed_columns(resolution: Resolution) -> list[Column]:
     return [_quoted(c.found).try_cast(c.type).alias(c.silver) for c in resolution.columns]
 
 
-def cast_loss_counts(resolution: Resolution) -> list[Column]:
-    """Per column, how many non-null source values the cast turned into null."""
+# Casts that never turn a non-null value into null (besides the identity).
+_LOSSLESS = {
+    ("tinyint", "int"), ("smallint", "int"), ("tinyint", "bigint"), ("smallint", "bigint"),
+    ("int", "bigint"), ("float", "double"), ("int", "double"), ("bigint", "double"),
+    ("timestamp", "timestamp_ntz"), ("date", "timestamp_ntz"),
+}
+
+
+def cast_can_lose(source: DataType, target: str) -> bool:
+    src = source.simpleString()
+    return not (src == target or target == "string" or (src, target) in _LOSSLESS)
+
+
+def cast_loss_counts(resolution: Resolution, schema: StructType | None = None) -> list[Column]:
+    """Per column, how many non-null source values the cast turned into null.
+
+    With the source ``schema`` given, casts that cannot lose a value are left
+    out, so the count costs nothing for columns that already have their type.
+    """
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
     return [
         F.count_if(_quoted(c.found).isNotNull() & _quoted(c.found).try_cast(c.type).isNull()).alias(
             f"cast_nulls_{c.silver}"
         )
         for c in resolution.columns
+        if c.found not in types or cast_can_lose(types[c.found], c.type)
     ]
 
 

@@ -38,7 +38,9 @@ def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         _resolution_case("duplicate up to case", "yellow", [*cols, "vendorid"]),
     ]
     problems = C.type_probe(raw)
-    counts = raw.agg(F.count(F.lit(1)).alias("rows"), *C.cast_loss_counts(C.resolve("yellow", cols))).first()
+    counts = raw.agg(
+        F.count(F.lit(1)).alias("rows"), *C.cast_loss_counts(C.resolve("yellow", cols), raw.schema)
+    ).first()
     rows = counts["rows"]
     probe_ok = not problems and rows > 0
     cases.append(("type probe", "ok" if probe_ok else "error", "; ".join(problems) or f"{rows} rows"))
