@@ -142,6 +142,9 @@ def _stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
     except Exception:  # noqa: BLE001 - sessions that cannot fork keep their own setting
         return spark
     child.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    # Each trigger lists the source folder; a few tasks listing many folders each
+    # beat one task per hourly folder.
+    child.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(max(2 * state_partitions, 32)))
     child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return child
 
