@@ -5,6 +5,8 @@ Usage: python tools/explain_plans.py [sf_dir]
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import sys
 
@@ -76,10 +78,10 @@ def main(argv):
     out = ["# Physical plans", "",
            f"Generated by `tools/explain_plans.py` on `{sf_dir}` with local[8]; scratch paths shortened.", ""]
     for name, df in plans.items():
-        text = df._jdf.queryExecution().explainString(
-            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-        )
-        text = text.replace(root, "<lake>")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        text = buf.getvalue().replace(root, "<lake>")
         out += [f"## {name}", "", NOTES[name], "", "```", text.strip(), "```", ""]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "PLANS.md")
     with open(path, "w") as fh:
