@@ -13,9 +13,14 @@ from tripmart.functions.flags import FLAG_NAMES, MONTH, any_flag, duration_secon
 
 # Columns that the source leaves null together (with passenger_count).
 NULL_TOGETHER = ("passenger_count", "ratecode_id", "store_and_fwd_flag", "congestion_surcharge", "airport_fee")
-# Relative rank error of the speed sketch is 1 / accuracy: exact while a month has
-# fewer rows than this, bounded memory per task however large the table is.
-SPEED_ACCURACY = 100_000
+# KLL quantile sketch size (the largest the sketch allows): a month's speeds are
+# kept exactly while they fit the sketch, beyond that the rank error is about
+# 1/k; memory per sketch stays a few MB however large the month is.
+SPEED_SKETCH_K = 65_535
+# Sketches are merged in two levels: per (month, task group), then per month,
+# so a month holding a third of all rows never funnels every task's sketch into
+# one merge.
+SPEED_MERGE_GROUPS = 64
 SPEED_QUANTILES = (0.5, 0.999)
 
 
@@ -78,16 +83,27 @@ def speed_profile(silver: DataFrame) -> DataFrame:
     """A11 per month: p50, p99.9 and max of implied mph, with the row count.
 
     A percentile is the value at rank ceil(q * n) of the month's sorted speeds,
-    from a mergeable quantile sketch: partial per task, merged per month after
-    the shuffle, so the merges are spread over months rather than one task.
+    read from a mergeable KLL sketch. Each task's rows go to one of
+    ``SPEED_MERGE_GROUPS`` merge groups; sketches are built per (month, group)
+    and then merged per month, so no single task merges a hot month's sketches
+    from every task.
     """
-    mph = implied_mph(silver)
-    q = mph.groupBy(MONTH).agg(
+    mph = implied_mph(silver).withColumn("_group", F.spark_partition_id() % SPEED_MERGE_GROUPS)
+    per_group = mph.groupBy(MONTH, "_group").agg(
         F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("mph", list(SPEED_QUANTILES), SPEED_ACCURACY).alias("qs"),
+        F.kll_sketch_agg_double("mph", SPEED_SKETCH_K).alias("sketch"),
         F.max("mph").alias("mph_max"),
     )
-    return q.select(MONTH, "n", F.col("qs")[0].alias("mph_p50"), F.col("qs")[1].alias("mph_p999"), "mph_max")
+    per_month = per_group.groupBy(MONTH).agg(
+        F.sum("n").alias("n"),
+        F.kll_merge_agg_double("sketch").alias("sketch"),
+        F.max("mph_max").alias("mph_max"),
+    )
+    quantile = lambda q: F.kll_sketch_get_quantile_double("sketch", F.lit(q))
+    p50, p999 = SPEED_QUANTILES
+    return per_month.select(
+        MONTH, "n", quantile(p50).alias("mph_p50"), quantile(p999).alias("mph_p999"), "mph_max"
+    )
 
 
 def negative_by_payment(silver: DataFrame) -> DataFrame:
