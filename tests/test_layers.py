@@ -161,3 +161,18 @@ def test_registration_picks_up_new_months(spark):
     assert spark.table("silver_reg.tlc_yellow").count() == expected
     tables.drop(spark, "silver_reg.tlc_yellow")
     tables.drop_namespace(spark, "silver_reg")
+
+
+def test_refresh_of_a_month_not_in_silver_is_refused(spark, lake):
+    months = silver.landed_raw_months(spark, lake, "yellow")
+    silver.materialize(spark, lake, "yellow", months)
+    gold.build(spark, lake)
+    with pytest.raises(gold.EmptyMart, match="2099-01"):
+        gold.refresh(spark, lake, ["2099-01"])
+
+
+def test_reading_a_missing_mart_raises(spark):
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        serving.read_mart(spark, scratch(spark, "no-mart") + "/gold/viajes_por_zona_hora")
