@@ -176,3 +176,14 @@ def test_reading_a_missing_mart_raises(spark):
 
     with pytest.raises(AnalysisException):
         serving.read_mart(spark, scratch(spark, "no-mart") + "/gold/viajes_por_zona_hora")
+
+
+def test_named_mart(spark, lake):
+    months = silver.landed_raw_months(spark, lake, "yellow")
+    silver.materialize(spark, lake, "yellow", months)
+    gold.build(spark, lake)
+    path = gold.build_with_names(spark, lake, fixtures.zones(spark, SF_SMALL))
+    named = spark.read.parquet(path)
+    assert named.count() == spark.read.parquet(lake.gold()).count()
+    assert named.where(F.col("zona_nombre").isNull()).count() == 0
+    assert {"borough", "zona_nombre", "service_zone"} <= set(named.columns)

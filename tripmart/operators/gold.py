@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.flags import FLAG_NAMES, MONTH, duration_seconds, is_clean
 from tripmart.lake import CANARY_NAME, Lake, month_folders, read_months, table_exists
+from tripmart.operators.zones import with_zone_names
 
 GRAIN = (MONTH, "pu_location_id", "hora")
 MART_COLUMNS = (*GRAIN, "viajes", "ingreso", "distancia_total", "duracion_media_seg")
@@ -101,6 +102,22 @@ def refresh(
     return target
 
 
+NAMED_MART = "viajes_por_zona_hora_con_zona"
+
+
+def build_with_names(spark: SparkSession, lake: Lake, zones: DataFrame) -> str:
+    """The mart with pickup-zone names, rebuilt from the written mart.
+
+    The zone catalogue joins through a size-checked broadcast; unmatched ids keep
+    their rows with null names, and the zones that are data ("Unknown",
+    "Outside of NYC") come out as names, never as nulls.
+    """
+    target = lake.gold(NAMED_MART)
+    named = with_zone_names(spark.read.parquet(lake.gold()), zones)
+    _write(named, target, dynamic=False)
+    return target
+
+
 def canary(silver: DataFrame) -> DataFrame:
     """One row, one column: how many rows silver holds."""
     return silver.agg(F.count(F.lit(1)).alias("filas_en_silver"))
