@@ -33,6 +33,12 @@ def test_commands_end_to_end(spark, capsys):
     code, rep = run(capsys, spark, "gold", "--meses", months[0], "--lake", lake.root)
     assert code == 0 and rep["filas"] == 3887
 
+    from tripmart.sources import zones as zone_source
+
+    zpath = zone_source.write_zones(fixtures.zones(spark, SF_SMALL), scratch(spark, "cli-zones") + "/zonas.csv")
+    code, rep = run(capsys, spark, "gold", "--zonas", zpath, "--lake", lake.root)
+    assert code == 0 and spark.read.parquet(rep["con_zona"]).count() == 3887
+
     code, rep = run(capsys, spark, "test", "--lake", lake.root)
     assert code == 0 and rep["violaciones"] == []
 

@@ -1,7 +1,7 @@
 """Command line over the library: the commands a user of the reference runs.
 
     python -m tripmart silver yellow --mes 2024-01 --lake ROOT [--hasta 2024-06]
-    python -m tripmart gold --lake ROOT [--meses 2024-01,2024-02]
+    python -m tripmart gold --lake ROOT [--meses 2024-01,2024-02] [--zonas zonas.csv]
     python -m tripmart test --lake ROOT
     python -m tripmart viajes --lake ROOT [--mes M] [--zona Z] [--hora H] [--limite N]
     python -m tripmart salud --lake ROOT
@@ -27,6 +27,7 @@ from tripmart.lake import Lake
 from tripmart.operators import checks, gold, serving, silver
 from tripmart.operators.contract import InvalidSchema, NoContract
 from tripmart.session import configure
+from tripmart.sources.zones import read_zones
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -38,6 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--hasta", help="last month of a range backfill")
     g = sub.add_parser("gold", help="rebuild the mart, or refresh some months")
     g.add_argument("--meses", help="comma-separated months to refresh")
+    g.add_argument("--zonas", help="zone catalogue CSV; also writes the mart with zone names")
     sub.add_parser("test", help="data tests over the mart; fails when any returns rows")
     v = sub.add_parser("viajes", help="filtered, limited trips of the mart as JSON")
     for name in ("mes", "zona", "hora", "limite"):
@@ -83,7 +85,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 gold.refresh(spark, lake, [M.validate_month(m) for m in args.meses.split(",")], args.svc)
             else:
                 gold.build(spark, lake, args.svc)
-            _print({"mart": lake.gold(), "filas": spark.read.parquet(lake.gold()).count()})
+            out = {"mart": lake.gold(), "filas": spark.read.parquet(lake.gold()).count()}
+            if args.zonas:
+                out["con_zona"] = gold.build_with_names(spark, lake, read_zones(spark, args.zonas))
+            _print(out)
             return 0
         if args.command == "test":
             mart = serving.read_mart(spark, lake.gold())
