@@ -31,3 +31,16 @@ def test_month_from_path(spark):
 
     df = spark.createDataFrame([("s3a://b/raw/tlc/yellow/mes=2024-03/part-0.parquet",)], "p string")
     assert df.select(M.month_from_path(F.col("p"))).first()[0] == "2024-03"
+
+
+def test_cluster_conf_applies(spark):
+    from tripmart.session import CLUSTER_CONF, apply_cluster_conf
+
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF if k.startswith("spark.sql.")}
+    try:
+        apply_cluster_conf(spark)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("512m", str(512 * 1024 * 1024) + "b")
+    finally:
+        for k, v in before.items():
+            if v is not None:
+                spark.conf.set(k, v)
