@@ -33,6 +33,15 @@ def flag_profile(silver: DataFrame) -> DataFrame:
     )
 
 
+def flag_profile_by_month(silver: DataFrame) -> DataFrame:
+    """A4 per partition: rows, flagged rows and one count per flag for every month."""
+    return silver.groupBy(MONTH).agg(
+        F.count(F.lit(1)).alias("filas"),
+        F.count_if(any_flag()).alias("marcadas"),
+        *[F.count_if(F.col(n)).alias(n) for n in FLAG_NAMES],
+    )
+
+
 def out_of_month(silver: DataFrame) -> DataFrame:
     """A6 per month: rows whose pickup falls outside the partition month."""
     outside = F.date_format("pickup_datetime", "yyyy-MM") != F.col(MONTH)

@@ -44,6 +44,10 @@ def q_flag_profile(spark, sf_dir):
     return profile.flag_profile(silver_of(spark, sf_dir))
 
 
+def q_flag_profile_by_month(spark, sf_dir):
+    return profile.flag_profile_by_month(silver_of(spark, sf_dir))
+
+
 def q_flag_nulls(spark, sf_dir):
     return checks.flag_nulls(silver_of(spark, sf_dir))
 
@@ -262,6 +266,7 @@ def q_contract_report(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "silver_typed": q_silver_typed,
     "flag_profile": q_flag_profile,
+    "flag_profile_by_month": q_flag_profile_by_month,
     "flag_nulls": q_flag_nulls,
     "out_of_month": q_out_of_month,
     "flagged_share": q_flagged_share,

@@ -244,6 +244,10 @@ def oracle_sql() -> dict[str, str]:
         "flag_profile": with_silver(
             f"SELECT count(*) AS filas, CAST(count_if({ANY}) AS BIGINT) AS marcadas, {flag_counts} FROM silver"
         ),
+        "flag_profile_by_month": with_silver(
+            f"SELECT mes, count(*) AS filas, CAST(count_if({ANY}) AS BIGINT) AS marcadas, {flag_counts} "
+            "FROM silver GROUP BY mes"
+        ),
         "flag_nulls": with_silver(
             "SELECT " + ", ".join(f"CAST(count_if({f} IS NULL) AS BIGINT) AS {f}" for f in FLAGS) + " FROM silver"
         ),
