@@ -37,7 +37,10 @@ NOTES = {
     "zone names (checked broadcast)": "The catalogue is broadcast after its size was proven small.",
     "gold vs silver": "Both sides aggregated to one row per month before the join.",
     "serving top-k with total": "TakeOrderedAndProject (no full sort); the total is one scalar subquery.",
-    "speed profile per month": "Sketch partials per task, merged per month after the exchange.",
+    "speed profile per month": (
+        "KLL sketches built per (month, task group), finished after the first exchange, then merged "
+        "per month after the second: no single task merges every task's sketch of a hot month."
+    ),
     "landing classification": "Equi join on the object key; the planner picks broadcast or sort-merge by size.",
     "pending months": "Range built with sequence from aggregated bounds; anti joins on month.",
     "hourly counts": "Partial aggregation by hour before the exchange.",
