@@ -22,6 +22,9 @@ def test_commands_end_to_end(spark, capsys):
     code, rep = run(capsys, spark, "silver", "yellow", "--mes", months[0], "--hasta", months[-1], "--lake", lake.root)
     assert code == 0 and rep["leidas"] == rep["escritas"] == 6000 and rep["tabla_creada"]
 
+    code, rep = run(capsys, spark, "silver", "yellow", "--mes", months[1], "--gold", "--lake", lake.root)
+    assert code == 0 and rep["mart"].endswith("viajes_por_zona_hora")
+
     code, rep = run(capsys, spark, "silver", "yellow", "--mes", "2099-01", "--lake", lake.root)
     assert code == 1 and "2099-01" in rep["error"]
 

@@ -1,6 +1,6 @@
 """Command line over the library: the commands a user of the reference runs.
 
-    python -m tripmart silver yellow --mes 2024-01 --lake ROOT [--hasta 2024-06]
+    python -m tripmart silver yellow --mes 2024-01 --lake ROOT [--hasta 2024-06] [--gold]
     python -m tripmart gold --lake ROOT [--meses 2024-01,2024-02] [--zonas zonas.csv]
     python -m tripmart test --lake ROOT
     python -m tripmart viajes --lake ROOT [--mes M] [--zona Z] [--hora H] [--limite N]
@@ -37,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("service")
     s.add_argument("--mes", required=True)
     s.add_argument("--hasta", help="last month of a range backfill")
+    s.add_argument("--gold", action="store_true", help="then refresh the mart for the months written")
     g = sub.add_parser("gold", help="rebuild the mart, or refresh some months")
     g.add_argument("--meses", help="comma-separated months to refresh")
     g.add_argument("--zonas", help="zone catalogue CSV; also writes the mart with zone names")
@@ -76,9 +77,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             if report is None:
                 _print({"error": "no month of the range is in raw", "sin_raw": missing})
                 return 1
-            _print({"tabla": report.table, "meses": list(report.months), "leidas": report.read,
-                    "marcadas": report.flagged, "escritas": report.written, "sobrantes": list(report.extras),
-                    "tabla_creada": report.created, "nulos_por_cast": report.cast_nulls, "sin_raw": missing})
+            out = {"tabla": report.table, "meses": list(report.months), "leidas": report.read,
+                   "marcadas": report.flagged, "escritas": report.written, "sobrantes": list(report.extras),
+                   "tabla_creada": report.created, "nulos_por_cast": report.cast_nulls, "sin_raw": missing}
+            if args.gold and report.coherent:
+                out["mart"] = gold.refresh(spark, lake, list(report.months), args.service)
+            _print(out)
             return 0 if report.coherent else 1
         if args.command == "gold":
             if args.meses:
