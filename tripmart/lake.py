@@ -46,25 +46,29 @@ def is_missing(err: AnalysisException) -> bool:
     return any(m in text for m in PATH_MISSING)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool | None:
-    """Ask the Hadoop file system directly when the JVM is reachable (classic
-    sessions); ``None`` when it is not (Spark Connect)."""
+def _hadoop_fs(spark: SparkSession, path: str):
+    """(file system, path) through the session's JVM, or None where the JVM is not
+    reachable from Python (Spark Connect); callers then fall back to reads."""
     jvm = getattr(spark, "_jvm", None)
     jsc = getattr(spark.sparkContext, "_jsc", None) if jvm is not None else None
     if jvm is None or jsc is None:
         return None
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(jsc.hadoopConfiguration()).exists(hpath))
+    return hpath.getFileSystem(jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists, or None when the file system is not at hand."""
+    handle = _hadoop_fs(spark, path)
+    return None if handle is None else bool(handle[0].exists(handle[1]))
 
 
 def _list_dirs(spark: SparkSession, pattern: str) -> list[str] | None:
     """Names of the folders matching a glob (one listing call, no file walk)."""
-    jvm = getattr(spark, "_jvm", None)
-    jsc = getattr(spark.sparkContext, "_jsc", None) if jvm is not None else None
-    if jvm is None or jsc is None:
+    handle = _hadoop_fs(spark, pattern)
+    if handle is None:
         return None
-    hpath = jvm.org.apache.hadoop.fs.Path(pattern)
-    statuses = hpath.getFileSystem(jsc.hadoopConfiguration()).globStatus(hpath)
+    statuses = handle[0].globStatus(handle[1])
     return [] if statuses is None else [st.getPath().getName() for st in statuses if st.isDirectory()]
 
 
