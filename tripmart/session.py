@@ -82,12 +82,18 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - sessions without a local context (Spark Connect)
+        current = None
     if current:
         return current.rstrip("/")
     own = tempfile.mkdtemp(prefix="tripmart-ckpt-")
-    spark.sparkContext.setCheckpointDir(own)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    try:
+        spark.sparkContext.setCheckpointDir(own)
+        return spark.sparkContext.getCheckpointDir().rstrip("/")
+    except Exception:  # noqa: BLE001
+        return own
 
 
 def scratch(spark: SparkSession, name: str) -> str:
