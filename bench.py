@@ -84,7 +84,7 @@ def main() -> None:
                              excused=landing.TRIPS_NOT_PUBLISHED)
         v = landing.verify_sizes(c, fixtures.landed_objects(spark, sf_dir))
         new = landing.next_ledger(fixtures.ledger(spark, sf_dir), v)
-        new.write.mode("overwrite").parquet(lake.landing())
+        landing.write_ledger_version(spark, new, lake.landing())
         return landing.outcome_counts(c).collect()
 
     step("landing_ledger", land)

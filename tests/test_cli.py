@@ -54,3 +54,24 @@ def test_commands_end_to_end(spark, capsys):
 
     code, rep = run(capsys, spark, "salud", "--lake", lake.root)
     assert code == 0 and rep == {"estado": "ok", "filas": 3887}
+
+
+def test_landing_command(spark, capsys, tmp_path):
+    lake = Lake(scratch(spark, "cli-landing"))
+    arrived = tmp_path / "arrived"
+    (arrived / "tlc").mkdir(parents=True)
+    (arrived / "tlc" / "a.parquet").write_bytes(b"x" * 10)
+    (arrived / "tlc" / "b.parquet").write_bytes(b"y" * 3)
+    listing = str(tmp_path / "listing.parquet")
+    spark.createDataFrame(
+        [("tlc/a.parquet", 200, '"e1"', 10), ("tlc/b.parquet", 200, "e2", 5), ("tlc/c.parquet", 403, "e3", 1)],
+        "key string, status int, etag string, declared_size bigint",
+    ).write.parquet(listing)
+    args = ["landing", "--listing", listing, "--llegados", f"file://{arrived}", "--excusados", "403,404",
+            "--lake", lake.root]
+    code, rep = run(capsys, spark, *args)
+    assert rep["resultados"] == {"descargado": 2, "no_disponible": 1}
+    assert rep["incompletos"] == 1 and rep["ledger"] == 1 and rep["version"] == 1 and code == 1
+    code, rep = run(capsys, spark, *args)   # second run: a.parquet is now present
+    assert rep["resultados"] == {"ya_presente": 1, "descargado": 1, "no_disponible": 1}
+    assert rep["version"] == 2 and rep["ledger"] == 1   # b.parquet still incomplete

@@ -5,6 +5,7 @@
     python -m tripmart test --lake ROOT
     python -m tripmart viajes --lake ROOT [--mes M] [--zona Z] [--hora H] [--limite N]
     python -m tripmart salud --lake ROOT
+    python -m tripmart landing --lake ROOT --listing L.parquet [--llegados DIR] [--forzar] [--excusados 403,404]
     python -m tripmart register --lake ROOT
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (``spark-submit``
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from tripmart import tables
 from tripmart.functions import months as M
 from tripmart.lake import Lake
-from tripmart.operators import checks, gold, serving, silver
+from tripmart.operators import checks, gold, landing, serving, silver
 from tripmart.operators.contract import InvalidSchema, NoContract
 from tripmart.session import configure
+from tripmart.sources.landed import landed_files
 from tripmart.sources.zones import read_zones
 
 
@@ -46,6 +48,11 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("mes", "zona", "hora", "limite"):
         v.add_argument(f"--{name}")
     sub.add_parser("salud", help="mart state")
+    ld = sub.add_parser("landing", help="classify a source listing against the ledger, write the next ledger")
+    ld.add_argument("--listing", required=True, help="parquet: key, status, etag, declared_size")
+    ld.add_argument("--llegados", help="folder of what arrived; sizes are checked against the listing")
+    ld.add_argument("--forzar", action="store_true")
+    ld.add_argument("--excusados", default="", help="comma-separated statuses meaning 'not published'")
     sub.add_parser("register", help="catalog names for the lake's tables")
     for cmd in sub.choices.values():
         cmd.add_argument("--lake", required=True, help="root folder of the lake")
@@ -63,6 +70,24 @@ def _print(obj) -> None:
     print(json.dumps(obj, default=_json_default, ensure_ascii=False))
 
 
+def _landing(spark: SparkSession, lake: Lake, args) -> int:
+    """One landing decision run: outcomes, size check, next ledger version."""
+    excused = tuple(int(x) for x in args.excusados.split(",") if x.strip())
+    listing = spark.read.parquet(args.listing)
+    ledger = landing.current_ledger(spark, lake.landing())
+    classified = landing.classify(listing, ledger, args.forzar, excused)
+    counts = {r["resultado"]: r["n"] for r in landing.outcome_counts(classified).collect()}
+    out = {"resultados": counts}
+    if args.llegados:
+        verified = landing.verify_sizes(classified, landed_files(spark, args.llegados))
+        out["incompletos"] = verified.where(~F.col("completo")).count()
+        version = landing.write_ledger_version(spark, landing.next_ledger(ledger, verified), lake.landing())
+        out["version"] = version
+        out["ledger"] = landing.current_ledger(spark, lake.landing()).count()
+    _print(out)
+    return 1 if counts.get(landing.ERROR) or out.get("incompletos") else 0
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = configure(spark or SparkSession.builder.getOrCreate())
@@ -111,6 +136,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 r["ingreso"] = str(r["ingreso"])
             _print({"filas": len(rows), "total": total, "viajes": rows})
             return 0
+        if args.command == "landing":
+            return _landing(spark, lake, args)
         if args.command == "salud":
             _print(serving.state(serving.read_mart(spark, lake.gold())).first().asDict())
             return 0

@@ -63,7 +63,7 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
     return None if handle is None else bool(handle[0].exists(handle[1]))
 
 
-def _list_dirs(spark: SparkSession, pattern: str) -> list[str] | None:
+def list_dirs(spark: SparkSession, pattern: str) -> list[str] | None:
     """Names of the folders matching a glob (one listing call, no file walk)."""
     handle = _hadoop_fs(spark, pattern)
     if handle is None:
@@ -76,7 +76,7 @@ def month_folders(spark: SparkSession, root: str) -> list[str] | None:
     """Months present as ``mes=YYYY-MM`` folders of a partitioned table, or None
     when the file system is not reachable from the driver."""
     try:
-        names = _list_dirs(spark, f"{root.rstrip('/')}/mes=*")
+        names = list_dirs(spark, f"{root.rstrip('/')}/mes=*")
     except Exception:  # noqa: BLE001 - caller falls back to Spark's listing
         return None
     if names is None:

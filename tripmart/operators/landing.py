@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.flags import MONTH
+from tripmart.lake import list_dirs, path_exists
 
 # --- Fixed values: outcome names ---------------------------------------------
 DOWNLOADED = "descargado"
@@ -25,6 +26,7 @@ ERROR = "error"
 # (the zone catalogue) excuse none, which is the default.
 TRIPS_NOT_PUBLISHED = (403, 404)
 # ---------------------------------------------------------------------------
+LEDGER_SCHEMA = "key string, etag string, size bigint, landed_at timestamp_ntz"
 
 
 def _isin(col: Column, values: Sequence[int]) -> Column:
@@ -98,6 +100,34 @@ def next_ledger(ledger: DataFrame, verified: DataFrame, landed_at: Column | None
     return kept.unionByName(accepted)
 
 
+def ledger_versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed ledger versions (``v=N`` folders holding a ``_SUCCESS`` marker)."""
+    names = list_dirs(spark, f"{root.rstrip('/')}/v=*") or []
+    versions = []
+    for name in names:
+        n = name.split("=", 1)[1]
+        if n.isdigit() and path_exists(spark, f"{root.rstrip('/')}/{name}/_SUCCESS"):
+            versions.append(int(n))
+    return sorted(versions)
+
+
+def current_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The latest committed ledger version, or an empty ledger."""
+    versions = ledger_versions(spark, root)
+    if not versions:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.parquet(f"{root.rstrip('/')}/v={versions[-1]}")
+
+
+def write_ledger_version(spark: SparkSession, ledger: DataFrame, root: str) -> int:
+    """Write ``ledger`` as the next version; earlier versions stay as they are, so a
+    reader of the current version is never disturbed and history is kept."""
+    versions = ledger_versions(spark, root)
+    version = (versions[-1] + 1) if versions else 1
+    ledger.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/v={version}")
+    return version
+
+
 def _month_date(col: Column) -> Column:
     return F.to_date(F.concat(col, F.lit("-01")))
 
