@@ -75,3 +75,13 @@ def test_landing_command(spark, capsys, tmp_path):
     code, rep = run(capsys, spark, *args)   # second run: a.parquet is now present
     assert rep["resultados"] == {"ya_presente": 1, "descargado": 1, "no_disponible": 1}
     assert rep["version"] == 2 and rep["ledger"] == 1   # b.parquet still incomplete
+
+
+def test_pending_command(spark, capsys, tmp_path):
+    lake = Lake(scratch(spark, "cli-pending"))
+    silver.land_raw(fixtures.trips_raw(spark, SF_SMALL).where("mes_archivo < '1995-04'"), lake)
+    published = str(tmp_path / "published.parquet")
+    spark.createDataFrame([("1995-01",), ("1995-02",), ("1995-03",), ("1995-04",), ("1995-05",), ("1995-07",)],
+                          "mes string").write.parquet(published)
+    code, rep = run(capsys, spark, "pendientes", "--publicados", published, "--meses-extra", "2", "--lake", lake.root)
+    assert code == 0 and rep["pendientes"] == ["1995-04", "1995-05"]

@@ -5,6 +5,7 @@
     python -m tripmart test --lake ROOT
     python -m tripmart viajes --lake ROOT [--mes M] [--zona Z] [--hora H] [--limite N]
     python -m tripmart salud --lake ROOT
+    python -m tripmart pendientes --lake ROOT --publicados P.parquet [--meses-extra 3]
     python -m tripmart landing --lake ROOT --listing L.parquet [--llegados DIR] [--forzar] [--excusados 403,404]
     python -m tripmart register --lake ROOT
 
@@ -48,6 +49,10 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("mes", "zona", "hora", "limite"):
         v.add_argument(f"--{name}")
     sub.add_parser("salud", help="mart state")
+    pe = sub.add_parser("pendientes", help="months of a backfill range still to land")
+    pe.add_argument("--publicados", required=True, help="parquet with a 'mes' column of published months")
+    pe.add_argument("--meses-extra", type=int, default=0, dest="extra",
+                    help="months past the last published one to include in the range")
     ld = sub.add_parser("landing", help="classify a source listing against the ledger, write the next ledger")
     ld.add_argument("--listing", required=True, help="parquet: key, status, etag, declared_size")
     ld.add_argument("--llegados", help="folder of what arrived; sizes are checked against the listing")
@@ -136,6 +141,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 r["ingreso"] = str(r["ingreso"])
             _print({"filas": len(rows), "total": total, "viajes": rows})
             return 0
+        if args.command == "pendientes":
+            published = spark.read.parquet(args.publicados).select("mes")
+            landed = spark.createDataFrame([(m,) for m in silver.landed_raw_months(spark, lake, args.svc)], "mes string")
+            pending = landing.pending_months(published, landed, args.extra)
+            _print({"pendientes": sorted(r["mes"] for r in pending.collect())})
+            return 0
         if args.command == "landing":
             return _landing(spark, lake, args)
         if args.command == "salud":

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.flags import FLAG_NAMES, MONTH, duration_seconds, is_clean
-from tripmart.lake import CANARY_NAME, Lake, month_folders, read_months, table_exists
+from tripmart.lake import CANARY_NAME, NAMED_MART, Lake, month_folders, read_months, table_exists
 from tripmart.operators.zones import with_zone_names
 
 GRAIN = (MONTH, "pu_location_id", "hora")
@@ -102,9 +102,6 @@ def refresh(
     return target
 
 
-NAMED_MART = "viajes_por_zona_hora_con_zona"
-
-
 def build_with_names(spark: SparkSession, lake: Lake, zones: DataFrame) -> str:
     """The mart with pickup-zone names, rebuilt from the written mart.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.lake import CANARY_NAME, MART_NAME, Lake
+from tripmart.lake import CANARY_NAME, MART_NAME, NAMED_MART, Lake
 
 
 def _q(name: str) -> str:
@@ -58,6 +58,7 @@ def register_lake(spark: SparkSession, lake: Lake, service: str = "yellow") -> l
     candidates = [
         (f"silver.tlc_{service}", lake.silver(service), True),
         (f"gold.{MART_NAME}", lake.gold(), True),
+        (f"gold.{NAMED_MART}", lake.gold(NAMED_MART), True),
         (f"gold.{CANARY_NAME}", lake.gold(CANARY_NAME), False),
     ]
     done = []
