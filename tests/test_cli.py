@@ -85,3 +85,11 @@ def test_pending_command(spark, capsys, tmp_path):
                           "mes string").write.parquet(published)
     code, rep = run(capsys, spark, "pendientes", "--publicados", published, "--meses-extra", "2", "--lake", lake.root)
     assert code == 0 and rep["pendientes"] == ["1995-04", "1995-05"]
+
+
+def test_missing_layers_are_errors_not_tracebacks(spark, capsys):
+    lake = Lake(scratch(spark, "cli-empty"))
+    code, rep = run(capsys, spark, "salud", "--lake", lake.root)
+    assert code == 1 and "error" in rep
+    code, rep = run(capsys, spark, "gold", "--lake", lake.root)
+    assert code == 1 and "error" in rep

@@ -20,6 +20,7 @@ import json
 import sys
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -165,6 +166,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             gold.EmptyMart, serving.MartSchemaError) as err:
         _print({"error": str(err)})
         return 1
+    except AnalysisException as err:  # a layer that is not there or cannot be read
+        _print({"error": str(err).splitlines()[0]})
+        return 1
     return 2
 
 
