@@ -187,3 +187,16 @@ def test_named_mart(spark, lake):
     assert named.count() == spark.read.parquet(lake.gold()).count()
     assert named.where(F.col("zona_nombre").isNull()).count() == 0
     assert {"borough", "zona_nombre", "service_zone"} <= set(named.columns)
+
+
+def test_publish_is_refused_when_the_staged_mart_fails_its_tests(spark):
+    from tripmart.plans import publish
+
+    lake = Lake(scratch(spark, "test-refuse"))
+    silver.land_raw(fixtures.trips_raw(spark, SF_SMALL, null_pickup_every=101), lake)
+    months = silver.landed_raw_months(spark, lake, "yellow")
+    with pytest.raises(publish.PublishRefused, match="not_null hora"):
+        publish.stage_validate_publish(spark, lake, "yellow", months)
+    from tripmart.lake import table_exists
+
+    assert not table_exists(spark, lake.silver("yellow")) and not table_exists(spark, lake.gold())

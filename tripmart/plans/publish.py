@@ -3,8 +3,9 @@
 Parquet has no multi-file commit, so a reader could see a half-replaced month
 if we wrote the live table directly and failed midway. Instead the months are
 materialised into a staging table, checked (row conservation, null flags, not
-empty), and only then copied into the live table with dynamic partition
-overwrite. A failed check leaves the live table untouched.
+empty, and the data tests of the mart built from them), and only then copied
+into the live table with dynamic partition overwrite, after which the same
+months of the mart are refreshed. A failed check leaves both untouched.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.flags import MONTH
-from tripmart.lake import Lake
-from tripmart.operators import checks, silver
+from tripmart.lake import Lake, read_months
+from tripmart.operators import checks, gold, silver
 
 
 class PublishRefused(RuntimeError):
@@ -25,15 +26,29 @@ class PublishRefused(RuntimeError):
 
 
 def stage_validate_publish(
-    spark: SparkSession, lake: Lake, service: str, months: Sequence[str]
+    spark: SparkSession, lake: Lake, service: str, months: Sequence[str], with_gold: bool = True
 ) -> silver.Report:
+    """Stage the months, check them, publish them; the live tables change only if
+    every check passes.
+
+    Checks on the staged months: row conservation (D5, inside ``materialize``),
+    never-null flags (A5), not empty, and with ``with_gold`` the mart of the
+    staged months: not-null, unique grain, not empty (D1-D3) and trips equal to
+    clean silver rows per month (D6). Publishing replaces the silver months, then
+    refreshes the same months of the mart.
+    """
     staging = lake.staging("silver", f"tlc_{service}-{uuid.uuid4().hex[:12]}")
-    report = silver.materialize(spark, lake, service, months, target=staging)  # raises on D5
-    staged = spark.read.parquet(staging).where(F.col(MONTH).isin(list(months)))
+    report = silver.materialize(spark, lake, service, months, target=staging)
+    staged = read_months(spark, staging, list(months))
     nulls = checks.flag_nulls(staged).first().asDict()
     problems = [f"{k} has {v} null flags" for k, v in nulls.items() if v]
     if report.read == 0:
         problems.append("nothing staged")
+    if with_gold:
+        staged_mart = gold.mart(staged)
+        problems += [f"{r.prueba} {r.sujeto}: {r.violaciones}" for r in checks.mart_violations(staged_mart).collect()]
+        unequal = checks.gold_vs_silver(staged, staged_mart).where(~F.col("cuadra")).select(MONTH).collect()
+        problems += [f"gold_vs_silver {r[0]}" for r in unequal]
     if problems:
         raise PublishRefused("; ".join(problems))
     (
@@ -46,4 +61,6 @@ def stage_validate_publish(
     published = silver.written_counts(spark, lake.silver(service), months)
     if published != report.per_month_written:
         raise PublishRefused(f"published {published}, staged {report.per_month_written}")
+    if with_gold:
+        gold.refresh(spark, lake, list(months), service)
     return report
