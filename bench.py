@@ -29,7 +29,12 @@ WARMUP_DIR = "/root/testdata/sf0.001"
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, app="tripmart-bench", shuffle_partitions=int(cpus) * 2 if cpus != "*" else 16)
+    # BENCH_EVENTLOG=<folder> writes Spark's event log there (see tools/stage_times.py).
+    # Adaptive partitions are sized to the data (tens of MB here, not the 100 TB of
+    # CLUSTER_CONF), so the REBALANCE of landing writes keeps several writer tasks.
+    spark = local_session(cpus, app="tripmart-bench", shuffle_partitions=int(cpus) * 2 if cpus != "*" else 16,
+                          event_log_dir=os.environ.get("BENCH_EVENTLOG") or None,
+                          advisory_partition_size=os.environ.get("BENCH_ADVISORY", "1m"))
     lake = Lake(scratch(spark, "bench"))
     times: dict[str, float] = {}
     facts: dict[str, object] = {}

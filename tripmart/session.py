@@ -53,8 +53,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", app: str = "tripmart", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and the benchmark (never used on a cluster)."""
+def local_session(
+    cores: int | str = "*",
+    app: str = "tripmart",
+    shuffle_partitions: int = 8,
+    event_log_dir: str | None = None,
+    advisory_partition_size: str | None = None,
+) -> SparkSession:
+    """A local session for tests and the benchmark (never used on a cluster).
+
+    ``event_log_dir`` turns on Spark's event log there, for stage and task times.
+    ``advisory_partition_size`` sizes adaptive partitions to the data at hand.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -67,6 +77,11 @@ def local_session(cores: int | str = "*", app: str = "tripmart", shuffle_partiti
         .config("spark.driver.memory", os.environ.get("TRIPMART_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
     )
+    if advisory_partition_size:
+        builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory_partition_size)
+    if event_log_dir:
+        os.makedirs(event_log_dir, exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
