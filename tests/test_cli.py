@@ -93,3 +93,18 @@ def test_missing_layers_are_errors_not_tracebacks(spark, capsys):
     assert code == 1 and "error" in rep
     code, rep = run(capsys, spark, "gold", "--lake", lake.root)
     assert code == 1 and "error" in rep
+
+
+def test_register_command(spark, capsys):
+    from tripmart import tables
+
+    lake = Lake(scratch(spark, "cli-register"))
+    silver.land_raw(fixtures.trips_raw(spark, SF_SMALL), lake)
+    assert run(capsys, spark, "silver", "yellow", "--mes", "1995-03", "--gold", "--lake", lake.root)[0] == 0
+    code, rep = run(capsys, spark, "register", "--lake", lake.root)
+    assert code == 0 and set(rep["tablas"]) == {"silver.tlc_yellow", "gold.viajes_por_zona_hora"}
+    assert spark.table("gold.viajes_por_zona_hora").count() > 0
+    for name in rep["tablas"]:
+        tables.drop(spark, name)
+    for ns in ("silver", "gold"):
+        tables.drop_namespace(spark, ns)
