@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -9,8 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.session import shared_dir
 
+PACKAGE_HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def reach(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver did.
+
+    Only adds its folder to their search path; a cluster without that folder needs
+    the package installed or shipped with the job, as for any PySpark library.
+    """
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_HOME not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([PACKAGE_HOME, *paths])
+    return spark
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

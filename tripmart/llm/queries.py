@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, mixing, tokencount
+from tripmart.llm import bpe, mixing, tokencount, toxicity
 from tripmart.llm.common import table
 
 
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_byte_bpe(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"))
 
@@ -23,6 +28,7 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_source_mixing": op6_source_mixing,
     "op10_token_counts": op10_token_counts,
