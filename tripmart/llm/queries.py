@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, mixing, tokencount, toxicity
+from tripmart.llm import bpe, minhash, mixing, tokencount, toxicity
 from tripmart.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_minhash_inverted(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,7 @@ def op10_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op4_minhash_inverted": op4_minhash_inverted,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_source_mixing": op6_source_mixing,
     "op10_token_counts": op10_token_counts,
