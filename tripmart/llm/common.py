@@ -5,11 +5,17 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.session import shared_dir
 
+#: Filter tables have this many places, whatever the size of the input.
+PLACES = 1 << 22
+
 PACKAGE_HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -67,3 +73,33 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
     )
+
+
+def place(key: int) -> int:
+    """The place of a long in a filter table, as Spark's xxhash64 gives it."""
+    value = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), seed=42)
+    return value % PLACES  # PLACES divides 2^64, so the sign does not matter
+
+
+def places(keys: DataFrame, column: str) -> np.ndarray:
+    """A table of PLACES booleans: True where some key (long) falls.
+
+    Its size is fixed; keys that share a place only let more rows through.
+    """
+    found = keys.select(F.pmod(F.xxhash64(column), F.lit(PLACES)).cast("int").alias("p")).distinct().toArrow()
+    table = np.zeros(PLACES, bool)
+    table[found.column("p").to_numpy()] = True
+    return table
+
+
+def in_places(df: DataFrame, column: str, table: np.ndarray) -> DataFrame:
+    """The rows of ``df`` whose ``column`` falls on a marked place (and some others)."""
+    known = df.sparkSession.sparkContext.broadcast(np.packbits(table))  # PLACES / 8 bytes
+
+    def run(batches_in):
+        marked = np.unpackbits(known.value).astype(bool)
+        for batch in batches_in:
+            yield batch.filter(pa.array(marked[batch.column("__place").to_numpy()]))
+
+    placed = df.withColumn("__place", F.pmod(F.xxhash64(column), F.lit(PLACES)).cast("int"))
+    return placed.mapInArrow(run, placed.schema).drop("__place")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import batches, held, utf8
+from tripmart.llm.common import batches, held, in_places, places, utf8
 from tripmart.llm.components import components
 
 WIDTH = 3
@@ -44,8 +44,6 @@ COORDINATES, MATCHES, NEAR = 48, 26, 40
 TIE = NEAR + MATCHES - COORDINATES
 BLOCK = 4096
 GROUP_SHINGLES = 2_000_000
-#: Filter tables have this many places, whatever the size of the input.
-PLACES = 1 << 22
 
 _MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, COORDINATES), dtype=np.uint64) | np.uint64(1)
 _POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -245,28 +243,6 @@ def _block_pairs(placed: DataFrame) -> DataFrame:
     )
 
 
-def places(keys: DataFrame, column: str) -> np.ndarray:
-    """A table of PLACES booleans: True where some key falls.  Its size is fixed; keys
-    that share a place only let more rows through."""
-    found = keys.select(F.pmod(F.xxhash64(column), F.lit(PLACES)).cast("int").alias("p")).distinct().toArrow()
-    table = np.zeros(PLACES, bool)
-    table[found.column("p").to_numpy()] = True
-    return table
-
-
-def _in_places(df: DataFrame, column: str, table: np.ndarray) -> DataFrame:
-    """The rows of ``df`` whose ``column`` falls on a marked place (and some others)."""
-    known = df.sparkSession.sparkContext.broadcast(np.packbits(table))  # PLACES / 8 bytes
-
-    def run(batches_in):
-        marked = np.unpackbits(known.value)[:PLACES].astype(bool)
-        for batch in batches_in:
-            yield batch.filter(pa.array(marked[batch.column("__place").to_numpy()]))
-
-    placed = df.withColumn("__place", F.pmod(F.xxhash64(column), F.lit(PLACES)).cast("int"))
-    return placed.mapInArrow(run, placed.schema).drop("__place")
-
-
 def _confirm(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """A spanning forest of the exact links among sets."""
     n = len(sets)
@@ -310,7 +286,7 @@ def confirmed(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int =
     )
     placed = members.join(blocks, "label").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     wanted = placed.select(F.col("first_id").alias("doc_id"), "node", "label", "block", "blocks")
-    texts = _in_places(docs.select("doc_id", "text"), "doc_id", places(members, "first_id"))
+    texts = in_places(docs.select("doc_id", "text"), "doc_id", places(members, "first_id"))
     found = texts.join(wanted, "doc_id").select("text", "node", "label", "block", "blocks")
 
     out = pa.schema([("node", pa.binary()), ("label", pa.binary()), ("block", pa.int64()), ("blocks", pa.int64()),

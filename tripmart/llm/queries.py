@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, minhash, mixing, tokencount, toxicity
+from tripmart.llm import bpe, linededup, minhash, mixing, tokencount, toxicity
 from tripmart.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op6_source_mixing(spark, sf_dir):
     )
 
 
+def op9_line_dedup(spark, sf_dir):
+    return linededup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ QUERIES = {
     "op4_minhash_inverted": op4_minhash_inverted,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_source_mixing": op6_source_mixing,
+    "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
