@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, linededup, minhash, mixing, tokencount, toxicity
+from tripmart.llm import bpe, licenses, linededup, minhash, mixing, syncmers, tokencount, topk, toxicity
 from tripmart.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_syncmers(spark, sf_dir):
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_inverted(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,14 @@ def op6_source_mixing(spark, sf_dir):
     )
 
 
+def op7_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_segment_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_line_dedup(spark, sf_dir):
     return linededup.dedup_lines(table(spark, sf_dir, "documents"))
 
@@ -37,14 +49,35 @@ def op10_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_syncmers": op3_syncmers,
     "op4_minhash_inverted": op4_minhash_inverted,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_source_mixing": op6_source_mixing,
+    "op7_license_scan": op7_license_scan,
+    "op8_segment_topk": op8_segment_topk,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL = {
+    "op8_segment_topk": """
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+e AS (SELECT vec_id, generate_subscripts(v, 1) AS i, unnest(v) AS x, len(v) AS n FROM v),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.i = c.i AND q.n = c.n AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+  GROUP BY ALL),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+  FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
     # The closed form of the resharing: with sources in order of size per weight, the
     # capped ones are a prefix, the longest whose members are above their share.
     "op6_source_mixing": r"""
