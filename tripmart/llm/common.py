@@ -47,6 +47,32 @@ def held(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def positions(df: DataFrame, *order) -> DataFrame:
+    """``df`` with its 0-based place in ``order`` as ``position``, kept in the shared folder.
+
+    A range sort over all partitions, then each partition's start: no task sorts or
+    counts all rows.
+    """
+    at = held(
+        df.orderBy(*order)
+        .withColumn("__at", F.monotonically_increasing_id())
+        .withColumn("__part", F.shiftrightunsigned("__at", 33))
+        .withColumn("__off", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
+    )
+    counts = at.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    # one row for each partition of the sort
+    later = counts.select(F.col("__part").alias("__later"))
+    starts = (
+        counts.join(F.broadcast(later), F.col("__part") < F.col("__later"))
+        .groupBy("__later").agg(F.sum("__n").alias("__start"))
+    )
+    return (
+        at.join(F.broadcast(starts), F.col("__part") == F.col("__later"), "left")
+        .withColumn("position", F.coalesce("__start", F.lit(0)) + F.col("__off"))
+        .drop("__at", "__part", "__off", "__later", "__start")
+    )
+
+
 def utf8(column: pa.Array) -> Iterator[bytes | None]:
     """The values of a string column as bytes, one at a time (null stays None)."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.llm.common import held
+from tripmart.llm.common import held, positions
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -45,28 +45,6 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _ranked(sources: DataFrame) -> DataFrame:
-    """Zero-based rank of each source by code point, null last, without one task
-    sorting them all: a range sort, then each partition's start."""
-    at = held(
-        sources.orderBy(F.col("source").asc_nulls_last())
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftrightunsigned("_at", 33))
-        .withColumn("_off", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
-    )
-    counts = at.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition of the sort: pairs of them stay far below the number of sources
-    later = counts.select(F.col("_part").alias("_later"))
-    starts = (
-        counts.join(F.broadcast(later), F.col("_part") < F.col("_later"), "inner")
-        .groupBy("_later")
-        .agg(F.sum("_n").alias("_start"))
-    )
-    return at.join(F.broadcast(starts), F.col("_part") == F.col("_later"), "left").select(
-        "source", "source_size", (F.coalesce("_start", F.lit(0)) + F.col("_off")).alias("rank")
-    )
-
-
 def targets(sizes: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     """(source, source_size, target) from rows of (source, size).
 
@@ -76,8 +54,12 @@ def targets(sizes: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     """
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     n = len(recipe.weights)
-    weight = F.element_at(F.array(*[F.lit(w) for w in recipe.weights]), (F.col("rank") % n + 1).cast("int"))
-    ranked = held(_ranked(sources).select("source", "source_size", weight.cast("long").alias("weight")))
+    weight = F.element_at(F.array(*[F.lit(w) for w in recipe.weights]), (F.col("position") % n + 1).cast("int"))
+    # ranks by code point, null last
+    ranked = held(
+        positions(sources, F.col("source").asc_nulls_last())
+        .select("source", "source_size", weight.cast("long").alias("weight"))
+    )
     whole = T.DecimalType(38, 0)
     size, w = F.col("source_size").cast(whole), F.col("weight").cast(whole)
     total = int(ranked.agg(F.sum(size)).first()[0] or 0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, licenses, linededup, minhash, mixing, syncmers, tokencount, topk, toxicity
+from tripmart.llm import bpe, licenses, linededup, minhash, mixing, quotes, syncmers, tokencount, topk, toxicity
 from tripmart.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_quote_links(spark, sf_dir):
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
 def op3_syncmers(spark, sf_dir):
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_token_counts(spark, sf_dir):
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_quote_links": op2_quote_links,
     "op3_syncmers": op3_syncmers,
     "op4_minhash_inverted": op4_minhash_inverted,
     "op5_byte_bpe": op5_byte_bpe,
