@@ -6,10 +6,11 @@ chunk is split into pre-tokens from its own first character, which may lie insid
 pre-token of the whole text.  Where a pre-token boundary of one chunk meets one of
 the next inside their overlap, the two splits agree from there on, because the
 split at a position depends only on the text after it; the chunks are stitched at
-the first such meeting.  Where none meets (one pre-token longer than the overlap)
-the split of the earlier chunk goes on through the following text until it meets a
-boundary.  The pieces are encoded with the given ranks; decoding concatenates the
-bytes of the ids.
+the first such meeting that does not follow white space (a run of white space looks
+at what comes after it, so a piece must not end in one).  Where none meets (one
+pre-token longer than the overlap) the split of the earlier chunk goes on through the
+following text until it meets a boundary.  The pieces are encoded with the given
+ranks; decoding concatenates the bytes of the ids.
 
 Defined results: a null text is the empty text (no ids, hash of nothing); rows are
 independent and a long text that repeats is encoded once; bytes that are not UTF-8
@@ -101,7 +102,7 @@ def stitch(
                 own.append(p)
                 if p >= begin + overlap:
                     break
-        met = next((p for p in own if p >= begin and p in theirs), None)
+        met = next((p for p in own if p >= begin and p in theirs and not text[p - 1].isspace()), None)
         if met is not None:
             cuts.append(met)
             own, walk = sure(i), None

@@ -259,7 +259,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Scorer:
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != 2))
         .groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     )
-    train = docs.select("doc_id", "text").join(labels, "doc_id")
+    # a merge join at every size: labels grow with the documents, so no broadcast
+    train = docs.select("doc_id", "text").join(labels.hint("merge"), "doc_id")
     counted = held(count_grams(train.select("text", "toxic", (fold(F.col("doc_id")) != 3).alias("fit"))))
     kept = counted.where(F.col("toxic") + F.col("ordinary") >= _cutoff(counted)).toArrow()
     grams = kept.column("gram").to_pylist()
