@@ -1,46 +1,50 @@
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 import pytest
 
 from tripmart.functions import months as M
 
+month = st.builds(M.Month, st.integers(1, 9900), st.integers(1, 12))
 
-@pytest.mark.parametrize("m", ["2024-01", "2009-12", "2024-10"])
-def test_valid_months(m):
-    assert M.validate_month(m) == m
 
+@given(month)
+def test_text_and_month_are_each_others_inverse(m):
+    assert M.Month.of(str(m)) == m and M.month_text(str(m)) == str(m)
 
-@pytest.mark.parametrize("m", ["2024-1", "2024-13", "2024-00", "enero", "2024/01", "", "202401", "2024-01\n"])
-def test_invalid_months(m):
-    with pytest.raises(M.InvalidMonth):
-        M.validate_month(m)
 
+@given(month, st.integers(0, 40))
+def test_ranges_step_through_the_calendar(m, n):
+    last = m
+    for _ in range(n):
+        assert last < last.next() and (last.next().year * 12 + last.next().number) == last.year * 12 + last.number + 1
+        last = last.next()
+    got = M.month_range(str(m), str(last))
+    assert len(got) == n + 1 and got == sorted(got) and (got[0], got[-1]) == (str(m), str(last))
+    assert M.month_range(str(last.next()), str(m)) == []
 
-def test_paths_are_pure_and_validated():
-    assert M.raw_path("s3a://lake", "yellow", "2024-01") == "s3a://lake/raw/tlc/yellow/mes=2024-01"
-    with pytest.raises(M.InvalidService):
-        M.raw_path("s3a://lake", "taxi", "2024-01")
-    with pytest.raises(M.InvalidMonth):
-        M.raw_path("s3a://lake", "yellow", "2024-1")
 
-
-def test_month_range():
-    assert M.month_range("2023-11", "2024-02") == ["2023-11", "2023-12", "2024-01", "2024-02"]
-
-
-def test_month_from_path(spark):
-    from pyspark.sql import functions as F
-
-    df = spark.createDataFrame([("s3a://b/raw/tlc/yellow/mes=2024-03/part-0.parquet",)], "p string")
-    assert df.select(M.month_from_path(F.col("p"))).first()[0] == "2024-03"
-
-
-def test_cluster_conf_applies(spark):
-    from tripmart.session import CLUSTER_CONF, apply_cluster_conf
-
-    before = {k: spark.conf.get(k, None) for k in CLUSTER_CONF if k.startswith("spark.sql.")}
+@given(st.text(max_size=9))
+def test_other_text_is_refused(text):
     try:
-        apply_cluster_conf(spark)
-        assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("512m", str(512 * 1024 * 1024) + "b")
-    finally:
-        for k, v in before.items():
-            if v is not None:
-                spark.conf.set(k, v)
+        M.Month.of(text)
+    except M.BadMonth:
+        return
+    assert len(text) == 7 and text[4] == "-" and text.replace("-", "").isdigit() and 1 <= int(text[5:]) <= 12
+
+
+@pytest.mark.parametrize("text", [None, 202403, "2031-6", "1987-21", "0199-0x", "２０２４-01", " 2020-05", "2020-05 "])
+def test_near_misses_are_refused(text):
+    with pytest.raises(M.BadMonth):
+        M.month_text(text)
+
+
+def test_paths_of_both_layouts(spark):
+    folder, single = M.raw_folder("hdfs://x/lake/", "green", "2031-06"), M.raw_object("hdfs://x/lake", "green", "2031-06")
+    assert folder == "hdfs://x/lake/raw/tlc/green/mes=2031-06"
+    assert single == "hdfs://x/lake/raw/tlc/green/2031-06.parquet"
+    with pytest.raises(M.BadService):
+        M.raw_folder("x", "tram", "2031-06")
+    paths = [f"{folder}/part-1.snappy.parquet", single, f"{single}/part-0.parquet", "hdfs://x/other.parquet"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r[0] for r in df.select(M.file_month(F.col("p"))).collect()] == ["2031-06"] * 3 + [""]

@@ -9,15 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.functions import months
 
-# Markers Spark uses for a path that is not there (kept apart from other analysis
-# errors so a real permission or schema failure is not reported as "not landed").
-PATH_MISSING = ("PATH_NOT_FOUND", "Path does not exist", "FileNotFoundException")
-# A folder that exists but holds no data file yet.
-NO_DATA = ("UNABLE_TO_INFER_SCHEMA",)
+# Spark's error conditions for a path that is absent, and for one without a data file.
+NOTHING_THERE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
+# --- Fixed values: table names ------------------------------------------------
 MART_NAME = "viajes_por_zona_hora"
 NAMED_MART = "viajes_por_zona_hora_con_zona"
 CANARY_NAME = "puente_dbt"
+# ---------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
@@ -27,10 +26,13 @@ class Lake:
     def raw(self, service: str, month: str | None = None) -> str:
         if month is None:
             return months.raw_root(self.root, service)
-        return months.raw_path(self.root, service, month)
+        return months.raw_folder(self.root, service, month)
+
+    def raw_file(self, service: str, month: str) -> str:
+        return months.raw_object(self.root, service, month)
 
     def silver(self, service: str) -> str:
-        return f"{self.root.rstrip('/')}/silver/tlc_{months.validate_service(service)}"
+        return f"{self.root.rstrip('/')}/silver/tlc_{months.service_name(service)}"
 
     def gold(self, name: str = MART_NAME) -> str:
         return f"{self.root.rstrip('/')}/gold/{name}"
@@ -42,9 +44,9 @@ class Lake:
         return f"{self.root.rstrip('/')}/raw/_ledger/{name}"
 
 
-def is_missing(err: AnalysisException) -> bool:
-    text = str(err)
-    return any(m in text for m in PATH_MISSING)
+def nothing_there(err: AnalysisException) -> bool:
+    """Whether a read failed because nothing has been written at its path yet."""
+    return (err.getCondition() or "").split(".")[0] in NOTHING_THERE
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -85,6 +87,38 @@ def month_folders(spark: SparkSession, root: str) -> list[str] | None:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith("mes="))
 
 
+def drop_months(spark: SparkSession, root: str, gone) -> None:
+    """Remove the given month folders of a partitioned table."""
+    for m in gone:
+        handle = _hadoop_fs(spark, f"{root.rstrip('/')}/mes={m}")
+        if handle is None:
+            raise RuntimeError(f"cannot remove month {m} of {root}: its file system is out of reach")
+        handle[0].delete(handle[1], True)
+
+
+def drop_tree(spark: SparkSession, path: str) -> bool:
+    """Remove a folder this library made (staging); False where it is out of reach."""
+    handle = _hadoop_fs(spark, path)
+    return handle is not None and bool(handle[0].delete(handle[1], True))
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, making the folder of its new place."""
+    fs, start = _hadoop_fs(spark, source)
+    _, end = _hadoop_fs(spark, target)
+    fs.mkdirs(end.getParent())
+    if not fs.rename(start, end):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def file_names(spark: SparkSession, pattern: str) -> list[str] | None:
+    """Names of the files and folders matching a glob."""
+    handle = _hadoop_fs(spark, pattern)
+    if handle is None:
+        return None
+    return [st.getPath().getName() for st in handle[0].globStatus(handle[1]) or []]
+
+
 def read_months(spark: SparkSession, root: str, months) -> DataFrame:
     """Read only the given month partitions of a table (``mes`` kept as a column).
 
@@ -111,6 +145,6 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         _ = spark.read.parquet(path).schema
         return True
     except AnalysisException as err:
-        if is_missing(err) or any(m in str(err) for m in NO_DATA):
+        if nothing_there(err):
             return False
         raise
