@@ -1,26 +1,24 @@
 """Profiles of silver and gold: the counts the reference quotes, as queries.
 
-All of them are single aggregations with map-side partial combine; none groups
-rows into one task.
+All of them are aggregations with map-side partial combine (the exact percentiles a
+few in a row); none groups rows into one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.flags import FLAG_NAMES, MONTH, any_flag, duration_seconds
+from tripmart.session import shared_dir
 
 # Columns that the source leaves null together (with passenger_count).
 NULL_TOGETHER = ("passenger_count", "ratecode_id", "store_and_fwd_flag", "congestion_surcharge", "airport_fee")
-# KLL quantile sketch size (the largest the sketch allows): a month's speeds are
-# kept exactly while they fit the sketch, beyond that the rank error is about
-# 1/k; memory per sketch stays a few MB however large the month is.
-SPEED_SKETCH_K = 65_535
-# Sketches are merged in two levels: per (month, task group), then per month,
-# so a month holding a third of all rows never funnels every task's sketch into
-# one merge.
-SPEED_MERGE_GROUPS = 64
+# Bins of one round of rank selection, and rows of a bin that are ranked at last.
+RANK_BINS = 4096
+RANK_ROWS = 50_000
 SPEED_QUANTILES = (0.5, 0.999)
 
 
@@ -88,30 +86,57 @@ def implied_mph(silver: DataFrame) -> DataFrame:
     ).where(F.col("mph").isNotNull())
 
 
+def exact_ranks(values: DataFrame, key: str, value: str, quantiles: Sequence[float]) -> DataFrame:
+    """(key, q, n, <value>): the value at rank ceil(q * n) of each key's sorted values.
+
+    Exact at every size, without sorting a key in one task: counts over ``RANK_BINS``
+    equal bins between a key's bounds find the bin that holds the rank, and that bin is
+    binned again between its own bounds until it holds one value or at most
+    ``RANK_ROWS`` rows, which are then ranked. Binning never changes the order of two
+    values, so a bin's rows are exactly those between its bounds. Each round is
+    one partial aggregation; what is kept between rounds is one row per key and q.
+    """
+    spark = values.sparkSession
+    shared_dir(spark)
+    values = values.where(F.col(value).isNotNull() & ~F.isnan(value)).select(F.col(key).alias("k"), F.col(value).alias("x"))
+    qs = F.explode(F.array(*[F.lit(q) for q in quantiles]))
+    state = values.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    state = state.withColumn("q", qs).select(
+        "k", "q", "n", F.ceil(F.col("q") * F.col("n")).alias("r"), "lo", "hi", F.col("n").alias("m")
+    ).checkpoint()
+    open_ = (F.col("lo") < F.col("hi")) & (F.col("m") > RANK_ROWS)
+    while state.where(open_).limit(1).count():
+        s = state.where(open_)
+        # halves, so that no difference overflows
+        share = (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        place = F.least(F.floor(share * RANK_BINS), F.lit(RANK_BINS - 1))
+        bins = (
+            values.join(s, "k").where(F.col("x").between(F.col("lo"), F.col("hi")))
+            .groupBy("k", "q", "n", "r", place.alias("bin"))
+            .agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        )
+        upto = F.sum("m").over(Window.partitionBy("k", "q").orderBy("bin"))  # at most RANK_BINS rows
+        hit = bins.withColumn("upto", upto).where((F.col("upto") >= F.col("r")) & (F.col("upto") - F.col("m") < F.col("r")))
+        hit = hit.select("k", "q", "n", (F.col("r") - F.col("upto") + F.col("m")).alias("r"), "lo", "hi", "m")
+        state = state.where(~open_).unionByName(hit).checkpoint()
+    one = state.where("lo = hi").select("k", "q", "n", F.col("lo").alias("x"))
+    few = values.join(state.where("lo < hi"), "k").where(F.col("x").between(F.col("lo"), F.col("hi")))
+    nth = F.row_number().over(Window.partitionBy("k", "q").orderBy("x"))  # at most RANK_ROWS rows
+    ranked = few.withColumn("nth", nth).where("nth = r").select("k", "q", "n", "x")
+    return one.unionByName(ranked).select(F.col("k").alias(key), "q", "n", F.col("x").alias(value))
+
+
 def speed_profile(silver: DataFrame) -> DataFrame:
     """A11 per month: p50, p99.9 and max of implied mph, with the row count.
 
-    A percentile is the value at rank ceil(q * n) of the month's sorted speeds,
-    read from a mergeable KLL sketch. Each task's rows go to one of
-    ``SPEED_MERGE_GROUPS`` merge groups; sketches are built per (month, group)
-    and then merged per month, so no single task merges a hot month's sketches
-    from every task.
+    A percentile is the value at rank ceil(q * n) of the month's sorted speeds, the
+    maximum that at rank n.
     """
-    mph = implied_mph(silver).withColumn("_group", F.spark_partition_id() % SPEED_MERGE_GROUPS)
-    per_group = mph.groupBy(MONTH, "_group").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.kll_sketch_agg_double("mph", SPEED_SKETCH_K).alias("sketch"),
-        F.max("mph").alias("mph_max"),
-    )
-    per_month = per_group.groupBy(MONTH).agg(
-        F.sum("n").alias("n"),
-        F.kll_merge_agg_double("sketch").alias("sketch"),
-        F.max("mph_max").alias("mph_max"),
-    )
-    quantile = lambda q: F.kll_sketch_get_quantile_double("sketch", F.lit(q))
+    ranks = exact_ranks(implied_mph(silver), MONTH, "mph", (*SPEED_QUANTILES, 1.0))
+    at = {q: F.max(F.when(F.col("q") == q, F.col("mph"))) for q in (*SPEED_QUANTILES, 1.0)}
     p50, p999 = SPEED_QUANTILES
-    return per_month.select(
-        MONTH, "n", quantile(p50).alias("mph_p50"), quantile(p999).alias("mph_p999"), "mph_max"
+    return ranks.groupBy(MONTH).agg(
+        F.max("n").alias("n"), at[p50].alias("mph_p50"), at[p999].alias("mph_p999"), at[1.0].alias("mph_max")
     )
 
 
