@@ -29,32 +29,27 @@ def test_missing_hours_include_dropped_files(spark):
     assert not (missing & present)
 
 
-def test_late_files_within_lateness_count_and_older_ones_are_dropped(spark):
+def test_files_count_however_late_they_land(spark):
     import datetime as dt
 
     root = scratch(spark, "test-late")
-    events = fixtures.landed_events(spark, SF_SMALL)
+    events = fixtures.table(spark, SF_SMALL, "events")
     hourly.land_hourly_files(events, f"{root}/files")
     args = (spark, f"{root}/files", f"{root}/counts", f"{root}/ckpt")
     hourly.start_hourly_stream(*args).awaitTermination()
     before = {r.hora: r.eventos for r in hourly.read_hourly_sink(spark, f"{root}/counts").collect()}
     last = max(before)
-
-    def late_file(hour: dt.datetime, n: int) -> None:
+    late = {last - dt.timedelta(hours=5): 3, last - dt.timedelta(days=5): 4, last - dt.timedelta(days=4000): 2}
+    for hour, n in late.items():
         rows = [(10_000_000 + i, hour + dt.timedelta(minutes=i), 1, "late", 1.0, "{}") for i in range(n)]
-        df = spark.createDataFrame(rows, hourly.EVENT_SCHEMA)
-        df.write.mode("append").option("compression", "gzip").option(
-            "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-        ).json(f"{root}/files/hora={hour:%Y-%m-%dT%H}")
-
-    within = last - dt.timedelta(hours=5)      # inside the 24 h lateness
-    too_old = last - dt.timedelta(days=5)      # behind the watermark
-    late_file(within, 3)
-    late_file(too_old, 4)
+        hourly.land_hourly_files(spark.createDataFrame(rows, hourly.EVENT_SCHEMA), f"{root}/files", mode="append")
     hourly.start_hourly_stream(*args).awaitTermination()
     after = {r.hora: r.eventos for r in hourly.read_hourly_sink(spark, f"{root}/counts").collect()}
-    assert after[within] == before.get(within, 0) + 3
-    assert after.get(too_old) == before.get(too_old)
+    assert after == before | {h: before.get(h, 0) + n for h, n in late.items()}
+
+
+def test_missing_hours_of_no_events(spark):
+    assert hourly.missing_hours(spark.createDataFrame([], hourly.EVENT_SCHEMA)).count() == 0
 
 
 def test_many_micro_batches_give_the_batch_counts(spark):
@@ -62,7 +57,7 @@ def test_many_micro_batches_give_the_batch_counts(spark):
     events = fixtures.landed_events(spark, SF_SMALL)
     hourly.land_hourly_files(events, f"{root}/files")
     q = hourly.start_hourly_stream(
-        spark, f"{root}/files", f"{root}/counts", f"{root}/ckpt", lateness="3650 days", max_files_per_trigger=100
+        spark, f"{root}/files", f"{root}/counts", f"{root}/ckpt", max_files_per_trigger=100
     )
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) > 1

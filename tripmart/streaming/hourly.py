@@ -1,11 +1,13 @@
 """Hourly event files: landing, counting (batch and Structured Streaming), gaps.
 
 Events arrive as one gzip JSON folder per hour; a missing hour is normal and is
-reported, not fabricated. The streaming count is an update-mode windowed
-aggregate with a watermark; each micro-batch appends its updated hours to a
-changelog tagged with the batch id, and readers take the latest value per hour.
-Appends are atomic per batch and a replayed batch writes the same values, so a
-lost executor or a restarted query never double counts.
+reported, not fabricated. The streaming count is an update-mode aggregate without
+a watermark: a file may land at any time, and no event is ever dropped for being
+late. Its state is one row per hour of the calendar (about 9,000 a year), so nothing
+needs evicting. Each micro-batch appends its updated hours to a changelog tagged
+with the batch id, and readers take the latest value per hour. Appends are atomic
+per batch and a replayed batch writes the same values, so a lost executor or a
+restarted query never double counts.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 HOUR_DIR = "hora"  # folder key of an hourly file: hora=YYYY-MM-DDTHH
+# Files of one micro-batch in the changelog (a batch has one row per hour it touched).
+CHANGELOG_FILES = 4
 
 
 def hour_start(ts: Column) -> Column:
@@ -26,7 +30,7 @@ def hour_label(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH")
 
 
-def land_hourly_files(events: DataFrame, root: str) -> str:
+def land_hourly_files(events: DataFrame, root: str, mode: str = "overwrite") -> str:
     """Write events as gzip JSON, one folder per hour.
 
     ``REBALANCE`` on the hour keeps each hour's rows in few tasks (few files per
@@ -35,7 +39,7 @@ def land_hourly_files(events: DataFrame, root: str) -> str:
     (
         events.withColumn(HOUR_DIR, hour_label(F.col("ts")))
         .hint("rebalance", HOUR_DIR)
-        .write.mode("overwrite")
+        .write.mode(mode)
         .option("compression", "gzip")
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .partitionBy(HOUR_DIR)
@@ -59,19 +63,23 @@ def hourly_counts(events: DataFrame) -> DataFrame:
     return events.groupBy(hour_start(F.col("ts")).alias("hora")).agg(F.count(F.lit(1)).alias("eventos"))
 
 
+_HOUR_SECONDS = 3600
+
+
 def missing_hours(events: DataFrame) -> DataFrame:
     """Hours of the covered months without any event.
 
-    The expected range runs from the first hour of the month of the earliest
-    event to the last hour of the month of the latest one, built in the plan
-    with ``sequence``; present hours are anti-joined away.
+    The expected range runs from the first hour of the month of the earliest event to
+    the last hour of the month of the latest one. Only those two instants reach the
+    driver; the hours between them come from a distributed ``range``, so a corrupt
+    timestamp makes more tasks, not one huge array. Present hours are anti-joined away.
     """
-    bounds = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    lo = F.date_trunc("MONTH", F.col("lo")).cast("timestamp_ntz")
-    hi = (F.date_trunc("MONTH", F.col("hi")).cast("timestamp_ntz") + F.expr("INTERVAL 1 MONTH")) - F.expr(
-        "INTERVAL 1 HOUR"
-    )
-    expected = bounds.select(F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 HOUR"))).alias("hora"))
+    month = F.date_trunc("MONTH", F.col("ts"))
+    first, last = events.agg(
+        F.min(F.unix_seconds(month.cast("timestamp"))), F.max(F.unix_seconds((month + F.expr("INTERVAL 1 MONTH")).cast("timestamp")))
+    ).first()
+    hours = events.sparkSession.range(*(0, 0) if first is None else (first // _HOUR_SECONDS, last // _HOUR_SECONDS))
+    expected = hours.select(F.timestamp_seconds(F.col("id") * _HOUR_SECONDS).cast("timestamp_ntz").alias("hora"))
     present = events.select(hour_start(F.col("ts")).alias("hora")).distinct()
     return expected.join(present, "hora", "left_anti")
 
@@ -81,50 +89,28 @@ def start_hourly_stream(
     source: str,
     sink: str,
     checkpoint: str,
-    lateness: str = "24 hours",
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     state_partitions: int = 16,
 ):
     """Count events per hour from landed files as a Structured Streaming query.
 
-    ``lateness`` is the watermark delay: rows older than the latest event minus
-    this delay are late and dropped by the aggregate, and the state of hours
-    past the watermark is released. ``state_partitions`` sizes the state store:
-    after map-side partial aggregation the state holds one row per open hour,
-    so it stays small however large the input is. It is fixed in the
-    checkpoint at the first start. Returns the ``StreamingQuery``.
+    Every landed event counts, in whatever order its file arrives.
+    ``state_partitions`` sizes the state store: after map-side partial aggregation the
+    state holds one row per hour, so it stays small however large the input is. It is
+    fixed in the checkpoint at the first start. Returns the ``StreamingQuery``.
     """
     spark = _stream_session(spark, state_partitions)
     reader = spark.readStream.schema(EVENT_SCHEMA).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    # Watermarks need an instant: the wall clock is read as UTC (the session
-    # zone is pinned), and window starts are turned back into wall-clock hours.
-    events = reader.json(source).withColumn("event_time", F.col("ts").cast("timestamp"))
-    counts = (
-        events.withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", "1 hour"))
-        .agg(F.count(F.lit(1)).alias("eventos"))
-    )
+    counts = hourly_counts(reader.json(source))
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
-        # Day folders keep the changelog prunable: a reader of some days never
-        # scans the updates of others. A batch's update holds one row per hour it
-        # touched, so it is shuffled by day (cheap) to write one file per day,
-        # while the stateful stage above keeps its own parallelism.
-        hour = F.col("window.start").cast("timestamp_ntz")
+        # One row per hour the batch touched: a few small files for each batch.
         (
-            batch.select(
-                hour.alias("hora"),
-                "eventos",
-                F.lit(batch_id).cast("bigint").alias("lote"),
-                F.date_format(hour, "yyyy-MM-dd").alias("dia"),
-            )
-            .repartition("dia")
-            .write.mode("append")
-            .partitionBy("dia")
-            .parquet(sink)
+            batch.select("hora", "eventos", F.lit(batch_id).cast("bigint").alias("lote"))
+            .coalesce(CHANGELOG_FILES).write.mode("append").parquet(sink)
         )
 
     writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
@@ -149,12 +135,7 @@ def _stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
     return child
 
 
-def read_hourly_sink(spark: SparkSession, sink: str, days: list[str] | None = None) -> DataFrame:
-    """Latest count per hour from the changelog written by the stream.
-
-    ``days`` ("YYYY-MM-DD") restricts the read to those day folders.
-    """
+def read_hourly_sink(spark: SparkSession, sink: str) -> DataFrame:
+    """Latest count per hour from the changelog written by the stream."""
     log = spark.read.parquet(sink)
-    if days:
-        log = log.where(F.col("dia").isin(days))
     return log.groupBy("hora").agg(F.max_by("eventos", "lote").alias("eventos"))
