@@ -71,7 +71,7 @@ def test_materialize_rewrite_and_missing_month(spark, lake):
     months = silver.landed_raw_months(spark, lake, "yellow")
     assert len(months) == 83
     first = silver.materialize(spark, lake, "yellow", months)
-    assert first.created and first.coherent
+    assert first.new_table and not first.unequal
     assert (first.read, first.written, first.flagged) == (6000, 6000, 1816)
     assert first.extras == ()
 
@@ -79,7 +79,7 @@ def test_materialize_rewrite_and_missing_month(spark, lake):
     others = {m: _files(f"{lake.silver('yellow')}/mes={m}") for m in months if m != target}
     again = silver.materialize(spark, lake, "yellow", target)
     twice = silver.materialize(spark, lake, "yellow", target)
-    assert not again.created and again.written == twice.written == first.per_month_read[target]
+    assert not again.new_table and again.written == twice.written == first.by_month[target].raw
     assert {m: _files(f"{lake.silver('yellow')}/mes={m}") for m in others} == others
 
     with pytest.raises(silver.MonthNotLanded):
@@ -107,8 +107,11 @@ def test_staged_publish(spark, lake):
     from tripmart.plans import publish
 
     months = silver.landed_raw_months(spark, lake, "yellow")
-    report = publish.stage_validate_publish(spark, lake, "yellow", months[:3])
-    assert report.coherent and report.read > 0
+    run = publish.stage_validate_publish(spark, lake, "yellow", months[:3])
+    assert not run.unequal and run.read > 0
+    from tripmart.lake import list_dirs
+
+    assert not list_dirs(spark, f"{lake.root}/_staging/*/*")  # nothing staged stays behind
 
 
 def test_canary(spark, lake):
@@ -142,7 +145,7 @@ def test_backfill_of_a_range(spark, lake):
     beyond = f"{y + (m == 12):04d}-{1 if m == 12 else m + 1:02d}"
     result = silver.backfill(spark, lake, "yellow", first, beyond)
     assert result.not_landed == (beyond,)
-    assert result.report.months == (months[-3], months[-2], months[-1]) and result.report.coherent
+    assert result.run.months == (months[-3], months[-2], months[-1]) and not result.run.unequal
 
 
 def test_registration_picks_up_new_months(spark):

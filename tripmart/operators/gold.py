@@ -6,13 +6,14 @@ includes the month so that a second month never adds onto the first.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.flags import FLAG_NAMES, MONTH, duration_seconds, is_clean
-from tripmart.lake import CANARY_NAME, NAMED_MART, Lake, month_folders, read_months, table_exists
+from tripmart.lake import CANARY_NAME, NAMED_MART, Lake, drop_months, month_folders, read_months, table_exists
 from tripmart.operators.zones import with_zone_names
 
 GRAIN = (MONTH, "pu_location_id", "hora")
@@ -20,7 +21,7 @@ MART_COLUMNS = (*GRAIN, "viajes", "ingreso", "distancia_total", "duracion_media_
 
 
 class EmptyMart(RuntimeError):
-    """The mart (or a refreshed month of it) came out without rows."""
+    """A month to refresh is not in silver."""
 
 
 def clean(silver: DataFrame, flags: Sequence[str] = FLAG_NAMES) -> DataFrame:
@@ -65,10 +66,15 @@ def build(spark: SparkSession, lake: Lake, service: str = "yellow", target: str
     """Rebuild the whole mart from silver, partitioned by month."""
     target = target or lake.gold()
     source = spark.read.parquet(lake.silver(service))
-    _write(mart(source), target, dynamic=False)
+    write_mart(mart(source), target)
     return target
 
 
+def write_mart(rows: DataFrame, path: str) -> None:
+    """Write a whole mart, partitioned by month."""
+    _write(rows, path, dynamic=False)
+
+
 def refresh(
     spark: SparkSession,
     lake: Lake,
@@ -76,36 +82,38 @@ def refresh(
     service: str = "yellow",
     target: str | None = None,
 ) -> str:
-    """Recompute only the given months from silver and replace just those partitions.
+    """Recompute only the given months from silver, so that the mart equals a rebuild.
 
-    Silver is read with partition pruning on the months. A month with no clean
-    trip would leave its old partition untouched, so that case is refused.
+    Silver is read with partition pruning on the months. Months with clean trips
+    replace their partitions; a month without any (all its rows are flagged) loses
+    its partition, as a rebuild would leave it out.
     """
     target = target or lake.gold()
     wanted = list(months)
     in_silver = month_folders(spark, lake.silver(service))
     if in_silver is None:
-        source = spark.read.parquet(lake.silver(service)).where(F.col(MONTH).isin(wanted))
-    else:
-        absent = sorted(set(wanted) - set(in_silver))
-        if absent:
-            raise EmptyMart(f"months not in silver: {', '.join(absent)}")
-        source = read_months(spark, lake.silver(service), wanted)
-    m = mart(source)
-    _write(m, target, dynamic=table_exists(spark, target))
-    in_mart = month_folders(spark, target)
-    if in_mart is None:
-        in_mart = [r[0] for r in spark.read.parquet(target).select(MONTH).distinct().collect()]
-    missing = sorted(set(wanted) - set(in_mart))
-    if missing:
-        raise EmptyMart(f"months without clean trips, mart partition not replaced: {', '.join(missing)}")
+        return build(spark, lake, service, target)  # no listing: a full rebuild is the same mart
+    absent = sorted(set(wanted) - set(in_silver))
+    if absent:
+        raise EmptyMart(f"months not in silver: {', '.join(absent)}")
+    fresh = mart(read_months(spark, lake.silver(service), wanted))
+    replace_months(spark, fresh, target, wanted)
     return target
 
 
+def replace_months(spark: SparkSession, fresh: DataFrame, target: str, months: Sequence[str]) -> None:
+    """Put the rows of ``fresh`` in place of the given months of the mart at ``target``."""
+    seen = Observation(f"mart_{uuid.uuid4().hex}")
+    filled = fresh.observe(seen, F.collect_set(MONTH).alias("months"))  # at most the months given
+    _write(filled, target, dynamic=table_exists(spark, target))
+    emptied = set(months) - set(seen.get["months"])
+    drop_months(spark, target, sorted(emptied & set(month_folders(spark, target) or ())))
+
+
 def build_with_names(spark: SparkSession, lake: Lake, zones: DataFrame) -> str:
     """The mart with pickup-zone names, rebuilt from the written mart.
 
-    The zone catalogue joins through a size-checked broadcast; unmatched ids keep
+    The planner broadcasts the zone catalogue from its byte size; unmatched ids keep
     their rows with null names, and the zones that are data ("Unknown",
     "Outside of NYC") come out as names, never as nulls.
     """

@@ -1,11 +1,10 @@
-"""Write to a staging table, validate there, then publish the months.
-
-Parquet has no multi-file commit, so a reader could see a half-replaced month
-if we wrote the live table directly and failed midway. Instead the months are
-materialised into a staging table, checked (row conservation, null flags, not
-empty, and the data tests of the mart built from them), and only then copied
-into the live table with dynamic partition overwrite, after which the same
-months of the mart are refreshed. A failed check leaves both untouched.
+"""Write to staging, decide there, then publish the months.
+
+Parquet has no multi-file commit, so a reader could see a half-replaced month if the
+live tables were written directly and the job failed midway. Instead the months are
+materialised into staging, their mart is built beside them, and everything that
+can refuse the publication is decided from those two: the live tables are touched
+only after that. A month whose rows are all flagged is valid; its mart partition goes.
 """
 
 from __future__ import annotations
@@ -13,54 +12,76 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.functions.flags import MONTH
-from tripmart.lake import Lake, read_months
+from tripmart.lake import Lake, drop_tree, read_months
 from tripmart.operators import checks, gold, silver
 
 
 class PublishRefused(RuntimeError):
-    pass
+    """A check on the staged months failed; the live tables are as they were."""
+
+
+class PublishIncomplete(RuntimeError):
+    """The live table does not hold what was staged; the staging folder is kept."""
+
+
+def _problems(run: silver.Run, rows: DataFrame | None) -> list[str]:
+    """Everything wrong with the staged months, from counts the writes observed and
+    the staged mart (at most zones x 24 rows a month)."""
+    found = [f"{flag} is null in {n} rows" for flag, n in run.null_flags.items() if n]
+    if rows is None:
+        return found
+    found += [f"{r.prueba} {r.ejemplo}: {r.violaciones} ({r.sujetos} subjects)" for r in
+              checks.violation_counts(checks.mart_violations(rows, allow_empty=run.flagged == run.read)).collect()]
+    trips = rows.agg(F.coalesce(F.sum("viajes"), F.lit(0))).first()[0]
+    if trips != run.read - run.flagged:
+        found.append(f"the mart counts {trips} trips, silver has {run.read - run.flagged} clean rows")
+    return found
 
 
 def stage_validate_publish(
     spark: SparkSession, lake: Lake, service: str, months: Sequence[str], with_gold: bool = True
-) -> silver.Report:
-    """Stage the months, check them, publish them; the live tables change only if
-    every check passes.
-
-    Checks on the staged months: row conservation (D5, inside ``materialize``),
-    never-null flags (A5), not empty, and with ``with_gold`` the mart of the
-    staged months: not-null, unique grain, not empty (D1-D3) and trips equal to
-    clean silver rows per month (D6). Publishing replaces the silver months, then
-    refreshes the same months of the mart.
+) -> silver.Run:
+    """Stage the months, decide, publish. The live tables change only if every check passes.
+
+    Checked: row conservation (D5, on the staging write), never-null flags (A5, observed
+    there), and for the staged mart not-null, unique grain and not empty (D1-D3) and
+    trips equal to clean silver rows (D6). Over the staged months this takes the staging
+    write, one pass that builds the mart, and the copy. Staging is removed after a
+    publication, and after a refusal too.
     """
-    staging = lake.staging("silver", f"tlc_{service}-{uuid.uuid4().hex[:12]}")
-    report = silver.materialize(spark, lake, service, months, target=staging)
-    staged = read_months(spark, staging, list(months))
-    nulls = checks.flag_nulls(staged).first().asDict()
-    problems = [f"{k} has {v} null flags" for k, v in nulls.items() if v]
-    if report.read == 0:
-        problems.append("nothing staged")
-    if with_gold:
-        staged_mart = gold.mart(staged)
-        problems += [f"{r.prueba} {r.sujeto}: {r.violaciones}" for r in checks.mart_violations(staged_mart).collect()]
-        unequal = checks.gold_vs_silver(staged, staged_mart).where(~F.col("cuadra")).select(MONTH).collect()
-        problems += [f"gold_vs_silver {r[0]}" for r in unequal]
-    if problems:
-        raise PublishRefused("; ".join(problems))
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", silver.MAX_RECORDS_PER_FILE)
-        .partitionBy(MONTH)
-        .parquet(lake.silver(service))
-    )
-    published = silver.written_counts(spark, lake.silver(service), months)
-    if published != report.per_month_written:
-        raise PublishRefused(f"published {published}, staged {report.per_month_written}")
-    if with_gold:
-        gold.refresh(spark, lake, list(months), service)
-    return report
+    label = f"{service}-{uuid.uuid4().hex[:12]}"
+    staging = lake.staging("silver", f"tlc_{label}")
+    mart_staging = lake.staging("gold", f"mart_{label}") if with_gold else None
+    try:
+        run = silver.materialize(spark, lake, service, months, target=staging)
+        rows = None
+        if with_gold:
+            rows = gold.mart(read_months(spark, staging, run.months))
+            if run.flagged < run.read:  # else the mart is empty: no file, no schema to read
+                gold.write_mart(rows, mart_staging)
+                rows = spark.read.parquet(mart_staging)
+        problems = _problems(run, rows)
+        if problems:
+            raise PublishRefused("; ".join(problems))
+        silver.write_months(read_months(spark, staging, run.months), lake.silver(service))
+        live = silver.written_counts(spark, lake.silver(service), run.months)
+        if live != {m: n.silver for m, n in run.by_month.items()}:
+            raise PublishIncomplete(f"live months hold {live}, staged {run.by_month} in {staging}")
+        if with_gold:
+            gold.replace_months(spark, rows, lake.gold(), run.months)
+    except PublishIncomplete:
+        raise
+    except BaseException:
+        _clear(spark, staging, mart_staging)
+        raise
+    _clear(spark, staging, mart_staging)
+    return run
+
+
+def _clear(spark: SparkSession, *folders: str | None) -> None:
+    for folder in folders:
+        if folder:
+            drop_tree(spark, folder)
