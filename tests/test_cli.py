@@ -45,9 +45,10 @@ def test_commands_end_to_end(spark, capsys):
     code, rep = run(capsys, spark, "test", "--lake", lake.root)
     assert code == 0 and rep["violaciones"] == []
 
-    code, rep = run(capsys, spark, "viajes", "--hora", "12", "--limite", "5", "--lake", lake.root)
-    assert code == 0 and rep["filas"] == 5 and rep["total"] >= 5
-    assert isinstance(rep["viajes"][0]["ingreso"], str)
+    code = cli.main(["viajes", "--hora", "12", "--limite", "5", "--lake", lake.root], spark=spark)
+    *trips, totals = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()]
+    assert code == 0 and len(trips) == totals["filas"] == 5 and totals["total"] >= 5
+    assert isinstance(trips[0]["ingreso"], str)
 
     code, rep = run(capsys, spark, "viajes", "--hora", "25", "--lake", lake.root)
     assert code == 2 and "hora" in rep["error"]

@@ -1,7 +1,5 @@
 """Landing outcomes per scenario (A6) and on the documents listing."""
 
-import pytest
-
 from tests.conftest import SF_MID
 from tripmart.operators import landing as L
 from tripmart.sources import fixtures
@@ -10,27 +8,27 @@ LISTING = "key string, status int, etag string, declared_size bigint"
 LEDGER = "key string, etag string, size bigint"
 
 
-def outcome(spark, status, etag, recorded, forced=False, excused=(), size=1024):
-    listing = spark.createDataFrame([("k", status, etag, size)], LISTING)
-    ledger = spark.createDataFrame([("k", recorded, 1024)] if recorded else [], LEDGER)
-    return L.classify(listing, ledger, forced, excused).first()["resultado"]
-
-
-@pytest.mark.parametrize("status,etag,recorded,forced,excused,expected", [
-    (200, "abc", None, False, (), L.DOWNLOADED),
-    (200, "abc", "abc", False, (), L.ALREADY_PRESENT),
-    (200, "nuevo", "viejo", False, (), L.REVISION),
-    (200, "abc", "abc", True, (), L.DOWNLOADED),
-    (403, "abc", "abc", False, (403, 404), L.NOT_AVAILABLE),
-    (403, "abc", None, False, (), L.ERROR),
-    (500, "abc", None, False, (403, 404), L.ERROR),
-])
-def test_scenarios(spark, status, etag, recorded, forced, excused, expected):
-    assert outcome(spark, status, etag, recorded, forced, excused) == expected
-
-
-def test_no_declared_size_is_an_error(spark):
-    assert outcome(spark, 200, "abc", None, size=None) == L.ERROR
+def test_outcomes_equal_the_rules_for_every_combination(spark):
+    """Every status, marker, ledger entry, size and option, decided again in plain Python."""
+    import itertools
+
+    cases = list(itertools.product([200, 304, 403, 418, 503], ["m1", '"m2"', None], [None, "m1", "m2", ""], [7, None]))
+    keys = [f"k{i}" for i in range(len(cases))]
+    listing = spark.createDataFrame([(k, c[0], c[1], c[3]) for k, c in zip(keys, cases)], LISTING)
+    ledger = spark.createDataFrame([(k, c[2], 7) for k, c in zip(keys, cases) if c[2] is not None], LEDGER)
+    for forced, excused in itertools.product([False, True], [(), (403,), (403, 418)]):
+        got = {r.key: r.resultado for r in L.classify(listing, ledger, forced, excused).collect()}
+        for key, (status, etag, recorded, size) in zip(keys, cases):
+            marker = (etag or "").strip('"')
+            if status in excused:
+                want = L.NOT_AVAILABLE
+            elif status >= 400 or size is None:
+                want = L.ERROR
+            elif recorded is None or forced:
+                want = L.DOWNLOADED
+            else:
+                want = L.ALREADY_PRESENT if recorded == marker else L.REVISION
+            assert got[key] == want, (status, etag, recorded, size, forced, excused)
 
 
 def test_incomplete_transfer_never_reaches_the_ledger(spark):

@@ -6,10 +6,8 @@ import pytest
 from tripmart.operators import serving
 
 ROWS = [
-    ("2024-01", 132, 18, 7942, Decimal("652924.77"), 1.5, 60.0),
-    ("2024-01", 132, 19, 6000, Decimal("500000.00"), 1.5, 60.0),
-    ("2024-01", 237, 18, 4000, Decimal("80000.00"), 1.5, 60.0),
-    ("2024-02", 132, 18, 100, Decimal("9000.00"), 1.5, 60.0),
+    (f"2031-{m:02d}", zone, hour, m * 100 + zone + hour, Decimal(f"{m * zone + hour}.{hour:02d}"), 2.5, 90.0)
+    for m in (6, 7) for zone in (3, 8, 21) for hour in (0, 9, 23)
 ]
 SCHEMA = ("mes string, pu_location_id int, hora int, viajes bigint, ingreso decimal(20,2), "
           "distancia_total double, duracion_media_seg double")
@@ -20,35 +18,45 @@ def mart(spark):
     return serving.check_mart_schema(spark.createDataFrame(ROWS, SCHEMA))
 
 
-@pytest.mark.parametrize("params,rows,total", [
-    ({}, 4, 4),
-    ({"mes": "2024-01"}, 3, 3),
-    ({"zona": "132"}, 3, 3),
-    ({"hora": "18"}, 3, 3),
-    ({"mes": "2024-01", "zona": "132", "hora": "18"}, 1, 1),
-    ({"zona": "999"}, 0, 0),
-    ({"limite": "2"}, 2, 4),
-    ({"limite": "99"}, 4, 4),
-])
-def test_filters(mart, params, rows, total):
-    out = serving.trips(mart, serving.TripFilter.parse(**params)).collect()
-    assert len(out) == rows
-    if out:
-        assert {r.total for r in out} == {total}
+@pytest.mark.parametrize("month", [None, "2031-07", "2031-09"])
+@pytest.mark.parametrize("zone", [None, 8, 99])
+@pytest.mark.parametrize("hour", [None, 0, 23])
+@pytest.mark.parametrize("limit", [None, 1, 4])
+def test_filters_equal_a_list_filter(mart, month, zone, hour, limit):
+    given = {"mes": month, "zona": zone, "hora": hour, "limite": limit}
+    flt = serving.TripFilter.parse(**{k: str(v) for k, v in given.items() if v is not None})
+    want = sorted(r for r in ROWS if month in (None, r[0]) and zone in (None, r[1]) and hour in (None, r[2]))
+    got = serving.trips(mart, flt).collect()
+    assert [tuple(r)[:7] for r in got] == want[:limit]
+    assert {r.total for r in got} <= {len(want)}
 
 
-def test_limit_follows_grain_order(mart):
-    out = serving.trips(mart, serving.TripFilter.parse(limite="2")).collect()
-    assert [(r.mes, r.zona, r.hora) for r in out] == [("2024-01", 132, 18), ("2024-01", 132, 19)]
+BAD = {"zona": ["ocho", "3.0", str(2**31), " 8", "0x8"], "hora": ["24", "-3", "mediodia", "9h"], "limite": ["-7", "diez", "2_0"]}
+FINE = {"zona": ["+8", "-1", str(-(2**31)), ""], "hora": ["0", "23", "007", ""], "limite": ["0", "99999999999", ""]}
 
 
-@pytest.mark.parametrize("params", [
-    {"hora": "25"}, {"hora": "-1"}, {"zona": "abc"}, {"limite": "-1"}, {"limite": "muchos"},
-    {"zona": "99999999999"}, {"zona": " 5"}, {"limite": "1_0"},
-])
-def test_rejected_filters(params):
-    with pytest.raises(serving.InvalidFilter):
-        serving.TripFilter.parse(**params)
+@pytest.mark.parametrize("name,value", [(n, v) for n, vs in BAD.items() for v in vs])
+def test_bad_values_are_refused(name, value):
+    with pytest.raises(serving.InvalidFilter, match=name):
+        serving.TripFilter.parse(**{name: value})
+
+
+@pytest.mark.parametrize("name,value", [(n, v) for n, vs in FINE.items() for v in vs])
+def test_fine_values_are_taken(name, value):
+    serving.TripFilter.parse(**{name: value})
+
+
+def test_the_column_check_agrees_with_the_parser(spark):
+    from pyspark.sql import functions as F
+
+    rows = [tuple(v if n == name else None for n in BAD) for group in (BAD, FINE) for name, vs in group.items() for v in vs]
+    df = spark.createDataFrame(rows, "zona string, hora string, limite string")
+    for row in df.select("*", serving.refusal(F.col("zona"), F.col("hora"), F.col("limite")).alias("why")).collect():
+        try:
+            serving.TripFilter.parse(zona=row.zona, hora=row.hora, limite=row.limite)
+            assert row.why is None
+        except serving.InvalidFilter as err:
+            assert row.why == str(err)
 
 
 def test_month_is_not_validated(mart):
@@ -56,13 +64,13 @@ def test_month_is_not_validated(mart):
 
 
 def test_income_is_quoted_text_in_json(mart):
-    rows = serving.as_json(serving.trips(mart, serving.TripFilter.parse(hora="18", zona="132", mes="2024-01")))
+    rows = serving.as_json(serving.trips(mart, serving.TripFilter.parse(hora="9", zona="21", mes="2031-07")))
     doc = json.loads(rows.first()["json"])
-    assert doc["ingreso"] == "652924.77" and doc["zona"] == 132 and doc["viajes"] == 7942
+    assert doc["ingreso"] == "156.09" and doc["zona"] == 21 and doc["viajes"] == 730
 
 
 def test_state(mart):
-    assert serving.state(mart).first().asDict() == {"estado": "ok", "filas": 4}
+    assert serving.state(mart).first().asDict() == {"estado": "ok", "filas": len(ROWS)}
 
 
 def test_schema_assertion(spark):

@@ -1,4 +1,6 @@
-from tripmart.session import configure, scratch, shared_dir
+import pytest
+
+from tripmart.session import NoSharedFolder, configure, scratch, shared_dir
 
 
 def test_scratch_lives_below_the_shared_folder(spark):
@@ -13,3 +15,40 @@ def test_configure_pins_utc(spark):
         assert configure(spark).conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+class _Cluster:
+    """A session on a cluster master, with or without a named folder."""
+
+    def __init__(self, named=None, master="spark://head:7077"):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = self
+        self.master = master
+
+    def getCheckpointDir(self):
+        return None
+
+    def setCheckpointDir(self, path):
+        raise AssertionError(f"a folder of its own on a cluster: {path}")
+
+
+@pytest.mark.parametrize("master", ["spark://head:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_a_shared_folder_is_refused_before_any_write(master):
+    with pytest.raises(NoSharedFolder, match="spark.checkpoint.dir"):
+        scratch(_Cluster(master=master), "x")
+
+
+def test_the_named_folder_is_used():
+    assert shared_dir(_Cluster("s3a://bucket/ckpt/")) == "s3a://bucket/ckpt"
+
+
+def test_cluster_settings_can_be_set(spark):
+    from tripmart.session import CLUSTER_CONF
+
+    for key, value in CLUSTER_CONF.items():
+        if key.startswith("spark.sql."):
+            before = spark.conf.get(key)
+            try:
+                spark.conf.set(key, value)
+            finally:
+                spark.conf.set(key, before)

@@ -34,14 +34,3 @@ def test_join_keeps_rows_and_names(spark):
     assert gap.count() == mart.count()
     assert gap.where(F.col("zona_nombre").isNull()).count() == mart.where("pu_location_id = 13").count() > 0
     assert [r.LocationID for r in Z.id_gaps(cat.where("LocationID <> 13")).collect()] == [13]
-
-
-def test_broadcast_only_below_the_proven_bound(spark):
-    from tripmart.operators.joins import checked_broadcast
-
-    cat = fixtures.zones(spark, SF_SMALL)
-    assert checked_broadcast(cat, max_rows=5) is cat          # 27 rows > 5: left to the planner
-    hinted = checked_broadcast(cat, max_rows=100)
-    assert hinted is not cat and hinted.count() == 27
-    plan = hinted.join(spark.range(3).withColumnRenamed("id", "LocationID"), "LocationID")
-    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()

@@ -28,7 +28,7 @@ from tripmart import tables
 from tripmart.functions import months as M
 from tripmart.lake import Lake
 from tripmart.operators import checks, gold, landing, serving, silver
-from tripmart.operators.contract import InvalidSchema, NoContract
+from tripmart.operators.contract import ContractError
 from tripmart.session import configure
 from tripmart.sources.landed import landed_files
 from tripmart.sources.zones import read_zones
@@ -45,7 +45,8 @@ def _parser() -> argparse.ArgumentParser:
     g = sub.add_parser("gold", help="rebuild the mart, or refresh some months")
     g.add_argument("--meses", help="comma-separated months to refresh")
     g.add_argument("--zonas", help="zone catalogue CSV; also writes the mart with zone names")
-    sub.add_parser("test", help="data tests over the mart; fails when any returns rows")
+    t = sub.add_parser("test", help="data tests over the mart; fails when any returns rows")
+    t.add_argument("--detalle", help="folder for the full list of violations, as a table")
     v = sub.add_parser("viajes", help="filtered, limited trips of the mart as JSON")
     for name in ("mes", "zona", "hora", "limite"):
         v.add_argument(f"--{name}")
@@ -101,23 +102,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     try:
         if args.command == "silver":
             if args.hasta:
-                result = silver.backfill(spark, lake, args.service, args.mes, args.hasta)
-                report, missing = result.report, list(result.not_landed)
+                done = silver.backfill(spark, lake, args.service, args.mes, args.hasta)
             else:
-                report, missing = silver.materialize(spark, lake, args.service, args.mes), []
-            if report is None:
+                done = silver.Backfill(silver.materialize(spark, lake, args.service, args.mes), ())
+            run, missing = done.run, list(done.not_landed)
+            if run is None:
                 _print({"error": "no month of the range is in raw", "sin_raw": missing})
                 return 1
-            out = {"tabla": report.table, "meses": list(report.months), "leidas": report.read,
-                   "marcadas": report.flagged, "escritas": report.written, "sobrantes": list(report.extras),
-                   "tabla_creada": report.created, "nulos_por_cast": report.cast_nulls, "sin_raw": missing}
-            if args.gold and report.coherent:
-                out["mart"] = gold.refresh(spark, lake, list(report.months), args.service)
+            out = {"tabla": run.table, "meses": list(run.months), "leidas": run.read, "marcadas": run.flagged,
+                   "escritas": run.written, "sobrantes": list(run.extras), "tabla_creada": run.new_table,
+                   "nulos_por_cast": run.cast_nulls, "sin_raw": missing}
+            if args.gold:
+                out["mart"] = gold.refresh(spark, lake, list(run.months), args.service)
             _print(out)
-            return 0 if report.coherent else 1
+            return 0
         if args.command == "gold":
             if args.meses:
-                gold.refresh(spark, lake, [M.validate_month(m) for m in args.meses.split(",")], args.svc)
+                gold.refresh(spark, lake, [M.month_text(m) for m in args.meses.split(",")], args.svc)
             else:
                 gold.build(spark, lake, args.svc)
             out = {"mart": lake.gold(), "filas": spark.read.parquet(lake.gold()).count()}
@@ -127,20 +128,25 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             return 0
         if args.command == "test":
             mart = serving.read_mart(spark, lake.gold())
-            found = [r.asDict() for r in checks.mart_violations(mart).collect()]
+            # a row for each test that fails; D6 has one row for each month
+            found = [r.asDict() for r in checks.violation_counts(checks.mart_violations(mart)).collect()]
             mismatch = checks.gold_vs_silver(spark.read.parquet(lake.silver(args.svc)), mart)
-            found += [{"prueba": "gold_vs_silver", "sujeto": r[0], "violaciones": 1}
+            found += [{"prueba": "gold_vs_silver", "sujetos": 1, "violaciones": 1, "mes": r[0]}
                       for r in mismatch.where(~F.col("cuadra")).select("mes").collect()]
+            if found and args.detalle:
+                checks.mart_violations(mart).write.mode("overwrite").parquet(args.detalle)
             _print({"violaciones": found})
             return 1 if found else 0
         if args.command == "viajes":
             flt = serving.TripFilter.parse(mes=args.mes, zona=args.zona, hora=args.hora, limite=args.limite)
-            rows = [r.asDict() for r in serving.trips(serving.read_mart(spark, lake.gold()), flt).collect()]
-            total = rows[0]["total"] if rows else 0
-            for r in rows:
-                r.pop("total")
-                r["ingreso"] = str(r["ingreso"])
-            _print({"filas": len(rows), "total": total, "viajes": rows})
+            # one partition of rows at a time: the whole mart never sits in the driver
+            filas = total = 0
+            for r in serving.trips(serving.read_mart(spark, lake.gold()), flt).toLocalIterator():
+                row = r.asDict()
+                filas, total = filas + 1, row.pop("total")
+                row["ingreso"] = str(row["ingreso"])
+                _print(row)
+            _print({"filas": filas, "total": total})
             return 0
         if args.command == "pendientes":
             published = spark.read.parquet(args.publicados).select("mes")
@@ -159,10 +165,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     except serving.InvalidFilter as err:
         _print({"error": str(err)})
         return 2
-    except (M.InvalidMonth, M.InvalidService, NoContract) as err:
+    except (M.BadMonth, M.BadService) as err:
         _print({"error": str(err)})
         return 2
-    except (silver.MonthNotLanded, silver.EmptyMonth, silver.IncoherentPartition, InvalidSchema,
+    except (silver.MonthNotLanded, silver.EmptyMonth, silver.IncoherentPartition, ContractError,
             gold.EmptyMart, serving.MartSchemaError) as err:
         _print({"error": str(err)})
         return 1

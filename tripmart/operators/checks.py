@@ -43,9 +43,22 @@ def not_empty(df: DataFrame) -> DataFrame:
     )
 
 
-def mart_violations(mart: DataFrame) -> DataFrame:
-    """D1 + D2 + D3 over the mart."""
-    return not_null(mart).unionByName(grain_unique(mart)).unionByName(not_empty(mart))
+def mart_violations(mart: DataFrame, allow_empty: bool = False) -> DataFrame:
+    """D1 + D2 + D3 over the mart; ``allow_empty`` leaves D3 out."""
+    found = not_null(mart).unionByName(grain_unique(mart))
+    return found if allow_empty else found.unionByName(not_empty(mart))
+
+
+def violation_counts(violations: DataFrame) -> DataFrame:
+    """One row per test that fails: on how many subjects, one of them, and violations in all.
+
+    D2 names every duplicated grain; a broken mart may hold very many, so they are
+    counted on the cluster and only these few rows reach a driver.
+    """
+    return violations.groupBy("prueba").agg(
+        F.count(F.lit(1)).alias("sujetos"), F.min("sujeto").alias("ejemplo"),
+        F.sum("violaciones").cast("bigint").alias("violaciones"),
+    )
 
 
 def gold_vs_silver(silver: DataFrame, mart: DataFrame) -> DataFrame:

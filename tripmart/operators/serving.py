@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,8 @@ from tripmart.operators.gold import GRAIN
 
 INT32_MIN, INT32_MAX = -(2**31), 2**31 - 1
 
-# Strict mart types at the serving edge (S5): name -> accepted type.
+# --- Fixed values: the mart's columns, and the names of the JSON answer --------
+# Strict types at the serving edge (S5): name -> accepted type.
 MART_TYPES = {
     MONTH: T.StringType(),
     "pu_location_id": T.IntegerType(),
@@ -28,6 +29,14 @@ MART_TYPES = {
     "distancia_total": T.DoubleType(),
     "duracion_media_seg": T.DoubleType(),
 }
+# ---------------------------------------------------------------------------
+
+# Why a filter is refused (F13), by parameter.
+REFUSALS = {
+    "zona": "zona takes a whole number of 32 bits",
+    "hora": "hora takes a whole number from 0 to 23",
+    "limite": "limite takes a whole number that is not negative",
+}
 
 
 class InvalidFilter(ValueError):
@@ -38,27 +47,36 @@ class MartSchemaError(TypeError):
     pass
 
 
-_INTEGER = re.compile(r"[+-]?\d+")
+_WHOLE = r"[+-]?[0-9]+"
 
 
-def _integer(value: str | int | None, name: str, message: str) -> int | None:
-    """Signed decimal digits only (no spaces, no underscores); '' means absent."""
+def _whole(value: str | int | None, name: str, low: int, high: int | None) -> int | None:
+    """The number in ``value`` if it is within bounds; '' and None mean not given."""
     if value is None or value == "":
         return None
-    if isinstance(value, bool):
-        raise InvalidFilter(message)
-    if isinstance(value, int):
-        return value
-    if not isinstance(value, str) or not _INTEGER.fullmatch(value):
-        raise InvalidFilter(message)
-    return int(value)
-
-
-def _int32(value: str | int | None, name: str) -> int | None:
-    n = _integer(value, name, f"{name} must be an integer")
-    if n is not None and not INT32_MIN <= n <= INT32_MAX:
-        raise InvalidFilter(f"{name} must be an integer")
-    return n
+    digits = isinstance(value, str) and re.fullmatch(_WHOLE, value)
+    if isinstance(value, bool) or not (digits or isinstance(value, int)):
+        raise InvalidFilter(REFUSALS[name])
+    number = int(value)
+    if number < low or (high is not None and number > high):
+        raise InvalidFilter(REFUSALS[name])
+    return number
+
+
+def refusal(zona: Column, hora: Column, limite: Column) -> Column:
+    """F13 over columns of raw filter texts: why a request is refused, or null."""
+
+    def outside(value, low, high):
+        given = value.isNotNull() & (value != "")
+        number = value.try_cast("decimal(38,0)")
+        fine = value.rlike(f"^{_WHOLE}$") & number.isNotNull() & (number >= low)
+        return given & ~F.coalesce(fine & (number <= high) if high is not None else fine, F.lit(False))
+
+    return (
+        F.when(outside(zona, INT32_MIN, INT32_MAX), REFUSALS["zona"])
+        .when(outside(hora, 0, 23), REFUSALS["hora"])
+        .when(outside(limite, 0, None), REFUSALS["limite"])
+    )
 
 
 @dataclass(frozen=True)
@@ -74,14 +92,9 @@ class TripFilter:
     def parse(cls, mes=None, zona=None, hora=None, limite=None) -> TripFilter:
         """Validate raw query values. The month is not validated: an unknown month
         simply matches nothing."""
-        zone = _int32(zona, "zona")
-        hour = _int32(hora, "hora")
-        if hour is not None and not 0 <= hour <= 23:
-            raise InvalidFilter("hora must be between 0 and 23")
-        message = "limite must be a non-negative integer"
-        limit = _integer(limite, "limite", message) or 0
-        if limit < 0:
-            raise InvalidFilter(message)
+        zone = _whole(zona, "zona", INT32_MIN, INT32_MAX)
+        hour = _whole(hora, "hora", 0, 23)
+        limit = _whole(limite, "limite", 0, None) or 0
         return cls(month=mes or None, zone=zone, hour=hour, limit=limit)
 
     def apply(self, mart: DataFrame) -> DataFrame:

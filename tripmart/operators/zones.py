@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.operators.joins import checked_broadcast
-
 ZONE_ID = "LocationID"
 
 
@@ -14,8 +12,8 @@ def with_zone_names(df: DataFrame, zones: DataFrame, id_col: str = "pu_location_
     """Left join of zone names; unmatched ids keep their rows with null names.
 
     Ids such as "Unknown" or "Outside of NYC" are rows of the catalogue, so they
-    come out as data, never as nulls. The catalogue is broadcast only after its
-    size is checked.
+    come out as data, never as nulls. The planner broadcasts the catalogue from its
+    byte size, or joins by shuffle beyond the threshold.
     """
     dim = zones.select(
         F.col(ZONE_ID).alias("_zone_id"),
@@ -23,7 +21,7 @@ def with_zone_names(df: DataFrame, zones: DataFrame, id_col: str = "pu_location_
         F.col("Zone").alias("zona_nombre"),
         F.col("service_zone").alias("service_zone"),
     )
-    joined = df.join(checked_broadcast(dim), F.col(id_col) == F.col("_zone_id"), "left")
+    joined = df.join(dim, F.col(id_col) == F.col("_zone_id"), "left")
     return joined.drop("_zone_id")
 
 
@@ -52,7 +50,7 @@ def unknown_zones(trips: DataFrame, zones: DataFrame, id_col: str = "pu_location
     on one row per id whatever the number of trips.
     """
     per_zone = trips.groupBy(F.col(id_col).alias(ZONE_ID)).agg(F.count(F.lit(1)).alias("viajes"))
-    return per_zone.join(checked_broadcast(zones.select(ZONE_ID)), ZONE_ID, "left_anti")
+    return per_zone.join(zones.select(ZONE_ID), ZONE_ID, "left_anti")
 
 
 def catalogue_problems(trips: DataFrame, zones: DataFrame, id_col: str = "pu_location_id") -> DataFrame:
@@ -71,7 +69,7 @@ def special_zone_trips(mart: DataFrame, zones: DataFrame) -> DataFrame:
         F.col(ZONE_ID).alias("pu_location_id")
     )
     return (
-        mart.join(checked_broadcast(special), "pu_location_id", "left_semi")
+        mart.join(special, "pu_location_id", "left_semi")
         .groupBy("pu_location_id")
         .agg(F.sum("viajes").alias("viajes"))
     )

@@ -37,16 +37,12 @@ CLUSTER_CONF = {
 }
 
 
-def apply_cluster_conf(spark: SparkSession) -> SparkSession:
-    """Set the runtime-settable SQL entries of ``CLUSTER_CONF`` on a session."""
-    for key, value in CLUSTER_CONF.items():
-        if key.startswith("spark.sql."):
-            spark.conf.set(key, value)
-    return spark
-
-
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the settings the semantics rely on; leave everything else alone."""
+    """Pin the settings the semantics rely on; leave everything else alone.
+
+    This changes the session given: its time zone becomes UTC, for plans built before
+    as well. Queries call it when they are built; keep the zone until they have run.
+    """
     for key, value in REQUIRED_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -87,28 +83,35 @@ def local_session(
     return configure(spark)
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster session that names no folder all executors can reach."""
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to storage every executor can reach.
-    Only when it is unset (local tests) is a folder of our own created and
-    registered as the checkpoint directory.
+    On a cluster it must be set to storage that every executor can reach; without it
+    this raises before anything is written. Only a local master, where driver and
+    executors are one process, gets a folder of its own (as in tests).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # noqa: BLE001 - sessions without a local context (Spark Connect)
-        current = None
+        context = spark.sparkContext
+    except Exception as err:  # noqa: BLE001 - sessions without a local context (Spark Connect)
+        raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share") from err
+    current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    own = tempfile.mkdtemp(prefix="tripmart-ckpt-")
-    try:
-        spark.sparkContext.setCheckpointDir(own)
-        return spark.sparkContext.getCheckpointDir().rstrip("/")
-    except Exception:  # noqa: BLE001
-        return own
+    if not _single_process(context.master):
+        raise NoSharedFolder(f"set spark.checkpoint.dir to a folder that all executors of {context.master} share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tripmart-ckpt-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def _single_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -103,6 +103,47 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listing_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 with failing statuses on every 19th key and no declared size on every 23rd."""
+    return listing(spark, sf_dir).withColumns({
+        "status": F.when(F.col("key") % 19 == 0, F.lit(500)).otherwise(F.col("status")),
+        "declared_size": F.when(F.col("key") % 23 != 0, F.col("declared_size")),
+    })
+
+
+def flagged_month(raw: DataFrame, month: str) -> DataFrame:
+    """The rows of one file month with their totals turned negative: all are flagged."""
+    return raw.where(F.col(FILE_MONTH) == month).withColumn("total_amount", -F.abs("total_amount") - F.lit(1.0))
+
+
+def months_in_variants(raw: DataFrame) -> dict[str, DataFrame]:
+    """The raw months as files that differ, by month number modulo 5: as published;
+    other case and narrower ids; two columns absent; one column too many; money
+    that does not fit the contract's type."""
+    kind = F.substring(FILE_MONTH, 6, 2).cast("int") % 5
+    parts = {name: raw.where(kind == i) for i, name in enumerate(("published", "case", "absent", "extra", "overflow"))}
+    parts["case"] = parts["case"].withColumnsRenamed({"Airport_fee": "AIRPORT_FEE", "VendorID": "vendorid"}).withColumn(
+        "PULocationID", F.col("PULocationID").cast("int")
+    )
+    parts["absent"] = parts["absent"].drop("tolls_amount", "RatecodeID")
+    parts["extra"] = parts["extra"].withColumn("peaje_puente", F.lit(0.25))
+    parts["overflow"] = parts["overflow"].withColumn(
+        "fare_amount", F.when(F.col("VendorID") == 1, F.col("fare_amount") * 1e7).otherwise(F.col("fare_amount"))
+    )
+    return parts
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw filter texts, good and bad, one request for each order."""
+    key = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        key.alias("pedido"),
+        F.when(key % 7 == 0, F.col("o_orderpriority")).otherwise((F.col("o_custkey") % 40 - 5).cast("string")).alias("zona"),
+        F.when(key % 11 == 0, "").otherwise((key % 30 - 3).cast("string")).alias("hora"),
+        F.when(key % 13 == 0, "1_0").otherwise((key % 9 - 1).cast("string")).alias("limite"),
+    )
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B3 ledger of landed objects: keys not divisible by 3; every 5th has an old marker."""
     docs = table(spark, sf_dir, "documents")

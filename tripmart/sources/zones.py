@@ -16,6 +16,6 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_zones(zones: DataFrame, path: str) -> str:
-    """Land a zone catalogue as one quoted CSV file (the catalogue is a few hundred rows)."""
-    zones.coalesce(1).write.mode("overwrite").csv(path, header=True, quoteAll=True)
+    """Land a zone catalogue as a folder of quoted CSV files, as its tasks give them."""
+    zones.write.mode("overwrite").csv(path, header=True, quoteAll=True)
     return path

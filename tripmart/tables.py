@@ -17,8 +17,9 @@ def _q(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
-def ensure_namespace(spark: SparkSession, namespace: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(namespace)}")
+def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(namespace)}{place}")
 
 
 def register(spark: SparkSession, name: str, path: str, partitioned: bool = True) -> None:
