@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tools.oracle_check import digest, duck
+from tripmart.plans import catalog, oracle
 
-ORACLES = E.oracle_sql()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +16,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(ORACLES)
+    assert set(catalog.QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(E.oracle_sql()) and set(catalog.QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.QUERIES[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
     res = con.execute(ORACLES[name])
     d_cols = [c[0] for c in res.description]
@@ -35,9 +37,21 @@ def test_entry_smoke(spark):
     assert df.count() == 3887
 
 
-def test_contract_report(spark):
-    rows = {r.caso: r.resultado for r in E.queries()["contract_report"](spark, SF_SMALL).collect()}
-    assert rows["yellow as published"] == "ok"
-    assert rows["two columns missing"] == "error"
-    assert rows["service without contract"] == "error"
-    assert rows["type probe"] == "ok" and rows["income has two decimals"] == "ok"
+def test_contract_report_finds_every_variant(spark):
+    rows = E.queries()["contract_report"](spark, SF_SMALL).collect()
+    assert {r.ausentes for r in rows} == {"", "RatecodeID,tolls_amount"} and {r.sobrantes for r in rows} == {"", "peaje_puente"}
+    assert any(r.perdidas for r in rows) and all((r.perdidas is None) == (not r.contrato_ok) for r in rows)
+
+
+@pytest.mark.parametrize("partitions", ["1", "8", "64"])
+def test_speed_ranks_do_not_depend_on_partitions_or_bins(spark, con, monkeypatch, partitions):
+    from tripmart.operators import profile
+
+    monkeypatch.setattr(profile, "RANK_BINS", 7)
+    monkeypatch.setattr(profile, "RANK_ROWS", 5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        test_query_matches_oracle(spark, con, "speed_profile_one_month")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

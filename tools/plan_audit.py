@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tripmart.plans import catalog  # noqa: E402
 from tripmart.session import local_session  # noqa: E402
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -30,7 +30,7 @@ def plan_text(df) -> str:
 
 def audit(spark, sf_dir: str) -> list[dict]:
     rows = []
-    for name, query in E.queries().items():
+    for name, query in catalog.QUERIES.items():
         text = plan_text(query(spark, sf_dir))
         rows.append({
             "query": name,

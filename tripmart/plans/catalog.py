@@ -8,22 +8,35 @@ read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.functions.flags import MONTH, any_flag
-from tripmart.lake import Lake
+from tripmart import tables
+from tripmart.functions.flags import FLAG_NAMES, MONTH, any_flag
+from tripmart.functions.months import Month
+from tripmart.lake import Lake, table_exists
 from tripmart.operators import checks, gold, landing, profile, serving, silver, zones
-from tripmart.plans import oracle, publish, reports
+from tripmart.plans import publish, reports
 from tripmart.session import configure, scratch
+from tripmart.operators.contract import FILE_MONTH
 from tripmart.sources import fixtures
 from tripmart.sources import zones as zone_source
+from tripmart.sources.landed import landed_files
 from tripmart.streaming import hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Parameters of the serving queries.
+SERVE_HOUR, SERVE_LIMIT = 18, 100
+SERVE_MONTH, SERVE_ZONE = "1995-03", 5
+# The file month of the query that puts all trips into one month.
+ONE_MONTH = "1995-06"
+MONEY = ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount",
+         "congestion_surcharge", "airport_fee")
+
 
 def silver_of(spark: SparkSession, sf_dir: str, null_pickup_every: int | None = None) -> DataFrame:
     raw = fixtures.trips_raw(configure(spark), sf_dir, null_pickup_every)
@@ -101,23 +114,32 @@ def _landed_lake(spark: SparkSession, sf_dir: str, name: str) -> tuple[Lake, lis
     return lake, silver.landed_raw_months(spark, lake, "yellow")
 
 
+def _contents_by_month(table: DataFrame) -> DataFrame:
+    """Rows, every flag and the exact sum of every money column, by month."""
+    return table.groupBy(MONTH).agg(
+        F.count(F.lit(1)).alias("filas"),
+        *[F.count_if(F.col(n)).alias(n) for n in FLAG_NAMES],
+        *[F.sum(c).alias(c) for c in MONEY],
+        F.sum("passenger_count").alias("passenger_count"),
+    )
+
+
 def q_rewrite_month(spark, sf_dir):
     """Backfill every month in one job, then replace one month twice;
     the table must still hold exactly the raw rows of every month."""
     lake, months = _landed_lake(spark, sf_dir, "rewrite")
     first = silver.materialize(spark, lake, "yellow", months)
     again = [silver.materialize(spark, lake, "yellow", months[len(months) // 2]) for _ in range(2)]
-    if not (first.created and not any(r.created for r in again) and again[0].written == again[1].written):
+    if not (first.new_table and not any(r.new_table for r in again) and again[0].written == again[1].written):
         raise AssertionError("re-running a month changed the table")
-    table = spark.read.parquet(lake.silver("yellow"))
-    return table.groupBy(MONTH).agg(F.count(F.lit(1)).alias("filas"))
+    return _contents_by_month(spark.read.parquet(lake.silver("yellow")))
 
 
 def q_silver_report(spark, sf_dir):
-    """The run report of a silver backfill (A2, A3, P3, S6, D5) as one row."""
+    """The report of a silver backfill (A2, A3, P3, S6, D5) as one row."""
     lake, months = _landed_lake(spark, sf_dir, "report")
     r = silver.materialize(spark, lake, "yellow", months)
-    row = (r.read, r.flagged, r.written, ",".join(r.extras), r.created, r.coherent, sum(r.cast_nulls.values()))
+    row = (r.read, r.flagged, r.written, ",".join(r.extras), r.new_table, not r.unequal, sum(r.cast_nulls.values()))
     schema = ("leidas bigint, marcadas bigint, escritas bigint, sobrantes string, tabla_creada boolean, "
               "coherente boolean, nulos_por_cast bigint")
     return spark.createDataFrame([row], schema)
@@ -127,8 +149,59 @@ def q_staged_publish(spark, sf_dir):
     """Write months to staging, validate there, publish only if clean."""
     lake, months = _landed_lake(spark, sf_dir, "staged")
     publish.stage_validate_publish(spark, lake, "yellow", months)
-    table = spark.read.parquet(lake.silver("yellow"))
-    return table.groupBy(MONTH).agg(F.count(F.lit(1)).alias("filas"))
+    return _contents_by_month(spark.read.parquet(lake.silver("yellow")))
+
+
+def _emptied(spark, sf_dir, lake, months) -> str:
+    """Land the middle month again with every row flagged."""
+    middle = months[len(months) // 2]
+    silver.land_raw(fixtures.flagged_month(fixtures.trips_raw(spark, sf_dir), middle), lake)
+    return middle
+
+
+def q_refresh_emptied_month(spark, sf_dir):
+    """R2: a month re-landed without a clean trip leaves the mart, as in a rebuild."""
+    lake, months = _landed_lake(spark, sf_dir, "emptied")
+    silver.materialize(spark, lake, "yellow", months)
+    gold.build(spark, lake)
+    middle = _emptied(spark, sf_dir, lake, months)
+    silver.materialize(spark, lake, "yellow", middle)
+    gold.refresh(spark, lake, [months[0], middle])
+    return serving.read_mart(spark, lake.gold())
+
+
+def q_publish_emptied_month(spark, sf_dir):
+    """Two months published together, one of them now without a clean trip."""
+    lake, months = _landed_lake(spark, sf_dir, "publish-emptied")
+    publish.stage_validate_publish(spark, lake, "yellow", months)
+    middle = _emptied(spark, sf_dir, lake, months)
+    publish.stage_validate_publish(spark, lake, "yellow", [months[0], middle])
+    return serving.read_mart(spark, lake.gold())
+
+
+def q_publish_refused(spark, sf_dir):
+    """One of two staged months fails D1 (hours without a value); nothing live changes."""
+    lake, months = _landed_lake(spark, sf_dir, "refused")
+    publish.stage_validate_publish(spark, lake, "yellow", months)
+    broken = fixtures.trips_raw(spark, sf_dir, null_pickup_every=2).where(F.col(FILE_MONTH) == months[1])
+    silver.land_raw(broken, lake)
+    try:
+        publish.stage_validate_publish(spark, lake, "yellow", months[:2])
+    except publish.PublishRefused:
+        live = spark.read.parquet(lake.silver("yellow"))
+        return gold.mart(live).unionByName(serving.read_mart(spark, lake.gold()))
+    raise AssertionError("a mart with null hours was published")
+
+
+def q_raw_single_files(spark, sf_dir):
+    """Months landed as single files, backfilled over a range whose last
+    two months never landed; those have no rows and no partition."""
+    lake = Lake(scratch(configure(spark), "single"))
+    months = silver.land_single_files(fixtures.trips_raw(spark, sf_dir), lake)
+    end = Month.of(months[-1]).next().next()
+    done = silver.backfill(spark, lake, "yellow", months[0], str(end))
+    absent = spark.createDataFrame([(m,) for m in done.not_landed], f"{MONTH} string")
+    return _contents_by_month(spark.read.parquet(lake.silver("yellow"))).unionByName(absent, allowMissingColumns=True)
 
 
 def q_incremental_vs_full(spark, sf_dir):
@@ -144,7 +217,7 @@ def q_incremental_vs_full(spark, sf_dir):
 
 
 # --- serving ----------------------------------------------------------------
-SERVE_FILTER = serving.TripFilter.parse(hora=str(oracle.SERVE_HOUR), limite=str(oracle.SERVE_LIMIT))
+SERVE_FILTER = serving.TripFilter.parse(hora=str(SERVE_HOUR), limite=str(SERVE_LIMIT))
 
 
 def q_serve_trips(spark, sf_dir):
@@ -159,7 +232,53 @@ def q_mart_state(spark, sf_dir):
     return serving.state(serving.check_mart_schema(mart_of(spark, sf_dir)))
 
 
+def q_serve_month(spark, sf_dir):
+    """F12 by month."""
+    return serving.trips(mart_of(spark, sf_dir), serving.TripFilter.parse(mes=SERVE_MONTH))
+
+
+def q_serve_zone(spark, sf_dir):
+    """F12 by zone."""
+    return serving.trips(mart_of(spark, sf_dir), serving.TripFilter.parse(zona=str(SERVE_ZONE)))
+
+
+def q_serve_refusals(spark, sf_dir):
+    """F13 over requests: why each is refused, or null."""
+    asked = fixtures.requests(configure(spark), sf_dir)
+    return asked.select("pedido", serving.refusal(F.col("zona"), F.col("hora"), F.col("limite")).alias("motivo"))
+
+
 # --- landing ----------------------------------------------------------------
+def q_landing_errors(spark, sf_dir):
+    """L3, L4: failing statuses and missing sizes."""
+    configure(spark)
+    found = landing.classify(fixtures.listing_with_errors(spark, sf_dir), fixtures.ledger(spark, sf_dir),
+                             excused=landing.TRIPS_NOT_PUBLISHED)
+    return found.select("key", "status", "resultado", "motivo")
+
+
+def q_landing_files(spark, sf_dir):
+    """L5, L6 through real files and ledger versions: one folder of lines for each source,
+    every fourth with a wrong declared size; two runs, the second after the first's ledger."""
+    root = scratch(configure(spark), "landing-files")
+    docs = fixtures.table(spark, sf_dir, "documents")
+    docs.select("source", F.md5("text").alias("value")).write.partitionBy("source").text(f"{root}/files")
+    listing = docs.groupBy(F.col("source").alias("key")).agg(F.count(F.lit(1)).alias("n")).select(
+        "key", F.lit(200).alias("status"), F.md5(F.col("n").cast("string")).alias("etag"),
+        (F.col("n") * 33 + (F.regexp_extract("key", "[0-9]+", 0).cast("int") % 4 == 0).cast("int")).alias("declared_size"),
+    )
+    files = landed_files(spark, f"{root}/files", "*.txt")
+    landed = files.groupBy(F.regexp_extract("key", "source=([^/]+)/", 1).alias("key")).agg(F.sum("length").alias("length"))
+    for _ in range(2):
+        known = landing.current_ledger(spark, f"{root}/ledger")
+        classified = landing.classify(listing, known)
+        landing.write_ledger_version(
+            spark, landing.next_ledger(known, landing.verify_sizes(classified, landed)), f"{root}/ledger"
+        )
+    ledger = landing.current_ledger(spark, f"{root}/ledger").select("key", F.col("etag").alias("marca"), "size")
+    return classified.join(ledger, "key", "left").select("key", "resultado", "marca", "size")
+
+
 def _classified(spark, sf_dir, forced=False):
     configure(spark)
     return landing.classify(
@@ -218,11 +337,69 @@ def q_special_zones(spark, sf_dir):
     return zones.special_zone_trips(mart_of(spark, sf_dir), _zone_catalogue(spark, sf_dir))
 
 
+def q_catalog_names(spark, sf_dir):
+    """A table by name, its partitions, what dropping the name leaves, and a
+    month that never landed leaving no table."""
+    lake, months = _landed_lake(spark, sf_dir, "names")
+    silver.materialize(spark, lake, "yellow", months)
+    namespace = f"lago_{uuid.uuid4().hex[:12]}"
+    tables.ensure_namespace(spark, namespace, f"{lake.root}/{namespace}")
+    name = f"{namespace}.tlc_yellow"
+    tables.register(spark, name, lake.silver("yellow"))
+    rows = [("filas", spark.table(name).count()), ("particiones", tables.partitions(spark, name).count())]
+    tables.drop(spark, name)
+    tables.drop_namespace(spark, namespace)
+    rows += [("nombre tras borrar", int(namespace in tables.namespaces(spark))),
+             ("filas tras borrar", spark.read.parquet(lake.silver("yellow")).count())]
+    empty = Lake(f"{lake.root}/otro")
+    try:
+        silver.materialize(spark, empty, "yellow", "2099-01")
+    except silver.MonthNotLanded:
+        rows.append(("tabla de un mes sin aterrizar", int(table_exists(spark, empty.silver("yellow")))))
+    return spark.createDataFrame(rows, "paso string, valor bigint")
+
+
+def q_tests_that_fail(spark, sf_dir):
+    """D2, D3, D6 and D9 on inputs that break them, by case."""
+    s = silver_of(spark, sf_dir)
+    mart = gold.mart(s)
+    first = mart.agg(F.min(MONTH)).first()[0]
+    zone_list = fixtures.zones(spark, sf_dir)
+    twice = zone_list.unionByName(zone_list.where("LocationID IN (7, 9)"))
+
+    def of(case, counted):
+        return counted.select(F.lit(case).alias("caso"), "prueba", "sujetos", "violaciones")
+
+    unequal = checks.gold_vs_silver(s, mart.where(F.col(MONTH) != first)).where(~F.col("cuadra"))
+    return (
+        of("zona repetida", checks.violation_counts(
+            checks.mart_violations(mart.unionByName(mart.where(F.col("pu_location_id") == SERVE_ZONE)))))
+        .unionByName(of("mart vacio", checks.violation_counts(checks.mart_violations(mart.where(F.lit(False))))))
+        .unionByName(of("falta un mes", checks.violation_counts(unequal.select(
+            F.lit("gold_vs_silver").alias("prueba"), F.col(MONTH).alias("sujeto"),
+            (F.col("limpias") - F.col("viajes")).alias("violaciones")))))
+        .unionByName(of("id repetido", checks.violation_counts(zones.id_duplicates(twice).select(
+            F.lit("id_unico").alias("prueba"), F.col(zones.ZONE_ID).cast("string").alias("sujeto"),
+            F.col("n").alias("violaciones")))))
+    )
+
+
+def q_income_text(spark, sf_dir):
+    """Incomes that do not print with two decimals."""
+    return checks.income_text(mart_of(spark, sf_dir))
+
+
 # --- profiles ---------------------------------------------------------------
 def q_speed_profile(spark, sf_dir):
     return profile.speed_profile(silver_of(spark, sf_dir))
 
 
+def q_speed_profile_one_month(spark, sf_dir):
+    """A11 with every trip in one file month: more rows than any bound of the ranking."""
+    raw = fixtures.trips_raw(configure(spark), sf_dir).withColumn(FILE_MONTH, F.lit(ONE_MONTH))
+    return profile.speed_profile(silver.transform(raw, "yellow")[0])
+
+
 def q_negative_by_payment(spark, sf_dir):
     return profile.negative_by_payment(silver_of(spark, sf_dir))
 
@@ -240,27 +417,49 @@ def q_distance_outlier(spark, sf_dir):
 
 
 # --- hourly events ----------------------------------------------------------
+def _all_events(spark, sf_dir):
+    return fixtures.table(configure(spark), sf_dir, "events")
+
+
 def q_hourly_events(spark, sf_dir):
-    return hourly.hourly_counts(fixtures.landed_events(configure(spark), sf_dir))
+    return hourly.hourly_counts(_all_events(spark, sf_dir))
 
 
 def q_missing_hours(spark, sf_dir):
     return hourly.missing_hours(fixtures.landed_events(configure(spark), sf_dir))
 
 
+def _streamed(spark, root):
+    query = hourly.start_hourly_stream(spark, f"{root}/files", f"{root}/counts", f"{root}/checkpoint")
+    query.awaitTermination()
+
+
 def q_hourly_events_stream(spark, sf_dir):
     """The hourly count again, landed as gzip JSON files and counted by a stream."""
     root = scratch(configure(spark), "hourly")
-    hourly.land_hourly_files(fixtures.landed_events(spark, sf_dir), f"{root}/files")
-    query = hourly.start_hourly_stream(spark, f"{root}/files", f"{root}/counts", f"{root}/checkpoint")
-    query.awaitTermination()
+    hourly.land_hourly_files(_all_events(spark, sf_dir), f"{root}/files")
+    _streamed(spark, root)
+    return hourly.read_hourly_sink(spark, f"{root}/counts")
+
+
+def q_hourly_events_two_runs(spark, sf_dir):
+    """The stream run twice, the older hours landing after the newer ones were counted."""
+    root = scratch(configure(spark), "hourly-two")
+    events = _all_events(spark, sf_dir)
+    newer = F.dayofmonth("ts") >= 10
+    for part in (events.where(newer), events.where(~newer)):
+        hourly.land_hourly_files(part, f"{root}/files", mode="append")
+        _streamed(spark, root)
     return hourly.read_hourly_sink(spark, f"{root}/counts")
 
 
 # --- contract ---------------------------------------------------------------
 def q_contract_report(spark, sf_dir):
-    """P2-P4, S7, D10 as one report: (caso, resultado, detalle)."""
-    return reports.contract_report(spark, sf_dir)
+    """Months landed with differing schemas, reported from their files."""
+    lake = Lake(scratch(configure(spark), "contract"))
+    for part in fixtures.months_in_variants(fixtures.trips_raw(spark, sf_dir)).values():
+        silver.land_raw(part, lake)
+    return reports.contract_by_month(spark, lake, "yellow", silver.landed_raw_months(spark, lake, "yellow"))
 
 
 QUERIES: dict[str, Query] = {
@@ -302,4 +501,18 @@ QUERIES: dict[str, Query] = {
     "staged_publish": q_staged_publish,
     "silver_report": q_silver_report,
     "contract_report": q_contract_report,
+    "speed_profile_one_month": q_speed_profile_one_month,
+    "hourly_events_two_runs": q_hourly_events_two_runs,
+    "refresh_emptied_month": q_refresh_emptied_month,
+    "publish_emptied_month": q_publish_emptied_month,
+    "publish_refused": q_publish_refused,
+    "raw_single_files": q_raw_single_files,
+    "landing_errors": q_landing_errors,
+    "landing_files": q_landing_files,
+    "tests_that_fail": q_tests_that_fail,
+    "income_text": q_income_text,
+    "serve_month": q_serve_month,
+    "serve_zone": q_serve_zone,
+    "serve_refusals": q_serve_refusals,
+    "catalog_names": q_catalog_names,
 }

@@ -119,7 +119,6 @@ def with_mart(body: str, extra: str = "", null_pickup_every: int | None = None)
 
 
 _MART_COLS = "mes, pu_location_id, hora, viajes, ingreso, distancia_total, duracion_media_seg"
-_PER_MONTH = with_silver("SELECT mes, count(*) AS filas FROM silver GROUP BY mes")
 
 _LISTING = """listing AS (
   SELECT doc_id AS key, CASE WHEN doc_id % 17 = 0 THEN 403 ELSE 200 END AS status,
@@ -163,6 +162,7 @@ verified AS (
   WHERE c.resultado IN ('descargado', 'revision')
 )"""
 
+_HOURLY = "SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hora, count(*) AS eventos FROM events GROUP BY 1"
 _EVENTS_LANDED = """landed_events AS (
   SELECT * FROM events
   WHERE NOT ((day(ts) % 5 = 0 AND hour(ts) = 4) OR (day(ts) = 11 AND hour(ts) = 13))
@@ -202,38 +202,29 @@ _SERVE = f"""served AS (
 )"""
 
 
-_CONTRACT_TYPES = (
-    ("VendorID", "INT"), ("tpep_pickup_datetime", "TIMESTAMP"), ("tpep_dropoff_datetime", "TIMESTAMP"),
-    ("passenger_count", "INT"), ("trip_distance", "DOUBLE"), ("RatecodeID", "INT"),
-    ("store_and_fwd_flag", "VARCHAR"), ("PULocationID", "INT"), ("DOLocationID", "INT"), ("payment_type", "INT"),
-    ("fare_amount", "DECIMAL(10,2)"), ("extra", "DECIMAL(10,2)"), ("mta_tax", "DECIMAL(10,2)"),
-    ("tip_amount", "DECIMAL(10,2)"), ("tolls_amount", "DECIMAL(10,2)"), ("improvement_surcharge", "DECIMAL(10,2)"),
-    ("total_amount", "DECIMAL(10,2)"), ("congestion_surcharge", "DECIMAL(10,2)"), ("Airport_fee", "DECIMAL(10,2)"),
+_CONTENTS = (
+    "SELECT mes, count(*) AS filas, "
+    + ", ".join(f"CAST(count_if({f}) AS BIGINT) AS {f}" for f in FLAGS) + ", "
+    + ", ".join(f"CAST(sum({c}) AS DECIMAL(20,2)) AS {c}" for c in (
+        "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount",
+        "congestion_surcharge", "airport_fee"))
+    + ", CAST(sum(passenger_count) AS BIGINT) AS passenger_count FROM silver GROUP BY mes"
 )
+# The month in the middle of the sorted months.
+_MIDDLE = ("(SELECT mes FROM (SELECT mes, row_number() OVER (ORDER BY mes) - 1 AS i, count(*) OVER () AS n "
+           "FROM (SELECT DISTINCT mes FROM silver)) WHERE i = n // 2)")
 
 
 def _contract_report() -> str:
-    losses = " + ".join(f"count_if({c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL)" for c, t in _CONTRACT_TYPES)
-    fixed = [
-        ("yellow as published", "ok", "19 columns; extras: none"),
-        ("airport_fee lower case", "ok", "19 columns; extras: none"),
-        ("two columns missing", "error",
-         "source of ''yellow'' lacks 2 contract columns: congestion_surcharge, Airport_fee"),
-        ("extra column", "ok", "19 columns; extras: cbd_congestion_fee"),
-        ("service without contract", "error", "no column contract for ''fhvhv''; known: yellow"),
-        ("duplicate up to case", "error",
-         "source of ''yellow'' has columns differing only in case: VendorID/vendorid"),
-    ]
-    rows = " UNION ALL ".join(f"SELECT '{a}' AS caso, '{b}' AS resultado, '{c}' AS detalle" for a, b, c in fixed)
-    return with_mart(
-        f"{rows} UNION ALL "
-        "SELECT 'type probe', CASE WHEN count(*) > 0 THEN 'ok' ELSE 'error' END, CAST(count(*) AS VARCHAR) || ' rows' "
-        "FROM trips_raw UNION ALL "
-        f"SELECT 'cast losses', CASE WHEN ({losses}) = 0 THEN 'ok' ELSE 'warning' END, "
-        f"CASE WHEN ({losses}) = 0 THEN 'none' ELSE 'some' END FROM trips_raw UNION ALL "
-        "SELECT 'income has two decimals', CASE WHEN count(*) = 0 THEN 'ok' ELSE 'error' END, "
-        "CAST(count(*) AS VARCHAR) || ' violations' FROM mart "
-        "WHERE NOT regexp_matches(CAST(ingreso AS VARCHAR), '^-?[0-9]+[.][0-9]{2}$')"
+    kind = "CAST(substr(mes, 6, 2) AS INT) % 5"
+    return (
+        f"WITH {_trips_raw()}, t AS (SELECT *, mes_archivo AS mes FROM trips_raw) "
+        f"SELECT mes, CASE WHEN {kind} = 2 THEN 17 ELSE 19 END AS columnas, "
+        f"CASE WHEN {kind} = 2 THEN 'RatecodeID,tolls_amount' ELSE '' END AS ausentes, "
+        f"CASE WHEN {kind} = 3 THEN 'peaje_puente' ELSE '' END AS sobrantes, count(*) AS filas, "
+        f"CASE WHEN {kind} = 2 THEN NULL WHEN {kind} = 4 THEN CAST(count_if(VendorID = 1 "
+        "AND TRY_CAST(fare_amount * 1e7 AS DECIMAL(10,2)) IS NULL) AS BIGINT) ELSE 0 END AS perdidas, "
+        f"true AS tipos_ok, {kind} <> 2 AS contrato_ok FROM t GROUP BY mes"
     )
 
 
@@ -294,8 +285,72 @@ def oracle_sql() -> dict[str, str]:
             f"FROM (SELECT mes, count(*) AS limpias FROM silver WHERE NOT ({ANY}) GROUP BY mes) c "
             f"FULL JOIN (SELECT mes, sum(viajes) AS viajes FROM mart GROUP BY mes) t ON c.mes = t.mes"
         ),
-        "rewrite_month": _PER_MONTH,
-        "staged_publish": _PER_MONTH,
+        "rewrite_month": with_silver(_CONTENTS),
+        "staged_publish": with_silver(_CONTENTS),
+        "refresh_emptied_month": with_mart(f"SELECT {_MART_COLS} FROM mart WHERE mes <> {_MIDDLE}"),
+        "publish_emptied_month": with_mart(f"SELECT {_MART_COLS} FROM mart WHERE mes <> {_MIDDLE}"),
+        "publish_refused": with_mart(f"SELECT {_MART_COLS} FROM mart UNION ALL SELECT {_MART_COLS} FROM mart"),
+        "raw_single_files": with_silver(
+            f"SELECT * FROM ({_CONTENTS}) UNION ALL BY NAME SELECT strftime(CAST(max(mes) || '-01' AS DATE) "
+            "+ to_months(CAST(i AS INT)), '%Y-%m') AS mes FROM silver, range(1, 3) t(i) GROUP BY i"
+        ),
+        "landing_errors": (
+            "WITH " + _LISTING + """, found AS (
+  SELECT key, CASE WHEN key % 19 = 0 THEN 500 ELSE status END AS status, etag,
+         CASE WHEN key % 23 <> 0 THEN declared_size END AS size FROM listing)
+SELECT f.key, f.status,
+       CASE WHEN f.status = 403 THEN 'no_disponible' WHEN f.status = 500 OR f.size IS NULL THEN 'error'
+            WHEN g.etag IS NULL THEN 'descargado' WHEN g.etag = f.etag THEN 'ya_presente' ELSE 'revision' END AS resultado,
+       CASE WHEN f.status = 500 THEN 'status 500' WHEN f.status <> 403 AND f.size IS NULL THEN 'no declared size' END
+         AS motivo
+FROM found f LEFT JOIN ledger g ON f.key = g.key"""
+        ),
+        "landing_files": """
+SELECT source AS key, CASE WHEN bad THEN 'descargado' ELSE 'ya_presente' END AS resultado,
+       CASE WHEN NOT bad THEN md5(CAST(n AS VARCHAR)) END AS marca, CASE WHEN NOT bad THEN n * 33 END AS size
+FROM (SELECT source, count(*) AS n, CAST(regexp_extract(source, '[0-9]+') AS INT) % 4 = 0 AS bad
+      FROM documents GROUP BY source)""",
+        "tests_that_fail": with_mart(
+            "SELECT 'zona repetida' AS caso, 'grain_unique' AS prueba, count(*) AS sujetos, 2 * count(*) AS violaciones "
+            "FROM mart WHERE pu_location_id = 5 HAVING count(*) > 0 "
+            "UNION ALL SELECT 'mart vacio', 'not_empty', 1, 1 "
+            "UNION ALL SELECT 'falta un mes', 'gold_vs_silver', 1, CAST(sum(viajes) AS BIGINT) FROM mart "
+            "WHERE mes = (SELECT min(mes) FROM mart) "
+            "UNION ALL SELECT 'id repetido', 'id_unico', 2, 4"
+        ),
+        "income_text": with_mart(
+            "SELECT 'income_two_decimals' AS prueba, CAST(ingreso AS VARCHAR) AS sujeto, CAST(1 AS BIGINT) AS violaciones "
+            "FROM mart WHERE NOT regexp_matches(CAST(ingreso AS VARCHAR), '^-?[0-9]+[.][0-9]{2}$')"
+        ),
+        "serve_month": with_mart(
+            "SELECT mes, pu_location_id AS zona, hora, viajes, ingreso, distancia_total, duracion_media_seg, "
+            "count(*) OVER () AS total FROM mart WHERE mes = '1995-03'"
+        ),
+        "serve_zone": with_mart(
+            "SELECT mes, pu_location_id AS zona, hora, viajes, ingreso, distancia_total, duracion_media_seg, "
+            "count(*) OVER () AS total FROM mart WHERE pu_location_id = 5"
+        ),
+        "serve_refusals": """
+SELECT o_orderkey AS pedido,
+       CASE WHEN o_orderkey % 7 = 0 THEN 'zona takes a whole number of 32 bits'
+            WHEN o_orderkey % 11 <> 0 AND NOT (o_orderkey % 30 - 3 BETWEEN 0 AND 23)
+              THEN 'hora takes a whole number from 0 to 23'
+            WHEN o_orderkey % 13 = 0 OR o_orderkey % 9 - 1 < 0 THEN 'limite takes a whole number that is not negative'
+       END AS motivo
+FROM orders""",
+        "catalog_names": with_silver(
+            "SELECT 'filas' AS paso, count(*) AS valor FROM silver UNION ALL "
+            "SELECT 'particiones', count(DISTINCT mes) FROM silver UNION ALL SELECT 'nombre tras borrar', 0 UNION ALL "
+            "SELECT 'filas tras borrar', count(*) FROM silver UNION ALL SELECT 'tabla de un mes sin aterrizar', 0"
+        ),
+        "speed_profile_one_month": with_silver(
+            "SELECT '1995-06' AS mes, max(n) AS n, "
+            "max(CASE WHEN rn = CAST(ceil(CAST(0.5 AS DOUBLE) * n) AS BIGINT) THEN mph END) AS mph_p50, "
+            "max(CASE WHEN rn = CAST(ceil(CAST(0.999 AS DOUBLE) * n) AS BIGINT) THEN mph END) AS mph_p999, "
+            "max(mph) AS mph_max FROM (SELECT mph, row_number() OVER (ORDER BY mph) AS rn, count(*) OVER () AS n FROM mph)",
+            extra=_MPH,
+        ),
+        "hourly_events_two_runs": _HOURLY,
         "contract_report": _contract_report(),
         "silver_report": with_silver(
             f"SELECT count(*) AS leidas, CAST(count_if({ANY}) AS BIGINT) AS marcadas, count(*) AS escritas, "
@@ -377,14 +432,8 @@ def oracle_sql() -> dict[str, str]:
             "ORDER BY trip_distance DESC NULLS LAST, pickup_datetime DESC NULLS LAST, "
             "dropoff_datetime DESC NULLS LAST, mes DESC NULLS LAST LIMIT 1"
         ),
-        "hourly_events": (
-            f"WITH {_EVENTS_LANDED} SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hora, count(*) AS eventos "
-            "FROM landed_events GROUP BY 1"
-        ),
-        "hourly_events_stream": (
-            f"WITH {_EVENTS_LANDED} SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hora, count(*) AS eventos "
-            "FROM landed_events GROUP BY 1"
-        ),
+        "hourly_events": _HOURLY,
+        "hourly_events_stream": _HOURLY,
         "missing_hours": (
             f"WITH {_EVENTS_LANDED}, "
             "expected AS (SELECT unnest(generate_series(CAST(date_trunc('month', min(ts)) AS TIMESTAMP), "

@@ -1,53 +1,43 @@
-"""Reports whose rows are outcomes of checks rather than data rows."""
+"""How the landed months meet their contract, from the files themselves."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.operators import checks, gold, silver
+from tripmart.functions.flags import MONTH
+from tripmart.lake import Lake
 from tripmart.operators import contract as C
-from tripmart.session import configure
-from tripmart.sources import fixtures
-
-REPORT_SCHEMA = "caso string, resultado string, detalle string"
-
-
-def _resolution_case(name: str, service: str, fields: list[str]) -> tuple[str, str, str]:
-    try:
-        r = C.resolve(service, fields)
-        return (name, "ok", f"{len(r.columns)} columns; extras: {', '.join(r.extras) or 'none'}")
-    except (C.InvalidSchema, C.NoContract) as err:
-        return (name, "error", str(err))
-
-
-def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P2-P4 on schema variants of the raw fixture, S7 type probe with row count,
-    cast losses (one pass over raw) and D10 on the mart."""
-    configure(spark)
-    raw = fixtures.trips_raw(spark, sf_dir)
-    cols = [c for c in raw.columns if c != C.FILE_MONTH]
-    cases = [
-        _resolution_case("yellow as published", "yellow", cols),
-        _resolution_case("airport_fee lower case", "yellow", [c if c != "Airport_fee" else "airport_fee" for c in cols]),
-        _resolution_case(
-            "two columns missing", "yellow", [c for c in cols if c not in ("Airport_fee", "congestion_surcharge")]
-        ),
-        _resolution_case("extra column", "yellow", [*cols, "cbd_congestion_fee"]),
-        _resolution_case("service without contract", "fhvhv", cols),
-        _resolution_case("duplicate up to case", "yellow", [*cols, "vendorid"]),
-    ]
-    problems = C.type_probe(raw)
-    counts = raw.agg(
-        F.count(F.lit(1)).alias("rows"), *C.cast_loss_counts(C.resolve("yellow", cols), raw.schema)
-    ).first()
-    rows = counts["rows"]
-    probe_ok = not problems and rows > 0
-    cases.append(("type probe", "ok" if probe_ok else "error", "; ".join(problems) or f"{rows} rows"))
-    losses = {k.removeprefix("cast_nulls_"): v for k, v in counts.asDict().items() if k.startswith("cast_nulls_")}
-    lost = {k: v for k, v in losses.items() if v}
-    cases.append(("cast losses", "ok" if not lost else "warning", str(lost) if lost else "none"))
-    s, _ = silver.transform(raw, "yellow")
-    bad_income = checks.income_text(gold.mart(s)).count()
-    cases.append(("income has two decimals", "ok" if bad_income == 0 else "error", f"{bad_income} violations"))
-    return spark.createDataFrame(cases, REPORT_SCHEMA)
+from tripmart.operators import silver
+
+
+def contract_by_month(spark: SparkSession, lake: Lake, service: str, months: Sequence[str]) -> DataFrame:
+    """P2-P4, S7 for each landed month: columns found, absent and extra, rows, values
+    that their cast loses, and whether the type probe and the contract pass.
+
+    One match for each file schema; rows and losses are counted on the files in one
+    scan for each schema. Months that break the contract are counted, not cast.
+    """
+    parts = []
+    for raw in silver.read_raw_months(spark, lake, service, months):
+        found = C.match(service, raw.columns)
+        losses = [] if found.complaint else found.losses(raw.schema)
+        names = [f"loss_{i}" for i in range(len(losses))]
+        counted = raw.groupBy(F.col(C.FILE_MONTH).alias(MONTH)).agg(
+            F.count(F.lit(1)).alias("filas"), *[c.alias(n) for c, n in zip(losses, names)]
+        )
+        lost = reduce(lambda a, b: a + b, [F.col(n) for n in names], F.lit(0).cast("bigint"))
+        parts.append(counted.select(
+            MONTH,
+            F.lit(len(found.columns) - len(found.absent)).alias("columnas"),
+            F.lit(",".join(found.absent)).alias("ausentes"),
+            F.lit(",".join(found.extras)).alias("sobrantes"),
+            "filas",
+            (F.lit(None).cast("bigint") if found.complaint else lost).alias("perdidas"),
+            F.lit(not C.type_probe(raw)).alias("tipos_ok"),
+            F.lit(found.complaint is None).alias("contrato_ok"),
+        ))
+    return reduce(DataFrame.unionByName, parts)
