@@ -159,19 +159,27 @@ def _marks(sigs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(sigs), np.uint32).reshape(-1, COORDINATES)
 
 
-def _tie(nodes: list[bytes], sigs: np.ndarray):
-    """Edges that tie the members of one list to its leaders, and the leaders' places."""
-    edges, leaders = [], []
-    rest = np.arange(len(nodes))
+def _tie(nodes: list, sigs: np.ndarray):
+    """Ties among the members of one list, each to the smallest of its group, and the
+    places of the list's leaders."""
+    group = np.arange(len(nodes))
+    leaders = []
+    rest = group.copy()
     while len(rest):
         lead, rest = rest[0], rest[1:]
-        # earlier leaders have met this one already
-        leaders.append(lead)
-        if not len(rest):
-            break
+        leaders.append(lead)  # it has met all earlier leaders already
         equal = (sigs[rest] == sigs[lead]).sum(1)
-        edges += [(nodes[i], nodes[lead]) for i in rest[equal >= TIE]]
+        met = np.unique(group[rest[equal >= TIE]])
+        if len(met):
+            group[np.isin(group, met)] = group[lead]
         rest = rest[equal < NEAR]
+    members: dict[int, list] = {}
+    for node, g in zip(nodes, group.tolist()):
+        members.setdefault(g, []).append(node)
+    edges = []
+    for own in members.values():
+        head = min(own)
+        edges += [(node, head) for node in own if node != head]
     return edges, leaders
 
 
