@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.session import shared_dir
@@ -59,17 +59,15 @@ def positions(df: DataFrame, *order) -> DataFrame:
         .withColumn("__part", F.shiftrightunsigned("__at", 33))
         .withColumn("__off", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
     )
-    counts = at.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     # one row for each partition of the sort
-    later = counts.select(F.col("__part").alias("__later"))
-    starts = (
-        counts.join(F.broadcast(later), F.col("__part") < F.col("__later"))
-        .groupBy("__later").agg(F.sum("__n").alias("__start"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = at.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).select(
+        F.col("__part").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
     )
     return (
-        at.join(F.broadcast(starts), F.col("__part") == F.col("__later"), "left")
-        .withColumn("position", F.coalesce("__start", F.lit(0)) + F.col("__off"))
-        .drop("__at", "__part", "__off", "__later", "__start")
+        at.join(F.broadcast(starts), F.col("__part") == F.col("__of"))
+        .withColumn("position", F.col("__start") + F.col("__off"))
+        .drop("__at", "__part", "__off", "__of", "__start", "__n")
     )
 
 
