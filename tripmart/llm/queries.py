@@ -127,3 +127,64 @@ SELECT doc_id, size, source_size, target,
 FROM rated
 """,
 }
+
+
+def _license_sql() -> str:
+    """Every unit against every template, without the pruning by key words."""
+    quoted = [(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES]
+    values = ",\n  ".join(f"('{n}', '{t}')" for n, t in quoted)
+    normal = r"trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    pairs = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    return rf"""
+WITH templates(name, template) AS (VALUES
+  {values}),
+t AS (SELECT name, {pairs} AS b FROM (SELECT name, string_split({normal.format('template')}, ' ') AS w FROM templates)),
+units AS (
+  SELECT doc_id, unnest(list_distinct([text] || string_split(text, chr(10)) || string_split(
+           regexp_replace(text, '([.!?;])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), chr(10)))) AS unit
+  FROM documents WHERE text IS NOT NULL),
+u AS (SELECT DISTINCT doc_id, {pairs} AS b FROM (SELECT doc_id, string_split({normal.format('unit')}, ' ') AS w FROM units)),
+found AS (
+  SELECT doc_id, name, max(score) AS score
+  FROM (SELECT u.doc_id, t.name, 2.0 * len(list_intersect(u.b, t.b)) / (len(u.b) + len(t.b)) AS score
+        FROM u JOIN t ON 2 * least(len(u.b), len(t.b)) >= 0.79 * (len(u.b) + len(t.b)))
+  WHERE score >= 0.8 GROUP BY ALL),
+best AS (
+  SELECT doc_id, arg_min(name, (-score, name)) AS license, max(score) AS score, string_agg(name, ',' ORDER BY name) AS licenses
+  FROM found GROUP BY doc_id)
+SELECT d.doc_id, license, CAST(coalesce(score, 0) AS DOUBLE) AS score, coalesce(licenses, '') AS licenses
+FROM documents d LEFT JOIN best ON d.doc_id = best.doc_id
+"""
+
+
+ORACLE_SQL["op7_license_scan"] = _license_sql()
+
+# Every pair of different sets that share a shingle, and components by reachability.
+ORACLE_SQL["op4_minhash_inverted"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []
+           WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s
+  FROM worded),
+named AS (SELECT doc_id, s, len(s) AS n, CASE WHEN len(s) > 0 THEN md5(CAST(s AS VARCHAR)) END AS node FROM sets),
+nodes AS (SELECT node, min(doc_id) AS first_id, any_value(s) AS s, any_value(n) AS n FROM named
+          WHERE node IS NOT NULL GROUP BY node),
+posted AS (SELECT node, n, unnest(s) AS shingle FROM nodes),
+common AS (
+  SELECT a.node AS a, b.node AS b, count(*) AS c, any_value(a.n) AS an, any_value(b.n) AS bn
+  FROM posted a JOIN posted b ON a.shingle = b.shingle AND a.node <> b.node
+    AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+  GROUP BY 1, 2),
+linked AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (an + bn - c)),
+reach AS (
+  SELECT a AS root, a AS node FROM linked
+  UNION SELECT reach.root, linked.b FROM reach JOIN linked ON reach.node = linked.a),
+heads AS (SELECT root AS node, min(first_id) AS head FROM reach JOIN nodes ON reach.node = nodes.node GROUP BY 1)
+SELECT r.doc_id, CAST(r.n AS BIGINT) AS n_shingles, coalesce(h.head, m.first_id, r.doc_id) AS component_id,
+       r.doc_id = coalesce(h.head, m.first_id, r.doc_id) AS kept
+FROM named r LEFT JOIN nodes m ON r.node = m.node LEFT JOIN heads h ON r.node = h.node
+"""
