@@ -215,3 +215,19 @@ def test_quote_levels(spark):
     lines = ["plain", "> one", ">> two", "> > two", " >>>three", "a > b", ">", ""]
     df = spark.createDataFrame([(x,) for x in lines], "line string")
     assert [r[0] for r in df.select(quotes.level(F.col("line"))).collect()] == [0, 1, 2, 2, 3, 0, 1, 0]
+
+
+def test_the_sql_of_the_query_gives_the_same_threads(spark, tmp_path):
+    import duckdb
+
+    from tools.oracle_check import digest
+    from tripmart.llm.queries import ORACLE_SQL
+
+    df = spark.createDataFrame(MESSAGES, SCHEMA)
+    df.write.parquet(str(tmp_path / "c"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/c/*.parquet')")
+    found = con.execute(ORACLE_SQL["op2_quote_links"])
+    columns = [c[0] for c in found.description]
+    out = quotes.conversations(df)
+    assert digest(out.columns, [tuple(r) for r in out.collect()]) == digest(columns, found.fetchall())

@@ -188,3 +188,60 @@ SELECT r.doc_id, CAST(r.n AS BIGINT) AS n_shingles, coalesce(h.head, m.first_id,
        r.doc_id = coalesce(h.head, m.first_id, r.doc_id) AS kept
 FROM named r LEFT JOIN nodes m ON r.node = m.node LEFT JOIN heads h ON r.node = h.node
 """
+
+ORACLE_SQL["op2_quote_links"] = r"""
+WITH RECURSIVE messages AS (
+  SELECT conv_id, turn, role, text,
+         md5(concat_ws('|', coalesce(CAST(conv_id AS VARCHAR), '-'), coalesce(CAST(turn AS VARCHAR), '-'),
+                       coalesce('r' || role, '-'), coalesce('t' || text, '-'))) AS key,
+         regexp_matches(coalesce(text, ''), '(?m)^[\x20\x09]*>') AS quotes
+  FROM conversations),
+known AS (SELECT DISTINCT conv_id, turn, key, text FROM messages
+          WHERE conv_id IN (SELECT conv_id FROM messages WHERE quotes) AND turn IS NOT NULL),
+split AS (
+  SELECT conv_id, turn, key, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+  FROM (SELECT *, string_split_regex(coalesce(text, ''), '\r?\n') AS l FROM known)),
+marked AS (
+  SELECT conv_id, turn, key, pos,
+         length(regexp_replace(regexp_extract(line, '^[\x20\x09]*((?:>[\x20\x09]?)+)', 1), '[^>]', '', 'g')) AS level,
+         regexp_replace(line, '^[\x20\x09]*((?:>[\x20\x09]?)+)', '') AS line
+  FROM split),
+starts AS (
+  SELECT *, CASE WHEN lag(level) OVER w = level THEN 0 ELSE 1 END AS opens FROM marked
+  WINDOW w AS (PARTITION BY key ORDER BY pos)),
+runs AS (SELECT *, sum(opens) OVER (PARTITION BY key ORDER BY pos) AS run FROM starts),
+passages AS (
+  SELECT conv_id, turn, key, level, run, string_agg(line, chr(10) ORDER BY pos) AS passage FROM runs GROUP BY ALL),
+pieces AS (
+  SELECT conv_id, turn, key, level, passage AS piece, 1 AS least FROM passages
+  UNION ALL SELECT conv_id, turn, key, level, unnest(string_split_regex(passage, '\n[\x20\x09]*\n')), 12 FROM passages
+  UNION ALL SELECT conv_id, turn, key, level, unnest(string_split(passage, chr(10))), 12 FROM passages),
+units AS (
+  SELECT DISTINCT conv_id, turn, key, level, unit
+  FROM (SELECT *, trim(regexp_replace(lower(piece), '[\x20\x09-\x0D]+', ' ', 'g')) AS unit FROM pieces)
+  WHERE length(unit) >= least),
+sided AS (
+  SELECT *, level = 0 AS own,
+         last_value(CASE WHEN level = 0 THEN {'turn': turn, 'key': key} END IGNORE NULLS) OVER (
+           PARTITION BY conv_id, unit ORDER BY turn, level = 0, key
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS source
+  FROM units),
+answers AS (
+  SELECT key, arg_max(source, (-level, length(unit), source.turn, source.key)) AS source, count(DISTINCT unit) AS n_linked
+  FROM sided WHERE level > 0 AND source IS NOT NULL GROUP BY key),
+steps AS (
+  SELECT DISTINCT m.conv_id, m.key, a.source.key AS parent, a.source.turn AS parent_turn, coalesce(a.n_linked, 0) AS n_linked,
+         {'turn': coalesce(m.turn, 9223372036854775807), 'key': m.key} AS step
+  FROM messages m LEFT JOIN answers a ON m.key = a.key),
+paths AS (
+  SELECT conv_id, key, parent_turn, n_linked, [step] AS path FROM steps WHERE parent IS NULL
+  UNION ALL
+  SELECT s.conv_id, s.key, s.parent_turn, s.n_linked, list_append(p.path, s.step)
+  FROM steps s JOIN paths p ON s.parent = p.key),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY path) - 1 AS place FROM paths)
+SELECT m.conv_id, m.turn, m.role, p.place, CAST(len(p.path) - 1 AS INTEGER) AS depth, p.parent_turn AS reply_to, p.n_linked,
+       CASE WHEN quotes THEN array_to_string(list_filter(string_split_regex(m.text, '\r?\n'),
+              lambda x: NOT regexp_matches(x, '^[\x20\x09]*>')), chr(10)) ELSE coalesce(m.text, '') END AS text
+FROM messages m JOIN placed p ON m.key = p.key
+"""
