@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -33,6 +34,21 @@ def test_linked_lines_meet_under_a_key(a, data):
     assert own & {(n, i, long[s : s + z]) for n, i, s, z, _ in linededup.probes(len(long))}
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abcdé", min_size=6, max_size=40), min_size=1, max_size=12, unique=True), st.integers(1, 3))
+def test_postings_are_those_of_the_probes(lines, edits):
+    keys, owners = linededup._postings(lines, np.arange(len(lines)), edits)
+    want: dict[tuple, set] = {}
+    for i, line in enumerate(lines):
+        for n, part, start, size, mine in linededup.probes(len(line), edits):
+            want.setdefault((n, part, line[start : start + size]), set()).add((i, mine))
+    got: dict[int, set] = {}
+    for k, o in zip(keys.tolist(), owners.tolist()):
+        got.setdefault(k >> 1, set()).add((o, bool(k & 1)))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    assert all(linededup.node(linededup.name(x)) == linededup.node_of(x) for x in lines)
+
+
 def generated(seed=1):
     rng = random.Random(seed)
     pool = [sentence(rng, rng.choice([3, 5, 12, 40])) for _ in range(25)]

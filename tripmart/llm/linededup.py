@@ -38,7 +38,7 @@ MIN_CHARS = 20
 GROUP_CHARS = 2_000_000
 PART_POSTINGS = 2_000_000
 #: Characters whose postings a task makes at once.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 4_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
@@ -54,6 +54,12 @@ def node(line_name: bytes) -> int:
     return int.from_bytes(line_name[:8], "little", signed=True)
 
 
+def node_of(line: str) -> int:
+    """``node(name(line))``, without the second half of the name."""
+    value = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), seed=42)
+    return value - (value >> 63 << 64)
+
+
 def _lines(raw: bytes | None):
     """(number, line) of the lines that take part."""
     if raw:
@@ -121,18 +127,25 @@ def _postings(lines: list[str], owners: np.ndarray, edits: int) -> tuple[np.ndar
     inside = np.arange(len(chars)) - np.repeat(starts, lengths)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((chars + np.uint64(1)) * power[inside], dtype=np.uint64)))
     keys, who = [], []
-    order = np.argsort(lengths, kind="stable")
-    bounds = np.flatnonzero(np.diff(lengths[order], prepend=-1))
-    for a, b in zip(bounds, [*bounds[1:], len(order)]):
-        own = order[a:b]
-        for indexed, i, start, n, mine in probes(int(lengths[own[0]]), edits):
-            s = starts[own] + start
-            h = (total[s + n] - total[s]) * unpower[start]
-            h = (h ^ np.uint64((indexed * 131 + i) * 0xD6E8FEB86659FD93 % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-            h = h ^ (h >> np.uint64(32))
-            keys.append(h & ~np.uint64(1) | np.uint64(mine))
-            who.append(owners[own])
+    parts = edits + 1
+    for delta in range(parts):
+        indexed = lengths - delta
+        size, rest = np.divmod(np.maximum(indexed, 0), parts)
+        for i in range(parts):
+            # as in ``segments``: the last ``rest`` segments are one longer
+            n = size + (i >= parts - rest)
+            place = i * size + np.maximum(i - (parts - rest), 0)
+            right = edits - i
+            for shift in range(max(-i, delta - right), min(i, delta + right) + 1):
+                start = place + shift
+                fits = np.flatnonzero((start >= 0) & (start <= lengths - n) & (indexed >= 0))
+                s, n_, l_ = starts[fits] + start[fits], n[fits], indexed[fits].astype(np.uint64)
+                h = (total[s + n_] - total[s]) * unpower[start[fits]]
+                h = (h ^ ((l_ * np.uint64(131) + np.uint64(i)) * np.uint64(0xD6E8FEB86659FD93))) * np.uint64(0xBF58476D1CE4E5B9)
+                h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+                h = h ^ (h >> np.uint64(32))
+                keys.append(h & ~np.uint64(1) | np.uint64(delta == 0 and shift == 0))
+                who.append(owners[fits])
     return np.concatenate(keys), np.concatenate(who)
 
 
@@ -149,7 +162,7 @@ def ties(docs: DataFrame, n_lines: int, edits: int = EDITS) -> DataFrame:
             for batch in batches_in:
                 for raw in utf8(batch.column(0)):
                     for _, line in _lines(raw):
-                        own = node(name(line))
+                        own = node_of(line)
                         if own not in lines:
                             lines[own] = line
                             size += len(line)
@@ -360,9 +373,8 @@ def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
             for batch in batches_in:
                 for doc_id, raw in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                     for i, line in _lines(raw):
-                        full = name(line)
-                        if marked[place(node(full))]:
-                            yield doc_id, i, full, line
+                        if marked[place(node_of(line))]:
+                            yield doc_id, i, name(line), line
 
         yield from batches(rows(), schema)
 
