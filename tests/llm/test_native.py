@@ -147,7 +147,6 @@ def test_licences_equal_the_unpruned_scan(spark):
 
 
 def test_key_words_are_in_every_match():
-    rng = random.Random(3)
     for _, template in licenses.TEMPLATES:
         pairs = licenses.bigrams_of(template)
         low, high = licenses.size_bounds(len(pairs))
@@ -156,7 +155,6 @@ def test_key_words_are_in_every_match():
         # even a unit made only of the template's other bigrams stays below the threshold
         assert 2 * len(without) < licenses.THRESHOLD * (len(without) + len(pairs))
         assert low <= len(pairs) <= high
-        assert rng is not None
 
 
 # --- quotations --------------------------------------------------------------

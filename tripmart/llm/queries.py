@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tripmart.llm import bpe, licenses, linededup, minhash, mixing, quotes, syncmers, tokencount, topk, toxicity
 from tripmart.llm.common import table
 
