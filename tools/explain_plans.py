@@ -38,8 +38,8 @@ NOTES = {
     "gold vs silver": "Both sides aggregated to one row per month before the join.",
     "serving top-k with total": "TakeOrderedAndProject (no full sort); the total is one scalar subquery.",
     "speed profile per month": (
-        "KLL sketches built per (month, task group), finished after the first exchange, then merged "
-        "per month after the second: no single task merges every task's sketch of a hot month."
+        "Exact ranks: what is left to rank after the rounds of binning, at most 50,000 rows for each "
+        "month and percentile; the state of the rounds comes from the checkpoint folder."
     ),
     "landing classification": "Equi join on the object key; the planner picks broadcast or sort-merge by size.",
     "pending months": "Range built with sequence from aggregated bounds; anti joins on month.",
@@ -75,7 +75,7 @@ def main(argv):
         "pending months": landing.pending_months(
             fixtures.published_months(spark, sf_dir), fixtures.landed_months(spark, sf_dir), 3
         ),
-        "hourly counts": hourly.hourly_counts(fixtures.landed_events(spark, sf_dir)),
+        "hourly counts": hourly.hourly_counts(fixtures.table(spark, sf_dir, "events")),
     }
     root = lake.root
     out = ["# Physical plans", "",

@@ -396,8 +396,10 @@ def q_speed_profile(spark, sf_dir):
 
 def q_speed_profile_one_month(spark, sf_dir):
     """A11 with every trip in one file month: more rows than any bound of the ranking."""
-    raw = fixtures.trips_raw(configure(spark), sf_dir).withColumn(FILE_MONTH, F.lit(ONE_MONTH))
-    return profile.speed_profile(silver.transform(raw, "yellow")[0])
+    lake = Lake(scratch(configure(spark), "one-month"))
+    silver.land_raw(fixtures.trips_raw(spark, sf_dir).withColumn(FILE_MONTH, F.lit(ONE_MONTH)), lake)
+    silver.materialize(spark, lake, "yellow", ONE_MONTH)
+    return profile.speed_profile(spark.read.parquet(lake.silver("yellow")))
 
 
 def q_negative_by_payment(spark, sf_dir):
