@@ -36,9 +36,9 @@ EDITS = 2
 MIN_CHARS = 20
 #: Characters of one block of a candidate group, and postings of one packed part.
 GROUP_CHARS = 2_000_000
-PART_POSTINGS = 2_000_000
+PART_POSTINGS = 1_000_000
 #: Characters whose postings a task makes at once.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_500_000
 
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 1 << 64)
