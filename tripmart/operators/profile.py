@@ -19,6 +19,8 @@ NULL_TOGETHER = ("passenger_count", "ratecode_id", "store_and_fwd_flag", "conges
 # Bins of one round of rank selection, and rows of a bin that are ranked at last.
 RANK_BINS = 4096
 RANK_ROWS = 50_000
+# Rows of the state (one for each key and percentile, a few numbers each) to broadcast at most.
+BROADCAST_STATE = 100_000
 SPEED_QUANTILES = (0.5, 0.999)
 
 
@@ -104,6 +106,9 @@ def exact_ranks(values: DataFrame, key: str, value: str, quantiles: Sequence[flo
     state = state.withColumn("q", qs).select(
         "k", "q", "n", F.ceil(F.col("q") * F.col("n")).alias("r"), "lo", "hi", F.col("n").alias("m")
     ).checkpoint()
+    # the state is broadcast only when it is known to be small; it never grows between rounds
+    small = state.count() <= BROADCAST_STATE
+    beside = F.broadcast if small else (lambda df: df)
     open_ = (F.col("lo") < F.col("hi")) & (F.col("m") > RANK_ROWS)
     while state.where(open_).limit(1).count():
         s = state.where(open_)
@@ -111,7 +116,7 @@ def exact_ranks(values: DataFrame, key: str, value: str, quantiles: Sequence[flo
         share = (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
         place = F.least(F.floor(share * RANK_BINS), F.lit(RANK_BINS - 1))
         bins = (
-            values.join(s, "k").where(F.col("x").between(F.col("lo"), F.col("hi")))
+            values.join(beside(s), "k").where(F.col("x").between(F.col("lo"), F.col("hi")))
             .groupBy("k", "q", "n", "r", place.alias("bin"))
             .agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("lo"), F.max("x").alias("hi"))
         )
@@ -120,7 +125,7 @@ def exact_ranks(values: DataFrame, key: str, value: str, quantiles: Sequence[flo
         hit = hit.select("k", "q", "n", (F.col("r") - F.col("upto") + F.col("m")).alias("r"), "lo", "hi", "m")
         state = state.where(~open_).unionByName(hit).checkpoint()
     one = state.where("lo = hi").select("k", "q", "n", F.col("lo").alias("x"))
-    few = values.join(state.where("lo < hi"), "k").where(F.col("x").between(F.col("lo"), F.col("hi")))
+    few = values.join(beside(state.where("lo < hi")), "k").where(F.col("x").between(F.col("lo"), F.col("hi")))
     nth = F.row_number().over(Window.partitionBy("k", "q").orderBy("x"))  # at most RANK_ROWS rows
     ranked = few.withColumn("nth", nth).where("nth = r").select("k", "q", "n", "x")
     return one.unionByName(ranked).select(F.col("k").alias(key), "q", "n", F.col("x").alias(value))
