@@ -141,3 +141,25 @@ def test_rare_sequences_go_first_when_the_model_is_full(spark, monkeypatch):
         cut = toxicity._cutoff(counted)
         assert (totals >= cut).sum() <= most
         assert cut <= 1 or most < (totals >= 1).sum()
+
+
+def test_tables_give_the_scores_of_the_whole_model(spark, monkeypatch):
+    rows, labels = planted(200, seed=4)
+    docs = frame(spark, rows + [(10_000 + i, *r[1:]) for i, r in enumerate(odd_docs())])
+    marks = spark.createDataFrame(labels, LABELS)
+
+    def scores():
+        scorer = toxicity.learn(docs, marks)
+        found = {r.doc_id: r.score for r in toxicity.score(docs, scorer).collect()}
+        return found, sorted(r.doc_id for r in toxicity.keep_clean(docs, scorer).collect()), scorer
+
+    whole, clean, _ = scores()
+    # more sequences than a driver may hold: none may be left out
+    monkeypatch.setattr(toxicity, "MODEL_GRAMS", 50)
+    monkeypatch.setattr(toxicity, "BLOCK_CHARS", 20_000)
+    tables, left, scorer = scores()
+    assert whole.keys() == tables.keys() and clean == left
+    assert [tables[k] for k in whole] == pytest.approx([whole[k] for k in whole], abs=1e-5)
+    assert isinstance(scorer.final, toxicity.Tables)
+    assert {r.score for r in toxicity.score(docs, toxicity.learn(docs, marks.where("toxic = 0"))).collect()} == {0.0}
+    assert toxicity.score(docs.limit(0), scorer).count() == 0

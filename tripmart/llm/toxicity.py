@@ -10,9 +10,10 @@ most toxic passage of ``PASSAGE`` words (peak).  A logistic fit turns both into
 score.  It is fitted on at most ``FIT_ROWS`` training rows that a second pair of
 models has not seen; the counts cover every training row.
 
-The model sent to executors holds at most ``MODEL_GRAMS`` character sequences: all
-of them if they fit, else those counted at least ``cutoff`` times, with the lowest
-cutoff that fits; the rest is left to the backoff.
+Every counted character sequence is in the models.  Up to ``MODEL_GRAMS`` of them are
+fitted on the driver and sent to executors; more stay tables: the same values come
+from joins and aggregations, texts are dealt into blocks, and each block's sequences
+are joined with the tables and come back to its texts.
 
 Defined results: a null text is the empty text, and empty texts get the score of
 no evidence; label rows with a null id or a null label are ignored and of several
@@ -39,6 +40,8 @@ DISCOUNT = 0.75
 PASSAGE = 3
 MODEL_GRAMS = 2_000_000
 FIT_ROWS = 20_000
+#: Characters of one block of texts that meets the values of its sequences.
+BLOCK_CHARS = 8_000_000
 THRESHOLD = 0.3
 #: Words and memo entries held at once by a Python worker.
 HELD_WORDS = 400_000
@@ -81,18 +84,8 @@ class Model:
         """Log-likelihood ratio of each word."""
         if not words:
             return np.empty(0)
-        text = "".join(START + w + END for w in words)
-        chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
-        starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        inside = np.arange(len(chars)) - np.repeat(starts, lengths)
-        context = np.zeros(len(chars), np.uint64)
-        for back in range(ORDER - 1, 0, -1):
-            there = inside >= back
-            moved = np.concatenate((np.zeros(min(back, len(chars)), np.uint32), chars[:-back]))[: len(chars)]
-            context = np.where(there, _step(context, moved), context)
+        chars, starts, inside, context, gram = _places(words)
         value = _lookup(self.contexts, self.backoffs, context)
-        gram = _step(context, chars)
         at = np.searchsorted(self.grams, gram)
         known = np.zeros(len(chars), bool)
         if len(self.grams):
@@ -103,6 +96,30 @@ class Model:
         return np.add.reduceat(value, starts)
 
 
+@dataclass
+class Tables:
+    """A model as tables (key, value) of all its sequences and contexts."""
+
+    grams: DataFrame
+    contexts: DataFrame
+
+
+def _places(words: list[str]) -> tuple[np.ndarray, ...]:
+    """Characters of words, where each word starts, and for each character its place in
+    the word and the keys of its context and of its sequence."""
+    text = "".join(START + w + END for w in words)
+    chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    inside = np.arange(len(chars)) - np.repeat(starts, lengths)
+    context = np.zeros(len(chars), np.uint64)
+    for back in range(ORDER - 1, 0, -1):
+        there = inside >= back
+        moved = np.concatenate((np.zeros(min(back, len(chars)), np.uint32), chars[:-back]))[: len(chars)]
+        context = np.where(there, _step(context, moved), context)
+    return chars, starts, inside, context, _step(context, chars)
+
+
 def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float = 0.0) -> np.ndarray:
     if not len(keys):
         return np.full(len(wanted), default)
@@ -193,6 +210,70 @@ def fit_model(grams: list[str], toxic: np.ndarray, ordinary: np.ndarray) -> Mode
                  np.log(t_spare / o_spare).astype(np.float32))
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """(key, value) of rows (sequence, value)."""
+
+    def run(batches_in):
+        for batch in batches_in:
+            padded = "".join(g.rjust(ORDER, "\0") for g in batch.column(0).to_pylist())
+            chars = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, ORDER)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_keys(chars).view(np.int64)), batch.column(1)], names=["key", "value"]
+            )
+
+    return df.mapInArrow(run, "key bigint, value float")
+
+
+def fit_tables(counted: DataFrame, toxic: str, ordinary: str) -> Model | Tables:
+    """``fit_model`` over the counts of two columns, by joins instead of on the driver."""
+    counted = counted.select("gram", F.col(toxic).alias("t"), F.col(ordinary).alias("o")).where("t > 0 OR o > 0")
+    if any(not n for n in counted.agg(F.sum("t"), F.sum("o")).first()):
+        return Model()
+    oldest_off, context = F.expr("substring(gram, 2)"), F.expr("substring(gram, 1, char_length(gram) - 1)")
+    # the kinds of n characters: those counted, and what the longer kinds end in
+    follow = {}
+    for n in range(ORDER, 1, -1):
+        layer = counted.where(F.char_length("gram") == n).select("gram")
+        if n < ORDER:
+            layer = layer.union(follow[n].select("gram")).distinct()
+        follow[n - 1] = held(layer.groupBy(oldest_off.alias("gram")).agg(F.count(F.lit(1)).alias("total")))
+    uniform = F.lit(1.0 / (follow[1].count() + 1))
+    level = shared = None
+    for n in range(1, ORDER):
+        rows = follow[n].withColumn("context", context)
+        mass = rows.groupBy("context").agg(F.sum("total").alias("mass"), F.count(F.lit(1)).alias("types"))
+        rows = rows.join(mass, "context").withColumn("lower", oldest_off)
+        if n == 1:
+            rows = rows.withColumn("below", uniform)
+        else:
+            rows = rows.join(level.select(F.col("gram").alias("lower"), F.col("p").alias("below")), "lower")
+        own = F.greatest(F.col("total") - DISCOUNT, F.lit(0.0)) / F.col("mass")
+        level = held(rows.select("gram", (own + DISCOUNT * F.col("types") / F.col("mass") * F.col("below")).alias("p")))
+        shared = level if shared is None else shared.union(level)
+
+    def spare(z):
+        return F.when(F.col(f"{z}_mass") > 0, DISCOUNT * F.col(f"{z}_types") / F.col(f"{z}_mass")).otherwise(1.0)
+
+    contexts = held(
+        counted.groupBy(context.alias("context"))
+        .agg(*[F.sum(z).alias(f"{z}_mass") for z in "to"], *[F.count_if(F.col(z) > 0).alias(f"{z}_types") for z in "to"])
+        .withColumn("t_spare", spare("t")).withColumn("o_spare", spare("o"))
+    )
+
+    def p(z):
+        own = F.greatest(F.col(z) - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(f"{z}_mass"), F.lit(1))
+        return own + F.col(f"{z}_spare") * F.col("back")
+
+    graded = (
+        counted.withColumn("context", context).withColumn("lower", oldest_off).join(contexts, "context")
+        .join(shared.select(F.col("gram").alias("lower"), F.col("p").alias("back")), "lower")
+    )
+    return Tables(
+        held(_keyed(graded.select("gram", F.log(p("t") / p("o")).cast("float").alias("value")))),
+        held(_keyed(contexts.select("context", F.log(F.col("t_spare") / F.col("o_spare")).cast("float").alias("value")))),
+    )
+
+
 def count_grams(labelled: DataFrame) -> DataFrame:
     """(gram, toxic, ordinary, fit_toxic, fit_ordinary) over rows (text, toxic, fit)."""
 
@@ -248,8 +329,8 @@ def _cutoff(counted: DataFrame) -> int:
 class Scorer:
     """Both models (final and fit) and the logistic weights (bias, mean, peak)."""
 
-    final: Model
-    fit: Model
+    final: Model | Tables
+    fit: Model | Tables
     weights: tuple[float, float, float] | None = None
 
 
@@ -262,13 +343,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> Scorer:
     # a merge join at every size: labels grow with the documents, so no broadcast
     train = docs.select("doc_id", "text").join(labels.hint("merge"), "doc_id")
     counted = held(count_grams(train.select("text", "toxic", (fold(F.col("doc_id")) != 3).alias("fit"))))
-    kept = counted.where(F.col("toxic") + F.col("ordinary") >= _cutoff(counted)).toArrow()
-    grams = kept.column("gram").to_pylist()
-    count = {c: kept.column(c).to_numpy() for c in kept.column_names[1:]}
-    scorer = Scorer(
-        fit_model(grams, count["toxic"], count["ordinary"]),
-        fit_model(grams, count["fit_toxic"], count["fit_ordinary"]),
-    )
+    if _cutoff(counted) > 1:  # the sequences do not all fit a driver
+        scorer = Scorer(fit_tables(counted, "toxic", "ordinary"), fit_tables(counted, "fit_toxic", "fit_ordinary"))
+    else:
+        all_ = counted.toArrow()  # at most MODEL_GRAMS sequences
+        grams = all_.column("gram").to_pylist()
+        count = {c: all_.column(c).to_numpy() for c in all_.column_names[1:]}
+        scorer = Scorer(
+            fit_model(grams, count["toxic"], count["ordinary"]),
+            fit_model(grams, count["fit_toxic"], count["fit_ordinary"]),
+        )
     unseen = docs.select("doc_id", "text").where(fold(F.col("doc_id")) == 3)
     evidence = _evidence(unseen, scorer.fit, "evidence", drop=["text"])
     sample = (
@@ -299,8 +383,17 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, f
     return float(w[0]), float(w[1] / scale[0]), float(w[2] / scale[1])
 
 
-def _evidence(df: DataFrame, model: Model, name: str, drop: list[str]) -> DataFrame:
+def _measure(value: np.ndarray) -> tuple[float, float]:
+    """Mean value of the words of a text, and of its highest passage."""
+    run = min(PASSAGE, len(value))
+    total = np.concatenate(([0.0], np.cumsum(value)))
+    return value.mean(), (total[run:] - total[:-run]).max() / run
+
+
+def _evidence(df: DataFrame, model: Model | Tables, name: str, drop: list[str]) -> DataFrame:
     """``df`` without ``drop`` and with a struct column ``name`` of (mean, peak)."""
+    if isinstance(model, Tables):
+        return _joined_evidence(df, model, name, drop)
     known = df.sparkSession.sparkContext.broadcast(model)  # at most MODEL_GRAMS sequences
     at = df.columns.index("text")
     kept = [i for i, c in enumerate(df.columns) if c not in drop]
@@ -322,10 +415,7 @@ def _evidence(df: DataFrame, model: Model, name: str, drop: list[str]) -> DataFr
                     new = list(set(words))
                 memo.update(zip(new, known.value.words([normal(w) for w in new]).tolist()))
                 value = np.fromiter(map(memo.__getitem__, words), float, len(words))
-                mean[i] = value.mean()
-                run_ = min(PASSAGE, len(value))
-                total = np.concatenate(([0.0], np.cumsum(value)))
-                peak[i] = (total[run_:] - total[:-run_]).max() / run_
+                mean[i], peak[i] = _measure(value)
             found = pa.StructArray.from_arrays([pa.array(mean), pa.array(peak)], names=["mean", "peak"])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(j) for j in kept] + [found], names=[batch.schema.names[j] for j in kept] + [name]
@@ -334,6 +424,55 @@ def _evidence(df: DataFrame, model: Model, name: str, drop: list[str]) -> DataFr
     return df.mapInArrow(run, schema)
 
 
+def _joined_evidence(df: DataFrame, model: Tables, name: str, drop: list[str]) -> DataFrame:
+    """``_evidence`` by joins: a block's sequences meet the tables, and their values its texts."""
+    kept = [c for c in df.columns if c not in drop]
+    schema = T.StructType([df.schema[c] for c in kept] + [
+        T.StructField(name, T.StructType([T.StructField("mean", T.DoubleType()), T.StructField("peak", T.DoubleType())]))
+    ])
+    chars = df.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    blocks = F.lit(chars // BLOCK_CHARS + 1)
+    # both uses read all columns, so that the texts are dealt out once
+    placed = df.withColumn("__block", F.pmod(F.xxhash64("doc_id", "text"), blocks))
+    at, own = df.columns.index("text"), len(df.columns)
+
+    def sequences(table: pa.Table) -> pa.Table:
+        seen = set()
+        for raw in utf8(table.column(at)):
+            seen.update((raw or b"").lower().split())
+        if not seen:
+            return pa.table({"__block": pa.array([], pa.int64()), "key": pa.array([], pa.int64()),
+                             "context": pa.array([], pa.int64())})
+        _, _, inside, context, gram = _places([normal(w) for w in seen])
+        gram, first = np.unique(gram[inside > 0], return_index=True)
+        context = context[inside > 0][first]
+        block = np.full(len(gram), table.column(own)[0].as_py(), np.int64)
+        return pa.table({"__block": block, "key": gram.view(np.int64), "context": context.view(np.int64)})
+
+    wanted = placed.groupBy("__block").applyInArrow(sequences, "__block bigint, key bigint, context bigint")
+    backoffs = model.contexts.select(F.col("key").alias("context"), F.col("value").alias("backoff"))
+    values = (
+        wanted.join(model.grams, "key", "left").join(backoffs, "context", "left")
+        .select("__block", "key", F.coalesce("value", "backoff", F.lit(0.0).cast("float")).alias("value"))
+    )
+
+    def measure(texts: pa.Table, known: pa.Table) -> pa.Table:
+        keys = known.column(1).to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        block = Model(keys[order], known.column(2).to_numpy()[order])
+        lines = [(raw or b"").lower().split() for raw in utf8(texts.column(at))]
+        words = list(set().union(*lines))
+        value = dict(zip(words, block.words([normal(w) for w in words]).tolist()))
+        found = [_measure(np.fromiter(map(value.__getitem__, x), float, len(x))) if x else (0.0, 0.0) for x in lines]
+        evidence = pa.StructArray.from_arrays(
+            [pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64())],
+            names=["mean", "peak"],
+        )
+        return pa.table([*(texts.column(c) for c in kept), evidence], names=[*kept, name])
+
+    return placed.groupBy("__block").cogroup(values.groupBy("__block")).applyInArrow(measure, schema)
+
+
 def _score(scorer: Scorer, evidence: Column) -> Column:
     if scorer.weights is None:
         return F.lit(0.0)
