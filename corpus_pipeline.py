@@ -18,6 +18,10 @@ from tripmart.llm.common import reach, table
 from tripmart.session import scratch
 
 
+#: Near duplicates share this percentage of their shingles of so many words.
+NEAR_WIDTH, NEAR_PERCENT = 5, 80
+
+
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scorer = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, scorer)
@@ -31,7 +35,7 @@ def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reach(spark)
-    return minhash.keep_first(docs)
+    return minhash.keep_first(docs, NEAR_WIDTH, NEAR_PERCENT)
 
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 import random
 
-from tests.llm.brute import frame, near_components, odd_docs, sentence
+from tests.llm.brute import frame, near_components, odd_docs, sentence, shingle_set
 from tripmart.llm import minhash
 from tripmart.llm.components import components
 
@@ -85,3 +85,35 @@ def test_components_of_chains_stars_and_loops(spark):
     want = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {200: 200, 201: 200}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def plain_kept(rows, width, percent):
+    """Ids that stay, by testing every pair."""
+    sets = [shingle_set(r[1], width) for r in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                group = [group[j] if g == group[i] else g for g in group]
+    return sorted(min(r[0] for r, h in zip(rows, group) if h == g) for g in set(group))
+
+
+def test_the_pipeline_stage_takes_five_words_and_four_fifths(spark):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    base = sentence(rng, 200).split()
+    passage = base[:90] + sentence(rng, 16).split() + base[106:]
+    texts = [" ".join(base), " ".join(base) + " " + sentence(rng, 40), " ".join(passage)]
+    rows = generated(seed=5) + [(1000 + i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = frame(spark, rows)
+    stage = corpus_pipeline.stage_near_dedup(spark, docs, "")
+    got = sorted(r.doc_id for r in stage.collect())
+    assert got == plain_kept(rows, 5, 80)
+    assert 1000 in got and not {1001, 1002} & set(got)
+
+
+def test_matches_follow_the_threshold():
+    assert minhash.matches_for(minhash.PERCENT) == minhash.MATCHES
+    assert minhash.matches_for(80) == 22

@@ -13,8 +13,9 @@
 5. Each candidate group's full sets come together once, groups of more than
    ``GROUP_SHINGLES`` shingles as pairs of blocks, and links are confirmed exactly.
 
-Step 3 misses a pair at similarity 0.85 with a probability below 1e-7 (the lower
-binomial tail of COORDINATES trials at MATCHES).  Step 4 misses none: a node stops
+Step 3 misses a pair at the threshold with a probability below 1e-7 (the lower binomial
+tail of COORDINATES trials; ``matches_for`` takes the most equal coordinates that keep
+it there, ``MATCHES`` at 0.85).  Step 4 misses none: a node stops
 being compared only once it shares ``NEAR`` coordinates with a leader; a partner
 that shares ``MATCHES`` with it differs from that leader in at most
 (COORDINATES - NEAR) + (COORDINATES - MATCHES) coordinates, and so many still tie
@@ -28,6 +29,8 @@ gives an empty table; extra columns are ignored, and kept by ``keep_first``.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -42,6 +45,8 @@ WIDTH = 3
 PERCENT = 85
 COORDINATES, MATCHES, NEAR = 48, 26, 40
 TIE = NEAR + MATCHES - COORDINATES
+#: Probability of missing a pair at the threshold stays below this.
+MISS = 1e-7
 BLOCK = 4096
 GROUP_SHINGLES = 2_000_000
 
@@ -50,6 +55,18 @@ _POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                     0x85EBCA77C2B2AE63], np.uint64)
 
 
+def matches_for(percent: int) -> int:
+    """The most equal coordinates to ask for that miss a pair at the threshold below ``MISS``."""
+    t = percent / 100
+    missed, m = (1 - t) ** COORDINATES, 0
+    while m < COORDINATES and missed < MISS:
+        m += 1
+        missed += math.comb(COORDINATES, m) * t**m * (1 - t) ** (COORDINATES - m)
+    if m + NEAR <= COORDINATES:
+        raise ValueError(f"{COORDINATES} coordinates are too few for a threshold of {percent} %")
+    return m
+
+
 class _Words(dict):
     """Hash of each word met; forgets when it grows past its bound."""
 
@@ -140,7 +157,7 @@ def _tokens(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "sig").mapInArrow(run, "token bigint, node binary")
 
 
-def prefixes(nodes: DataFrame) -> DataFrame:
+def prefixes(nodes: DataFrame, matches: int = MATCHES) -> DataFrame:
     """(token, n, node, mark): the postings to merge; n nodes hold the token, mark is
     one byte for each coordinate."""
     tokens = _tokens(nodes)
@@ -149,8 +166,8 @@ def prefixes(nodes: DataFrame) -> DataFrame:
     entry = F.struct("n", "token")
     chosen = (
         shared.groupBy("node").agg(F.sort_array(F.collect_list(entry)).alias("held"))  # at most COORDINATES
-        .where(F.size("held") >= MATCHES)
-        .select("node", F.explode(F.slice("held", F.lit(1), F.size("held") - (MATCHES - 1))).alias("p"))
+        .where(F.size("held") >= matches)
+        .select("node", F.explode(F.slice("held", F.lit(1), F.size("held") - (matches - 1))).alias("p"))
     )
     return chosen.join(nodes.select("node", "sig"), "node").select("p.token", "p.n", "node", "sig")
 
@@ -159,7 +176,7 @@ def _marks(sigs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(sigs), np.uint32).reshape(-1, COORDINATES)
 
 
-def _tie(nodes: list, sigs: np.ndarray):
+def _tie(nodes: list, sigs: np.ndarray, tie: int = TIE):
     """Ties among the members of one list, each to the smallest of its group, and the
     places of the list's leaders."""
     group = np.arange(len(nodes))
@@ -169,7 +186,7 @@ def _tie(nodes: list, sigs: np.ndarray):
         lead, rest = rest[0], rest[1:]
         leaders.append(lead)  # it has met all earlier leaders already
         equal = (sigs[rest] == sigs[lead]).sum(1)
-        met = np.unique(group[rest[equal >= TIE]])
+        met = np.unique(group[rest[equal >= tie]])
         if len(met):
             group[np.isin(group, met)] = group[lead]
         rest = rest[equal < NEAR]
@@ -183,7 +200,7 @@ def _tie(nodes: list, sigs: np.ndarray):
     return edges, leaders
 
 
-def _merge_lists(postings: DataFrame, keys: list[str]) -> DataFrame:
+def _merge_lists(postings: DataFrame, keys: list[str], tie: int = TIE) -> DataFrame:
     """(a, b, token): ties inside each list; rows without b are the leaders of their list."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("token", pa.int64()), ("sig", pa.binary()),
                         ("more", pa.bool_())])
@@ -209,7 +226,7 @@ def _merge_lists(postings: DataFrame, keys: list[str]) -> DataFrame:
             for key, nodes, sigs, more in lists():
                 if len(nodes) == 1 and not more:
                     continue
-                edges, leaders = _tie(nodes, _marks(sigs))
+                edges, leaders = _tie(nodes, _marks(sigs), tie)
                 for a, b in edges:
                     yield a, b, None, None, None
                 if more:
@@ -224,19 +241,20 @@ def _merge_lists(postings: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
+def candidates(nodes: DataFrame, matches: int = MATCHES) -> DataFrame:
     """(a, b): ties whose components hold every pair of nodes with enough equal coordinates."""
+    tie = NEAR + matches - COORDINATES
     blocks = F.ceil(F.col("n") / BLOCK)
     first = held(_merge_lists(
-        prefixes(nodes).withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("more", blocks > 1),
-        ["token", "block"],
+        prefixes(nodes, matches).withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("more", blocks > 1),
+        ["token", "block"], tie,
     ))
     # leaders of lists that were cut meet each other, all pairs of their blocks
     leaders = first.where("b IS NULL").select("token", F.col("a").alias("node"), "sig")
     sizes = leaders.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     placed = leaders.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), "blocks"))
     second = _merge_lists(
-        _block_pairs(placed).withColumn("more", F.lit(False)), ["token", "i", "j"]
+        _block_pairs(placed).withColumn("more", F.lit(False)), ["token", "i", "j"], tie
     )
     return first.where("b IS NOT NULL").select("a", "b").unionByName(second.select("a", "b"))
 
@@ -251,13 +269,13 @@ def _block_pairs(placed: DataFrame) -> DataFrame:
     )
 
 
-def _confirm(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def _confirm(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
     """A spanning forest of the exact links among sets."""
     n = len(sets)
     lengths = np.array([len(s) for s in sets])
     if n == 2:
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return [(1, 0)] if 100 * both >= PERCENT * (lengths.sum() - both) else []
+        return [(1, 0)] if 100 * both >= percent * (lengths.sum() - both) else []
     vocabulary, flat = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     label = np.arange(n)
@@ -275,7 +293,7 @@ def _confirm(sets: list[np.ndarray]) -> list[tuple[int, int]]:
         mark[own] = 1
         both = np.add.reduceat(mark[flat], starts)
         mark[own] = 0
-        near = 100 * both >= PERCENT * (lengths + lengths[at] - both)
+        near = 100 * both >= percent * (lengths + lengths[at] - both)
         for i in np.flatnonzero(near & (label != label[at])):
             if label[i] != label[at]:
                 links.append((int(i), at))
@@ -283,7 +301,9 @@ def _confirm(sets: list[np.ndarray]) -> list[tuple[int, int]]:
         done[at] = True
 
 
-def confirmed(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int = WIDTH) -> DataFrame:
+def confirmed(
+    docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
     """(a, b): exact links, a spanning forest of them inside each candidate group.
 
     ``nodes(node, first_id, n_shingles)``, ``groups(node, label)``.
@@ -336,7 +356,7 @@ def confirmed(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int =
         def rows():
             for own in groups_():
                 names = list(own)
-                for i, j in _confirm(list(own.values())):
+                for i, j in _confirm(list(own.values()), percent):
                     yield names[i], names[j]
 
         yield from batches(rows(), links)
@@ -348,16 +368,16 @@ def confirmed(docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int =
     )
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row."""
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of each row; linked at ``percent`` of shared shingles."""
     rows = held(sketch(docs, width))
     linked = rows.where("node IS NOT NULL AND doc_id IS NOT NULL")
     nodes = held(
         linked.groupBy("node")
         .agg(F.min("doc_id").alias("first_id"), F.any_value("sig").alias("sig"), F.any_value("n_shingles").alias("n_shingles"))
     )
-    groups = components(candidates(nodes))
-    classes = components(confirmed(docs, nodes, groups, width))
+    groups = components(candidates(nodes, matches_for(percent)))
+    classes = components(confirmed(docs, nodes, groups, width, percent))
     named = nodes.join(classes, "node").select("node", "label", "first_id")
     heads = named.groupBy("label").agg(F.min("first_id").alias("head"))
     joined = named.join(heads, "label").select("node", "head")
@@ -372,12 +392,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
-def keep_first(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def keep_first(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: one for each component, with all their columns.
 
     Of rows that repeat a doc_id the one with the smallest text hash stays, if any does.
     """
-    found = near_duplicates(docs, width).where("doc_id IS NOT NULL")
+    found = near_duplicates(docs, width, percent).where("doc_id IS NOT NULL")
     gone = found.groupBy("doc_id").agg(F.max("kept").alias("__kept")).where("NOT __kept").select(
         F.col("doc_id").alias("__gone")
     )
