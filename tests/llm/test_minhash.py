@@ -117,3 +117,43 @@ def test_the_pipeline_stage_takes_five_words_and_four_fifths(spark):
 def test_matches_follow_the_threshold():
     assert minhash.matches_for(minhash.PERCENT) == minhash.MATCHES
     assert minhash.matches_for(80) == 22
+
+
+def test_partners_of_different_blocks_meet_through_their_leaders(spark, monkeypatch):
+    import numpy as np
+    import xxhash
+
+    def block(node, n):
+        value = xxhash.xxh64_intdigest(node, seed=42)
+        return (value - (value >> 63 << 64)) % n
+
+    def changed(sig, places, by):
+        out = sig.copy()
+        out[list(places)] += by
+        return out
+
+    # x and y share 26 coordinates; every list they share holds a leader of x and one of y,
+    # which share 40 with them, and 10 to 14 with each other
+    x = np.arange(48, dtype=np.uint32) + 1000
+    y = changed(x, range(26, 48), 10_000)
+    of_x = [changed(x, range(0, 8), 20_000), changed(x, range(8, 16), 30_000)]
+    of_y = [changed(y, range(16, 24), 40_000), changed(y, range(4, 12), 50_000)]
+    assert (x == y).sum() == 26 and all((a == x).sum() == 40 for a in of_x) and all((b == y).sum() == 40 for b in of_y)
+    assert sorted((a == b).sum() for a in of_x for b in of_y) == [10, 10, 14, 14]
+    # others make the coordinates that x and y do not share more common than those they share
+    others = [changed(s, range(26), 100_000 * (i + 1)) for i, s in enumerate([x] * 4 + [y] * 4)]
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    # a leader comes first in its block: x's in block 0, y's in block 1 of each list they share
+    names = {0: [], 1: []}
+    for i in range(40):
+        name = i.to_bytes(16, "big")
+        names[block(name, 2)].append(name)
+    n1, n2 = names[0][2], names[1][2]
+    rows = list(zip(names[0][:3] + names[1][:3], [*of_x, x, *of_y, y]))
+    rows += [((1000 + i).to_bytes(16, "big"), s) for i, s in enumerate(others)]
+    nodes = spark.createDataFrame([(bytearray(n), bytearray(s.tobytes())) for n, s in rows], "node binary, sig binary")
+    group = {n: n for n, _ in rows}
+    for r in minhash.candidates(nodes).collect():
+        a, b = group[bytes(r.a)], group[bytes(r.b)]
+        group = {k: b if g == a else g for k, g in group.items()}
+    assert group[n1] == group[n2]

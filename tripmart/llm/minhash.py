@@ -9,7 +9,7 @@
 4. Inside a list every node is compared with the list's leaders and tied to those
    that share enough coordinates, which gives candidate groups without emitting
    all pairs.  Lists longer than ``BLOCK`` are cut into blocks; the leaders of the
-   blocks then meet, again in blocks.
+   blocks then meet, every pair of them, again in blocks.
 5. Each candidate group's full sets come together once, groups of more than
    ``GROUP_SHINGLES`` shingles as pairs of blocks, and links are confirmed exactly.
 
@@ -19,7 +19,9 @@ it there, ``MATCHES`` at 0.85).  Step 4 misses none: a node stops
 being compared only once it shares ``NEAR`` coordinates with a leader; a partner
 that shares ``MATCHES`` with it differs from that leader in at most
 (COORDINATES - NEAR) + (COORDINATES - MATCHES) coordinates, and so many still tie
-it to the leader.  Tying too much only costs time, since links are confirmed.
+it to the leader.  Partners in different blocks may each have such a leader, so two
+leaders are tied at (COORDINATES - NEAR) equal coordinates less, and none of them stops
+being compared.  Tying too much only costs time, since links are confirmed.
 
 Defined results: texts that are null, empty or without words have an empty set and
 link with nothing; rows with a null doc_id link with nothing, have a null component
@@ -176,9 +178,9 @@ def _marks(sigs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(sigs), np.uint32).reshape(-1, COORDINATES)
 
 
-def _tie(nodes: list, sigs: np.ndarray, tie: int = TIE):
+def _tie(nodes: list, sigs: np.ndarray, tie: int = TIE, near: int = NEAR):
     """Ties among the members of one list, each to the smallest of its group, and the
-    places of the list's leaders."""
+    places of the list's leaders: members that share ``near`` with no earlier leader."""
     group = np.arange(len(nodes))
     leaders = []
     rest = group.copy()
@@ -189,7 +191,7 @@ def _tie(nodes: list, sigs: np.ndarray, tie: int = TIE):
         met = np.unique(group[rest[equal >= tie]])
         if len(met):
             group[np.isin(group, met)] = group[lead]
-        rest = rest[equal < NEAR]
+        rest = rest[equal < near]
     members: dict[int, list] = {}
     for node, g in zip(nodes, group.tolist()):
         members.setdefault(g, []).append(node)
@@ -200,7 +202,7 @@ def _tie(nodes: list, sigs: np.ndarray, tie: int = TIE):
     return edges, leaders
 
 
-def _merge_lists(postings: DataFrame, keys: list[str], tie: int = TIE) -> DataFrame:
+def _merge_lists(postings: DataFrame, keys: list[str], tie: int = TIE, near: int = NEAR) -> DataFrame:
     """(a, b, token): ties inside each list; rows without b are the leaders of their list."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("token", pa.int64()), ("sig", pa.binary()),
                         ("more", pa.bool_())])
@@ -226,7 +228,7 @@ def _merge_lists(postings: DataFrame, keys: list[str], tie: int = TIE) -> DataFr
             for key, nodes, sigs, more in lists():
                 if len(nodes) == 1 and not more:
                     continue
-                edges, leaders = _tie(nodes, _marks(sigs), tie)
+                edges, leaders = _tie(nodes, _marks(sigs), tie, near)
                 for a, b in edges:
                     yield a, b, None, None, None
                 if more:
@@ -254,7 +256,8 @@ def candidates(nodes: DataFrame, matches: int = MATCHES) -> DataFrame:
     sizes = leaders.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     placed = leaders.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), "blocks"))
     second = _merge_lists(
-        _block_pairs(placed).withColumn("more", F.lit(False)), ["token", "i", "j"], tie
+        _block_pairs(placed).withColumn("more", F.lit(False)), ["token", "i", "j"],
+        tie - (COORDINATES - NEAR), COORDINATES + 1,
     )
     return first.where("b IS NOT NULL").select("a", "b").unionByName(second.select("a", "b"))
 
