@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tripmart.llm import bpe, licenses, linededup, minhash, mixing, quotes, syncmers, tokencount, topk, toxicity
+from tripmart.llm import (
+    bpe, embeddedup, filteraudit, licenses, linededup, minhash, mixing, quotes, syncmers, tokencount, topk, toxicity, turnrepair,
+)
 from tripmart.llm.common import table
 
 
@@ -49,6 +51,18 @@ def op10_token_counts(spark, sf_dir):
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_dedup(spark, sf_dir):
+    return embeddedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_turn_repair(spark, sf_dir):
+    return turnrepair.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quote_links": op2_quote_links,
@@ -60,6 +74,9 @@ QUERIES = {
     "op8_segment_topk": op8_segment_topk,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLE_SQL = {
@@ -243,3 +260,68 @@ SELECT m.conv_id, m.turn, m.role, p.place, CAST(len(p.path) - 1 AS INTEGER) AS d
               lambda x: NOT regexp_matches(x, '^[\x20\x09]*>')), chr(10)) ELSE coalesce(m.text, '') END AS text
 FROM messages m JOIN placed p ON m.key = p.key
 """
+
+# Every pair of vectors, and components by reachability.
+ORACLE_SQL["op11_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS row, vec_id, CAST(embedding AS DOUBLE[]) AS e,
+         vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS fine
+  FROM embeddings),
+linked AS (
+  SELECT a.row AS a, b.row AS b FROM v a JOIN v b ON a.row <> b.row AND len(a.e) = len(b.e) AND a.fine AND b.fine
+  WHERE a.e = b.e OR list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT a AS root, b AS row FROM linked
+  UNION SELECT reach.root, linked.b FROM reach JOIN linked ON reach.row = linked.a),
+heads AS (SELECT root AS row, min(vec_id) AS head FROM reach JOIN v ON reach.row = v.row GROUP BY 1),
+counts AS (SELECT a AS row, count(*) AS n FROM linked GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(head, vec_id) AS component_id, coalesce(vec_id <= coalesce(head, vec_id), true) AS kept
+FROM v LEFT JOIN heads ON v.row = heads.row LEFT JOIN counts ON v.row = counts.row
+"""
+
+# Every order looked at by itself.
+ORACLE_SQL["op12_filter_audit"] = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+failing AS (
+  SELECT doc_id, part,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM words),
+marks AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+groups AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM failing LEFT JOIN marks ON failing.doc_id = marks.doc_id GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+  FROM letters a JOIN letters b ON b.l <> a.l JOIN letters c ON c.l NOT IN (a.l, b.l)
+  JOIN letters d ON d.l NOT IN (a.l, b.l, c.l) JOIN letters e ON e.l NOT IN (a.l, b.l, c.l, d.l)),
+steps AS (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM orders),
+met AS (
+  SELECT part, filter_order, step, n, good, toxic, filter_order[step] AS letter, contains(fails, filter_order[step]) AS hit,
+         fails = filter_order[step] AS only_it,
+         fails <> '' AND regexp_matches(filter_order[1:step - 1], '[' || CASE WHEN fails = '' THEN '-' ELSE fails END || ']') AS before
+  FROM groups JOIN steps ON true),
+summed AS (
+  SELECT part, filter_order, step, any_value(letter) AS letter,
+         coalesce(sum(n) FILTER (WHERE NOT hit AND NOT before), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE hit AND NOT before), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE hit AND before), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE only_it), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE hit AND NOT before), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE hit AND NOT before), 0) AS toxic_lost
+  FROM met GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM summed
+"""
