@@ -40,6 +40,8 @@ from tripmart.llm.common import batches, held, positions
 
 #: Rows that one search sees at most, and pieces that one task chains at once.
 SEGMENT, FAN = 128, 256
+#: Segments of a task as long as that takes at most so many tasks.
+TASK_SEGMENTS, TASKS = 64, 10_000
 SPACE = " \t\n\x0b\x0c\r"
 DELETE, REROLE, INSERT, TRUNCATED = 2, 1, 5, 5
 #: States of the initials: nothing yet, after s, after u, after a.
@@ -263,7 +265,9 @@ def segments(light: DataFrame) -> DataFrame:
     own = light.select(at.alias("segment"), *cols, F.lit(False).alias("ghost"))
     last = light.where((F.col("position") + 1) % SEGMENT == 0).select((at + 1).alias("segment"), *cols, F.lit(True).alias("ghost"))
     first = light.where(F.col("position") % SEGMENT == 0).select((at - 1).alias("segment"), *cols, F.lit(True).alias("ghost"))
-    return own.unionByName(last).unionByName(first).repartition("segment").sortWithinPartitions("segment", "position")
+    # a number of its own: rows are small and their search is not, so tasks merged by bytes would be few
+    tasks = min(TASKS, 1 + light.count() // (SEGMENT * TASK_SEGMENTS))
+    return own.unionByName(last).unionByName(first).repartition(tasks, "segment").sortWithinPartitions("segment", "position")
 
 
 FOUND = (
