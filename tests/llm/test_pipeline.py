@@ -4,7 +4,8 @@ import hashlib
 
 import corpus_pipeline
 from tests.conftest import SF_SMALL
-from tests.llm.brute import line_dedup, mix, near_components
+from tests.llm.brute import line_dedup, mix
+from tests.llm.test_minhash import plain_kept
 from tests.llm.test_tokens import expected
 from tripmart.llm import toxicity
 
@@ -42,7 +43,7 @@ def test_stages(spark, tmp_path):
     assert all(r[4] == len(r[1]) for r in tuples(after))
 
     before, after = kept["near_dedup"]
-    assert sorted(r[0] for r in tuples(after)) == sorted(r[0] for r in near_components(tuples(before)) if r[3])
+    assert sorted(r[0] for r in tuples(after)) == plain_kept(tuples(before), 5, 80)
 
     before, after = kept["mixing"]
     texts = {r[0]: r for r in tuples(before)}

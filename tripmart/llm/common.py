@@ -32,6 +32,20 @@ def reach(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: What Python workers are told about memory: freed arrays and Arrow buffers go back to the system.
+LEAN = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": "262144", "MALLOC_TRIM_THRESHOLD_": "262144"}
+#: Bytes of an Arrow batch on its way to a Python worker.
+BATCH_BYTES = "4m"
+
+
+def lean(spark: SparkSession) -> SparkSession:
+    """``reach``, for jobs of many stages in one session: batches are bounded by bytes, since rows
+    may be long, and workers that serve one stage after the other do not keep what they freed."""
+    reach(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.sparkContext.environment.update(LEAN)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reach(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

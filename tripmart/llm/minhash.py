@@ -50,7 +50,7 @@ TIE = NEAR + MATCHES - COORDINATES
 #: Probability of missing a pair at the threshold stays below this.
 MISS = 1e-7
 BLOCK = 4096
-GROUP_SHINGLES = 2_000_000
+GROUP_SHINGLES = 500_000
 
 _MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, COORDINATES), dtype=np.uint64) | np.uint64(1)
 _POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
