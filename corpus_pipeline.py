@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import bpe, linededup, minhash, mixing, toxicity
-from tripmart.llm.common import reach, table
+from tripmart.llm.common import lean, table
 from tripmart.session import scratch
 
 
@@ -23,28 +23,29 @@ NEAR_WIDTH, NEAR_PERCENT = 5, 80
 
 
 def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    lean(spark)
     scorer = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, scorer)
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    reach(spark)
+    lean(spark)
     left = linededup.without_repeats(docs)
     return left.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars"))
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    reach(spark)
+    lean(spark)
     return minhash.keep_first(docs, NEAR_WIDTH, NEAR_PERCENT)
 
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    reach(spark)
+    lean(spark)
     return mixing.emit(docs)
 
 
 def stage_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    reach(spark)
+    lean(spark)
     return bpe.encode(docs)
 
 
@@ -61,7 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(lean(spark), sf_dir, "documents")
     root = scratch(spark, "pipeline")
     for i, (name, stage) in enumerate(STAGES):
         path = f"{root}/{i}-{name}"
