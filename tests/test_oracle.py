@@ -43,12 +43,11 @@ def test_contract_report_finds_every_variant(spark):
     assert any(r.perdidas for r in rows) and all((r.perdidas is None) == (not r.contrato_ok) for r in rows)
 
 
-@pytest.mark.parametrize("partitions", ["1", "8", "64"])
-def test_speed_ranks_do_not_depend_on_partitions_or_bins(spark, con, monkeypatch, partitions):
+@pytest.mark.parametrize("partitions,bits", [("1", 16), ("8", 8), ("64", 32)])
+def test_speed_ranks_do_not_depend_on_partitions_or_digits(spark, con, monkeypatch, partitions, bits):
     from tripmart.operators import profile
 
-    monkeypatch.setattr(profile, "RANK_BINS", 7)
-    monkeypatch.setattr(profile, "RANK_ROWS", 5)
+    monkeypatch.setattr(profile, "DIGIT_BITS", bits)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:

@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.flags import FLAG_NAMES, MONTH, any_flag, duration_seconds
+from tripmart.functions.ordered import from_key, with_order_key
 from tripmart.session import shared_dir
 
 # Columns that the source leaves null together (with passenger_count).
 NULL_TOGETHER = ("passenger_count", "ratecode_id", "store_and_fwd_flag", "congestion_surcharge", "airport_fee")
-# Bins of one round of rank selection, and rows of a bin that are ranked at last.
-RANK_BINS = 4096
-RANK_ROWS = 50_000
+# Bits of one digit of the rank selection; a divisor of 64.
+DIGIT_BITS = 16
 # Rows of the state (one for each key and percentile, a few numbers each) to broadcast at most.
 BROADCAST_STATE = 100_000
 SPEED_QUANTILES = (0.5, 0.999)
@@ -83,52 +83,51 @@ def gold_domain(mart: DataFrame) -> DataFrame:
 def implied_mph(silver: DataFrame) -> DataFrame:
     """Implied speed of every row with a positive duration (double arithmetic)."""
     dur = duration_seconds()
-    return silver.where(dur > 0).select(
-        F.col(MONTH), (F.col("trip_distance") / (dur.cast("double") / F.lit(3600.0))).alias("mph")
-    ).where(F.col("mph").isNotNull())
+    mph = F.when(dur > 0, F.try_divide(F.col("trip_distance"), dur.cast("double") / F.lit(3600.0)))
+    return silver.select(F.col(MONTH), mph.alias("mph")).where(F.col("mph").isNotNull())
 
 
 def exact_ranks(values: DataFrame, key: str, value: str, quantiles: Sequence[float]) -> DataFrame:
     """(key, q, n, <value>): the value at rank ceil(q * n) of each key's sorted values.
 
-    Exact at every size, without sorting a key in one task: counts over ``RANK_BINS``
-    equal bins between a key's bounds find the bin that holds the rank, and that bin is
-    binned again between its own bounds until it holds one value or at most
-    ``RANK_ROWS`` rows, which are then ranked. Binning never changes the order of two
-    values, so a bin's rows are exactly those between its bounds. Each round is
-    one partial aggregation; what is kept between rounds is one row per key and q.
+    Radix selection over the order-preserving bits of a double, ``DIGIT_BITS`` at a time from
+    the front, so the rounds are 64 / DIGIT_BITS whatever the values. The input is read twice:
+    once to count the first digits, once to gather the distinct values (with their counts) that
+    share a first digit with a wanted rank; the other digits are counted among those. Every
+    count is a partial aggregation, and no key is sorted in one task.
     """
     spark = values.sparkSession
     shared_dir(spark)
-    values = values.where(F.col(value).isNotNull() & ~F.isnan(value)).select(F.col(key).alias("k"), F.col(value).alias("x"))
-    qs = F.explode(F.array(*[F.lit(q) for q in quantiles]))
-    state = values.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    state = state.withColumn("q", qs).select(
-        "k", "q", "n", F.ceil(F.col("q") * F.col("n")).alias("r"), "lo", "hi", F.col("n").alias("m")
-    ).checkpoint()
-    # the state is broadcast only when it is known to be small; it never grows between rounds
-    small = state.count() <= BROADCAST_STATE
-    beside = F.broadcast if small else (lambda df: df)
-    open_ = (F.col("lo") < F.col("hi")) & (F.col("m") > RANK_ROWS)
-    while state.where(open_).limit(1).count():
-        s = state.where(open_)
-        # halves, so that no difference overflows
-        share = (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
-        place = F.least(F.floor(share * RANK_BINS), F.lit(RANK_BINS - 1))
-        bins = (
-            values.join(beside(s), "k").where(F.col("x").between(F.col("lo"), F.col("hi")))
-            .groupBy("k", "q", "n", "r", place.alias("bin"))
-            .agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-        )
-        upto = F.sum("m").over(Window.partitionBy("k", "q").orderBy("bin"))  # at most RANK_BINS rows
-        hit = bins.withColumn("upto", upto).where((F.col("upto") >= F.col("r")) & (F.col("upto") - F.col("m") < F.col("r")))
-        hit = hit.select("k", "q", "n", (F.col("r") - F.col("upto") + F.col("m")).alias("r"), "lo", "hi", "m")
-        state = state.where(~open_).unionByName(hit).checkpoint()
-    one = state.where("lo = hi").select("k", "q", "n", F.col("lo").alias("x"))
-    few = values.join(beside(state.where("lo < hi")), "k").where(F.col("x").between(F.col("lo"), F.col("hi")))
-    nth = F.row_number().over(Window.partitionBy("k", "q").orderBy("x"))  # at most RANK_ROWS rows
-    ranked = few.withColumn("nth", nth).where("nth = r").select("k", "q", "n", "x")
-    return one.unionByName(ranked).select(F.col("k").alias(key), "q", "n", F.col("x").alias(value))
+    known = values.where(F.col(value).isNotNull() & ~F.isnan(value)).select(F.col(key).alias("k"), F.col(value).alias("x"))
+    bits = with_order_key(known, "x", "bits")
+    first = F.shiftright("bits", 64 - DIGIT_BITS)
+    by_digit = Window.partitionBy("k").orderBy("prefix")  # at most 2^DIGIT_BITS rows
+    counted = bits.groupBy("k", first.alias("prefix")).agg(F.count(F.lit(1)).alias("m"))
+    counted = counted.withColumn("upto", F.sum("m").over(by_digit)).withColumn("n", F.sum("m").over(Window.partitionBy("k")))
+    state = counted.select(
+        "*", F.explode(F.array(*[F.lit(q) for q in quantiles])).alias("q")
+    ).withColumn("r", F.greatest(F.ceil(F.col("q") * F.col("n")), F.lit(1)))
+    state = _holding(state).checkpoint()
+    # one row for each key and quantile; broadcast only when that is known to be small
+    beside = F.broadcast if state.count() <= BROADCAST_STATE else (lambda df: df)
+    near = beside(state.select("k", "prefix").distinct())
+    few = (
+        bits.withColumn("prefix", first).join(near, ["k", "prefix"]).groupBy("k", "bits").agg(F.count(F.lit(1)).alias("m")).checkpoint()
+    )
+    for left in range(64 - 2 * DIGIT_BITS, -1, -DIGIT_BITS):
+        state = state.withColumnRenamed("prefix", "above")
+        inside = few.withColumn("above", F.shiftright("bits", left + DIGIT_BITS)).join(beside(state), ["k", "above"])
+        digits = inside.groupBy("k", "q", "n", "r", F.shiftright("bits", left).alias("prefix")).agg(F.sum("m").alias("m"))
+        upto = F.sum("m").over(Window.partitionBy("k", "q").orderBy("prefix"))  # at most 2^DIGIT_BITS rows
+        state = _holding(digits.withColumn("upto", upto))
+    return state.select(F.col("k").alias(key), "q", "n", from_key(F.col("prefix")).alias(value))
+
+
+def _holding(digits: DataFrame) -> DataFrame:
+    """The digits that hold their rank, and the rank inside them."""
+    before = F.col("upto") - F.col("m")
+    held = digits.where((F.col("upto") >= F.col("r")) & (before < F.col("r")))
+    return held.select("k", "q", "n", (F.col("r") - before).alias("r"), "prefix")
 
 
 def speed_profile(silver: DataFrame) -> DataFrame:
