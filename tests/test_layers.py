@@ -109,9 +109,11 @@ def test_staged_publish(spark, lake):
     months = silver.landed_raw_months(spark, lake, "yellow")
     run = publish.stage_validate_publish(spark, lake, "yellow", months[:3])
     assert not run.unequal and run.read > 0
-    from tripmart.lake import list_dirs
+    from tripmart.operators import published
 
-    assert not list_dirs(spark, f"{lake.root}/_staging/*/*")  # nothing staged stays behind
+    at = published.snapshot(spark, lake, "yellow")
+    assert at.number == 1 and sorted(at.months) == months[:3]
+    assert published.silver_rows(spark, lake, "yellow").count() == run.read
 
 
 def test_canary(spark, lake):
@@ -200,6 +202,8 @@ def test_publish_is_refused_when_the_staged_mart_fails_its_tests(spark):
     months = silver.landed_raw_months(spark, lake, "yellow")
     with pytest.raises(publish.PublishRefused, match="not_null hora"):
         publish.stage_validate_publish(spark, lake, "yellow", months)
-    from tripmart.lake import table_exists
+    from tripmart.lake import list_dirs
+    from tripmart.operators import published
 
-    assert not table_exists(spark, lake.silver("yellow")) and not table_exists(spark, lake.gold())
+    assert published.snapshot(spark, lake, "yellow").number == 0
+    assert not list_dirs(spark, f"{lake.published('yellow')}/*/v=*")  # nothing staged stays behind

@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from tripmart import tables
 from tripmart.functions import months as M
 from tripmart.lake import Lake
-from tripmart.operators import checks, gold, landing, serving, silver
+from tripmart.operators import checks, gold, landing, published, serving, silver
 from tripmart.operators.contract import ContractError
+from tripmart.plans import publish
 from tripmart.session import configure
 from tripmart.sources.landed import landed_files
 from tripmart.sources.zones import read_zones
@@ -50,7 +51,13 @@ def _parser() -> argparse.ArgumentParser:
     v = sub.add_parser("viajes", help="filtered, limited trips of the mart as JSON")
     for name in ("mes", "zona", "hora", "limite"):
         v.add_argument(f"--{name}")
-    sub.add_parser("salud", help="mart state")
+    h = sub.add_parser("salud", help="mart state")
+    for cmd in (v, h):
+        cmd.add_argument("--publicado", metavar="SERVICE", help="the mart of this service's current publication")
+    pb = sub.add_parser("publicar", help="stage months and their mart, decide, and publish them together")
+    pb.add_argument("service")
+    pb.add_argument("--mes", required=True)
+    pb.add_argument("--hasta", help="last month of a range; months that are not in raw are reported")
     pe = sub.add_parser("pendientes", help="months of a backfill range still to land")
     pe.add_argument("--publicados", required=True, help="parquet with a 'mes' column of published months")
     pe.add_argument("--meses-extra", type=int, default=0, dest="extra",
@@ -95,6 +102,26 @@ def _landing(spark: SparkSession, lake: Lake, args) -> int:
     return 1 if counts.get(landing.ERROR) or out.get("incompletos") else 0
 
 
+def _mart(spark: SparkSession, lake: Lake, args):
+    """The rebuilt mart, or that of the current publication."""
+    if args.publicado:
+        return serving.check_mart_schema(published.mart_rows(spark, lake, args.publicado))
+    return serving.read_mart(spark, lake.gold())
+
+
+def _publish(spark: SparkSession, lake: Lake, args) -> int:
+    wanted = M.month_range(args.mes, args.hasta or args.mes)
+    landed = set(silver.landed_raw_months(spark, lake, args.service))
+    months, missing = [m for m in wanted if m in landed], [m for m in wanted if m not in landed]
+    if not months:
+        _print({"error": "no month of the range is in raw", "sin_raw": missing})
+        return 1
+    run = publish.stage_validate_publish(spark, lake, args.service, months)
+    at = published.snapshot(spark, lake, args.service)
+    _print({"publicacion": at.number, "meses": list(run.months), "leidas": run.read, "marcadas": run.flagged, "sin_raw": missing})
+    return 0
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = configure(spark or SparkSession.builder.getOrCreate())
@@ -141,7 +168,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             flt = serving.TripFilter.parse(mes=args.mes, zona=args.zona, hora=args.hora, limite=args.limite)
             # one partition of rows at a time: the whole mart never sits in the driver
             filas = total = 0
-            for r in serving.trips(serving.read_mart(spark, lake.gold()), flt).toLocalIterator():
+            for r in serving.trips(_mart(spark, lake, args), flt).toLocalIterator():
                 row = r.asDict()
                 filas, total = filas + 1, row.pop("total")
                 row["ingreso"] = str(row["ingreso"])
@@ -149,15 +176,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             _print({"filas": filas, "total": total})
             return 0
         if args.command == "pendientes":
-            published = spark.read.parquet(args.publicados).select("mes")
+            offered = spark.read.parquet(args.publicados).select("mes")
             landed = spark.createDataFrame([(m,) for m in silver.landed_raw_months(spark, lake, args.svc)], "mes string")
-            pending = landing.pending_months(published, landed, args.extra)
+            pending = landing.pending_months(offered, landed, args.extra)
             _print({"pendientes": sorted(r["mes"] for r in pending.collect())})
             return 0
+        if args.command == "publicar":
+            return _publish(spark, lake, args)
         if args.command == "landing":
             return _landing(spark, lake, args)
         if args.command == "salud":
-            _print(serving.state(serving.read_mart(spark, lake.gold())).first().asDict())
+            _print(serving.state(_mart(spark, lake, args)).first().asDict())
             return 0
         if args.command == "register":
             _print({"tablas": tables.register_lake(spark, lake, args.svc)})
@@ -169,7 +198,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         _print({"error": str(err)})
         return 2
     except (silver.MonthNotLanded, silver.EmptyMonth, silver.IncoherentPartition, ContractError,
-            gold.EmptyMart, serving.MartSchemaError) as err:
+            gold.EmptyMart, serving.MartSchemaError,
+            publish.PublishRefused, published.NothingPublished, published.Contended) as err:
         _print({"error": str(err)})
         return 1
     except AnalysisException as err:  # a layer that is not there or cannot be read

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,9 @@ class Lake:
     def staging(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/_staging/{layer}/{name}"
 
+    def published(self, service: str) -> str:
+        return f"{self.root.rstrip('/')}/published/tlc_{months.service_name(service)}"
+
     def landing(self, name: str = "ledger") -> str:
         return f"{self.root.rstrip('/')}/raw/_ledger/{name}"
 
@@ -111,6 +116,48 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, hpath = _hadoop_fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def put_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file whole or not at all; False if it exists already.
+
+    It is written aside and renamed without overwriting, which a file system with atomic
+    renames decides for one of several writers.
+    """
+    handle = _hadoop_fs(spark, path)
+    if handle is None:
+        raise RuntimeError(f"cannot write {path}: its file system is out of reach")
+    fs, final = handle
+    if fs.exists(final):
+        return False
+    aside = spark._jvm.org.apache.hadoop.fs.Path(final.getParent(), f"_{uuid.uuid4().hex}")
+    fs.mkdirs(final.getParent())
+    stream = fs.create(aside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(aside), fs.makeQualified(final), options)
+    except Py4JJavaError as err:
+        fs.delete(aside, False)
+        if "FileAlreadyExistsException" in str(err.java_exception.getClass().getName()):
+            return False
+        raise
+    return True
+
+
 def file_names(spark: SparkSession, pattern: str) -> list[str] | None:
     """Names of the files and folders matching a glob."""
     handle = _hadoop_fs(spark, pattern)

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from tripmart import tables
 from tripmart.functions.flags import FLAG_NAMES, MONTH, any_flag
 from tripmart.functions.months import Month
-from tripmart.lake import Lake, table_exists
-from tripmart.operators import checks, gold, landing, profile, serving, silver, zones
+from tripmart.lake import Lake, read_months, table_exists
+from tripmart.operators import checks, gold, landing, profile, published, serving, silver, zones
 from tripmart.plans import publish, reports
 from tripmart.session import configure, scratch
 from tripmart.operators.contract import FILE_MONTH
@@ -149,7 +149,7 @@ def q_staged_publish(spark, sf_dir):
     """Write months to staging, validate there, publish only if clean."""
     lake, months = _landed_lake(spark, sf_dir, "staged")
     publish.stage_validate_publish(spark, lake, "yellow", months)
-    return _contents_by_month(spark.read.parquet(lake.silver("yellow")))
+    return _contents_by_month(published.silver_rows(spark, lake, "yellow"))
 
 
 def _emptied(spark, sf_dir, lake, months) -> str:
@@ -176,21 +176,68 @@ def q_publish_emptied_month(spark, sf_dir):
     publish.stage_validate_publish(spark, lake, "yellow", months)
     middle = _emptied(spark, sf_dir, lake, months)
     publish.stage_validate_publish(spark, lake, "yellow", [months[0], middle])
-    return serving.read_mart(spark, lake.gold())
+    return serving.check_mart_schema(published.mart_rows(spark, lake, "yellow"))
+
+
+def _refused(spark, lake, months, because: str) -> DataFrame:
+    """Two marts: that of the silver still published, and the one still published."""
+    try:
+        publish.stage_validate_publish(spark, lake, "yellow", months)
+    except publish.PublishRefused as err:
+        if because not in str(err):
+            raise AssertionError(f"refused for another reason: {err}") from err
+        live = published.silver_rows(spark, lake, "yellow")
+        return gold.mart(live).unionByName(serving.check_mart_schema(published.mart_rows(spark, lake, "yellow")))
+    raise AssertionError("months that fail a check were published")
 
 
 def q_publish_refused(spark, sf_dir):
-    """One of two staged months fails D1 (hours without a value); nothing live changes."""
+    """One of two staged months fails D1 (hours without a value); nothing published changes."""
     lake, months = _landed_lake(spark, sf_dir, "refused")
     publish.stage_validate_publish(spark, lake, "yellow", months)
     broken = fixtures.trips_raw(spark, sf_dir, null_pickup_every=2).where(F.col(FILE_MONTH) == months[1])
     silver.land_raw(broken, lake)
+    return _refused(spark, lake, months[:2], "not_null hora")
+
+
+def q_publish_corrupted(spark, sf_dir):
+    """The files of a staged month are replaced by as many other rows before they are
+    published; the digest of their content refuses them, and they are still absent."""
+    lake, months = _landed_lake(spark, sf_dir, "corrupted")
+    middle = months[len(months) // 2]
+    publish.stage_validate_publish(spark, lake, "yellow", [m for m in months if m != middle])
+    staged = publish.stage(spark, lake, "yellow", [middle])
+    rows = read_months(spark, staged.silver_path, [middle])
+    other = f"{lake.root}/other"
+    tip = (F.col("tip_amount") + 1).cast(rows.schema["tip_amount"].dataType)
+    rows.withColumn("tip_amount", tip).write.partitionBy(MONTH).parquet(other)
+    silver.write_months(read_months(spark, other, [middle]), staged.silver_path)
     try:
-        publish.stage_validate_publish(spark, lake, "yellow", months[:2])
-    except publish.PublishRefused:
-        live = spark.read.parquet(lake.silver("yellow"))
-        return gold.mart(live).unionByName(serving.read_mart(spark, lake.gold()))
-    raise AssertionError("a mart with null hours was published")
+        publish.publish(spark, lake, staged)
+    except publish.PublishRefused as err:
+        if "do not hold the rows that were written" not in str(err):
+            raise
+        return _contents_by_month(published.silver_rows(spark, lake, "yellow"))
+    raise AssertionError("a month with other rows was published")
+
+
+def q_publish_while_reading(spark, sf_dir):
+    """A reader opens silver and mart, two months are published again (one without a clean
+    trip), and only then are the reader's tables computed; beside them what a new reader gets."""
+    lake, months = _landed_lake(spark, sf_dir, "reading")
+    publish.stage_validate_publish(spark, lake, "yellow", months)
+
+    def opened(label):
+        at = published.snapshot(spark, lake, "yellow")
+        trips = published.mart_rows(spark, lake, "yellow", at).groupBy(MONTH).agg(F.sum("viajes").alias("viajes"), F.sum("ingreso").alias("ingreso"))
+        rows = published.silver_rows(spark, lake, "yellow", at).groupBy(MONTH).agg(
+            F.count(F.lit(1)).alias("filas"), F.count_if(~any_flag()).alias("limpias"))
+        return rows.join(trips, MONTH, "left").select(F.lit(label).alias("lector"), "*")
+
+    early = opened("antes")
+    middle = _emptied(spark, sf_dir, lake, months)
+    publish.stage_validate_publish(spark, lake, "yellow", [months[0], middle])
+    return early.unionByName(opened("despues"))
 
 
 def q_raw_single_files(spark, sf_dir):
@@ -508,6 +555,8 @@ QUERIES: dict[str, Query] = {
     "refresh_emptied_month": q_refresh_emptied_month,
     "publish_emptied_month": q_publish_emptied_month,
     "publish_refused": q_publish_refused,
+    "publish_corrupted": q_publish_corrupted,
+    "publish_while_reading": q_publish_while_reading,
     "raw_single_files": q_raw_single_files,
     "landing_errors": q_landing_errors,
     "landing_files": q_landing_files,

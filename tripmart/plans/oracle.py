@@ -289,6 +289,15 @@ def oracle_sql() -> dict[str, str]:
         "staged_publish": with_silver(_CONTENTS),
         "refresh_emptied_month": with_mart(f"SELECT {_MART_COLS} FROM mart WHERE mes <> {_MIDDLE}"),
         "publish_emptied_month": with_mart(f"SELECT {_MART_COLS} FROM mart WHERE mes <> {_MIDDLE}"),
+        "publish_corrupted": with_silver(f"SELECT * FROM ({_CONTENTS}) WHERE mes <> {_MIDDLE}"),
+        "publish_while_reading": with_mart(
+            f"SELECT lector, c.mes, filas, CASE WHEN lector = 'despues' AND c.mes = {_MIDDLE} THEN 0 ELSE limpias END AS limpias, "
+            f"CASE WHEN lector = 'antes' OR c.mes <> {_MIDDLE} THEN viajes END AS viajes, "
+            f"CASE WHEN lector = 'antes' OR c.mes <> {_MIDDLE} THEN ingreso END AS ingreso "
+            f"FROM (SELECT mes, count(*) AS filas, CAST(count_if(NOT ({ANY})) AS BIGINT) AS limpias FROM silver GROUP BY mes) c "
+            "LEFT JOIN (SELECT mes, CAST(sum(viajes) AS BIGINT) AS viajes, CAST(sum(ingreso) AS DECIMAL(30,2)) AS ingreso "
+            "FROM mart GROUP BY mes) t ON c.mes = t.mes, (VALUES ('antes'), ('despues')) l(lector)"
+        ),
         "publish_refused": with_mart(f"SELECT {_MART_COLS} FROM mart UNION ALL SELECT {_MART_COLS} FROM mart"),
         "raw_single_files": with_silver(
             f"SELECT * FROM ({_CONTENTS}) UNION ALL BY NAME SELECT strftime(CAST(max(mes) || '-01' AS DATE) "
