@@ -64,3 +64,54 @@ def test_many_micro_batches_give_the_batch_counts(spark):
     streamed = hourly.read_hourly_sink(spark, f"{root}/counts")
     batch = hourly.hourly_counts(events)
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_a_long_changelog_stays_small_and_survives_interrupted_compactions(spark, monkeypatch):
+    import datetime as dt
+    import random
+
+    from tripmart.lake import list_dirs
+    from tripmart.streaming import changelog
+
+    sink = scratch(spark, "test-changelog")
+    rng = random.Random(1)
+    hours = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=h) for h in range(30)]
+    counts = {}
+
+    def trigger(batch_id):
+        for h in rng.sample(hours, 4):
+            counts[h] = counts.get(h, 0) + rng.randrange(1, 9)
+        rows = [(h, counts[h]) for h in rng.sample(sorted(counts), min(6, len(counts)))]
+        for h, n in rows:
+            shown[h] = n
+        changelog.write_batch(spark.createDataFrame(rows, "hora timestamp_ntz, eventos bigint").coalesce(1), sink, batch_id)
+
+    def read():
+        return {r.hora: r.eventos for r in changelog.latest(spark, sink).collect()}
+
+    shown = {}
+    assert read() == {}
+    put, clean = changelog.put_once, changelog._clean
+
+    def stopped(*args):
+        raise RuntimeError("stopped")
+
+    for batch_id in range(60):
+        trigger(batch_id)
+        if batch_id % 5 == 4:
+            if batch_id % 15 == 4:  # after the base, before the pointer
+                monkeypatch.setattr(changelog, "put_once", stopped)
+            if batch_id % 15 == 9:  # after the pointer, before old files go
+                monkeypatch.setattr(changelog, "_clean", stopped)
+            early = changelog.latest(spark, sink)
+            try:
+                changelog.compact(spark, sink)
+            except RuntimeError:
+                pass
+            monkeypatch.setattr(changelog, "put_once", put)
+            monkeypatch.setattr(changelog, "_clean", clean)
+            assert read() == shown
+            assert {r.hora: r.eventos for r in early.collect()} == shown  # a reader that began before
+            assert len(list_dirs(spark, f"{sink}/tail/lote=*")) <= 20 and len(list_dirs(spark, f"{sink}/base/v=*")) <= 4
+    changelog.write_batch(spark.createDataFrame([(hours[0], 10**6)], "hora timestamp_ntz, eventos bigint"), sink, 59)  # a replay
+    assert read() == shown

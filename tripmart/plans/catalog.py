@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tripmart import tables
 from tripmart.functions.flags import FLAG_NAMES, MONTH, any_flag
 from tripmart.functions.months import Month
-from tripmart.lake import Lake, read_months, table_exists
+from tripmart.lake import Lake, list_dirs, read_months, table_exists
 from tripmart.operators import checks, gold, landing, profile, published, serving, silver, zones
 from tripmart.plans import publish, reports
 from tripmart.session import configure, scratch
@@ -25,7 +25,7 @@ from tripmart.operators.contract import FILE_MONTH
 from tripmart.sources import fixtures
 from tripmart.sources import zones as zone_source
 from tripmart.sources.landed import landed_files
-from tripmart.streaming import hourly
+from tripmart.streaming import changelog, hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -502,6 +502,22 @@ def q_hourly_events_two_runs(spark, sf_dir):
     return hourly.read_hourly_sink(spark, f"{root}/counts")
 
 
+def q_hourly_events_compacted(spark, sf_dir):
+    """The changelog compacted after every second trigger; one more compaction stops
+    before its pointer, and counts stay as they are."""
+    root = scratch(configure(spark), "hourly-compacted")
+    hourly.land_hourly_files(_all_events(spark, sf_dir), f"{root}/files")
+    sink = f"{root}/counts"
+    hourly.start_hourly_stream(
+        spark, f"{root}/files", sink, f"{root}/checkpoint", max_files_per_trigger=150, compact_every=2
+    ).awaitTermination()
+    at = changelog.pointer(spark, sink)
+    if at.number < 2 or len(list_dirs(spark, f"{sink}/tail/lote=*")) > 4 or len(list_dirs(spark, f"{sink}/base/v=*")) > 2:
+        raise AssertionError("the changelog was not compacted")
+    changelog.write_base(spark, sink, at, [at.upto])
+    return hourly.read_hourly_sink(spark, sink)
+
+
 # --- contract ---------------------------------------------------------------
 def q_contract_report(spark, sf_dir):
     """Months landed with differing schemas, reported from their files."""
@@ -552,6 +568,7 @@ QUERIES: dict[str, Query] = {
     "contract_report": q_contract_report,
     "speed_profile_one_month": q_speed_profile_one_month,
     "hourly_events_two_runs": q_hourly_events_two_runs,
+    "hourly_events_compacted": q_hourly_events_compacted,
     "refresh_emptied_month": q_refresh_emptied_month,
     "publish_emptied_month": q_publish_emptied_month,
     "publish_refused": q_publish_refused,

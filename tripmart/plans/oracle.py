@@ -360,6 +360,7 @@ FROM orders""",
             extra=_MPH,
         ),
         "hourly_events_two_runs": _HOURLY,
+        "hourly_events_compacted": _HOURLY,
         "contract_report": _contract_report(),
         "silver_report": with_silver(
             f"SELECT count(*) AS leidas, CAST(count_if({ANY}) AS BIGINT) AS marcadas, count(*) AS escritas, "

@@ -4,10 +4,10 @@ Events arrive as one gzip JSON folder per hour; a missing hour is normal and is
 reported, not fabricated. The streaming count is an update-mode aggregate without
 a watermark: a file may land at any time, and no event is ever dropped for being
 late. Its state is one row per hour of the calendar (about 9,000 a year), so nothing
-needs evicting. Each micro-batch appends its updated hours to a changelog tagged
-with the batch id, and readers take the latest value per hour. Appends are atomic
-per batch and a replayed batch writes the same values, so a lost executor or a
-restarted query never double counts.
+needs evicting. Each micro-batch writes its updated hours into a folder of a changelog,
+which is compacted as the stream goes (``changelog``), and readers take the latest value
+per hour. A batch is written whole or not at all and a replayed batch has the same values, so
+a lost executor or a restarted query never double counts.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.streaming import changelog
+
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 HOUR_DIR = "hora"  # folder key of an hourly file: hora=YYYY-MM-DDTHH
-# Files of one micro-batch in the changelog (a batch has one row per hour it touched).
-CHANGELOG_FILES = 4
 
 
 def hour_start(ts: Column) -> Column:
@@ -92,13 +92,15 @@ def start_hourly_stream(
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     state_partitions: int = 16,
+    compact_every: int = changelog.COMPACT_EVERY,
 ):
     """Count events per hour from landed files as a Structured Streaming query.
 
     Every landed event counts, in whatever order its file arrives.
     ``state_partitions`` sizes the state store: after map-side partial aggregation the
     state holds one row per hour, so it stays small however large the input is. It is
-    fixed in the checkpoint at the first start. Returns the ``StreamingQuery``.
+    fixed in the checkpoint at the first start. The changelog in ``sink`` is compacted after
+    every ``compact_every`` batches. Returns the ``StreamingQuery``.
     """
     spark = _stream_session(spark, state_partitions)
     reader = spark.readStream.schema(EVENT_SCHEMA).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
@@ -107,11 +109,9 @@ def start_hourly_stream(
     counts = hourly_counts(reader.json(source))
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
-        # One row per hour the batch touched: a few small files for each batch.
-        (
-            batch.select("hora", "eventos", F.lit(batch_id).cast("bigint").alias("lote"))
-            .coalesce(CHANGELOG_FILES).write.mode("append").parquet(sink)
-        )
+        changelog.write_batch(batch, sink, batch_id)
+        if batch_id % compact_every == compact_every - 1:
+            changelog.compact(spark, sink)
 
     writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(
         append_batch
@@ -137,5 +137,4 @@ def _stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
 
 def read_hourly_sink(spark: SparkSession, sink: str) -> DataFrame:
     """Latest count per hour from the changelog written by the stream."""
-    log = spark.read.parquet(sink)
-    return log.groupBy("hora").agg(F.max_by("eventos", "lote").alias("eventos"))
+    return changelog.latest(spark, sink)
