@@ -25,7 +25,7 @@ from tripmart.operators.contract import FILE_MONTH
 from tripmart.sources import fixtures
 from tripmart.sources import zones as zone_source
 from tripmart.sources.landed import landed_files
-from tripmart.streaming import changelog, hourly
+from tripmart.streaming import arrivals, changelog, hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -518,6 +518,20 @@ def q_hourly_events_compacted(spark, sf_dir):
     return hourly.read_hourly_sink(spark, sink)
 
 
+def q_hourly_events_by_arrival(spark, sf_dir):
+    """Landings with numbers, counted after each, twice after the last, and compacted on the way;
+    every other event of the older hours lands last."""
+    root = scratch(configure(spark), "hourly-arrivals")
+    events = _all_events(spark, sf_dir)
+    newer, odd = F.dayofmonth("ts") >= 10, F.col("event_id") % 2 == 1
+    for part in (events.where(newer), events.where(~newer & ~odd), events.where(~newer & odd)):
+        arrivals.land(part, root)
+        arrivals.count_new(spark, root, f"{root}/counts", compact_every=2)
+    if arrivals.count_new(spark, root, f"{root}/counts"):
+        raise AssertionError("landings were counted again")
+    return hourly.read_hourly_sink(spark, f"{root}/counts")
+
+
 # --- contract ---------------------------------------------------------------
 def q_contract_report(spark, sf_dir):
     """Months landed with differing schemas, reported from their files."""
@@ -569,6 +583,7 @@ QUERIES: dict[str, Query] = {
     "speed_profile_one_month": q_speed_profile_one_month,
     "hourly_events_two_runs": q_hourly_events_two_runs,
     "hourly_events_compacted": q_hourly_events_compacted,
+    "hourly_events_by_arrival": q_hourly_events_by_arrival,
     "refresh_emptied_month": q_refresh_emptied_month,
     "publish_emptied_month": q_publish_emptied_month,
     "publish_refused": q_publish_refused,

@@ -361,6 +361,7 @@ FROM orders""",
         ),
         "hourly_events_two_runs": _HOURLY,
         "hourly_events_compacted": _HOURLY,
+        "hourly_events_by_arrival": _HOURLY,
         "contract_report": _contract_report(),
         "silver_report": with_silver(
             f"SELECT count(*) AS leidas, CAST(count_if({ANY}) AS BIGINT) AS marcadas, count(*) AS escritas, "

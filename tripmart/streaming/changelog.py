@@ -82,6 +82,17 @@ def latest(spark: SparkSession, sink: str) -> DataFrame:
     return _folded(spark, sink, at, _after(spark, sink, at.upto)).select("hora", "eventos")
 
 
+def last_batch(spark: SparkSession, sink: str) -> int:
+    """The highest batch that is written whole (-1: none)."""
+    at = pointer(spark, sink)
+    return max([at.upto, *_after(spark, sink, at.upto)])
+
+
+def batches_waiting(spark: SparkSession, sink: str) -> int:
+    """Batches that the base does not hold yet."""
+    return len(_after(spark, sink, pointer(spark, sink).upto))
+
+
 def write_base(spark: SparkSession, sink: str, at: Pointer, batches: list[int]) -> Pointer:
     """The base that follows ``at``, written and not yet current."""
     base = f"r{uuid.uuid4().hex[:16]}"

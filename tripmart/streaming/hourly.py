@@ -48,13 +48,13 @@ def land_hourly_files(events: DataFrame, root: str, mode: str = "overwrite") ->
     return root
 
 
-def read_hourly_files(spark: SparkSession, root: str) -> DataFrame:
-    """Batch read of landed hourly files with the fixed event schema."""
+def read_hourly_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """Batch read of landed hourly files, of one folder or several, with the fixed event schema."""
     return (
         spark.read.schema(EVENT_SCHEMA)
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        .option("recursiveFileLookup", "true")
         .json(root)
-        .drop(HOUR_DIR)
     )
 
 
