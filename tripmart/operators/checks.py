@@ -88,11 +88,14 @@ def income_text(mart: DataFrame) -> DataFrame:
     dtype = mart.schema["ingreso"].dataType
     if not isinstance(dtype, DecimalType) or dtype.scale != 2:
         raise TypeError(f"ingreso must be decimal(_,2), found {dtype.simpleString()}")
-    bad = mart.where(~F.col("ingreso").cast("string").rlike(TWO_DECIMALS))
-    return bad.select(
-        F.lit("income_two_decimals").alias("prueba"),
-        F.col("ingreso").cast("string").alias("sujeto"),
-        F.lit(1).cast("bigint").alias("violaciones"),
+    return not_two_decimals(mart, "ingreso")
+
+
+def not_two_decimals(rows: DataFrame, column: str) -> DataFrame:
+    """Values of a column, of whatever type, that do not print with exactly two decimals."""
+    text = F.col(column).cast("string")
+    return rows.where(~text.rlike(TWO_DECIMALS)).select(
+        F.lit("income_two_decimals").alias("prueba"), text.alias("sujeto"), F.lit(1).cast("bigint").alias("violaciones")
     )
 
 

@@ -431,6 +431,26 @@ def q_tests_that_fail(spark, sf_dir):
     )
 
 
+def q_income_text_other_scale(spark, sf_dir):
+    """D10 on a mart whose income has another scale and whose dearest groups have lost theirs: it fires."""
+    dear = F.col("ingreso") >= 1000
+    text = F.when(dear, F.col("ingreso").cast("decimal(20,0)").cast("string")).when(
+        F.col("hora") == SERVE_HOUR, F.col("ingreso").cast("decimal(20,3)").cast("string")).otherwise(F.col("ingreso").cast("string"))
+    return checks.not_two_decimals(mart_of(spark, sf_dir).withColumn("ingreso", text), "ingreso")
+
+
+def q_flag_list(spark, sf_dir):
+    """The flags as silver holds them, in order, with their rows; gold drops by the same list."""
+    s = silver_of(spark, sf_dir)
+    held = [f.name for f in s.schema.fields if f.dataType.simpleString() == "boolean"]
+    if tuple(held) != FLAG_NAMES:
+        raise AssertionError(f"silver holds {held}")
+    counts = s.agg(F.count_if(any_flag()).alias("__any"), *[F.count_if(F.col(n)).alias(n) for n in held])
+    return counts.select("__any", F.posexplode(F.array(*[F.struct(F.lit(n).alias("marca"), F.col(n).alias("filas")) for n in held]))).select(
+        (F.col("pos") + 1).alias("orden"), "col.marca", "col.filas", F.col("__any").alias("sin_oro")
+    )
+
+
 def q_income_text(spark, sf_dir):
     """Incomes that do not print with two decimals."""
     return checks.income_text(mart_of(spark, sf_dir))
@@ -594,6 +614,8 @@ QUERIES: dict[str, Query] = {
     "landing_files": q_landing_files,
     "tests_that_fail": q_tests_that_fail,
     "income_text": q_income_text,
+    "income_text_other_scale": q_income_text_other_scale,
+    "flag_list": q_flag_list,
     "serve_month": q_serve_month,
     "serve_zone": q_serve_zone,
     "serve_refusals": q_serve_refusals,

@@ -327,6 +327,16 @@ FROM (SELECT source, count(*) AS n, CAST(regexp_extract(source, '[0-9]+') AS INT
             "WHERE mes = (SELECT min(mes) FROM mart) "
             "UNION ALL SELECT 'id repetido', 'id_unico', 2, 4"
         ),
+        "income_text_other_scale": with_mart(
+            "SELECT 'income_two_decimals' AS prueba, CASE WHEN ingreso >= 1000 THEN CAST(CAST(ingreso AS DECIMAL(20,0)) AS VARCHAR) "
+            "ELSE CAST(CAST(ingreso AS DECIMAL(20,3)) AS VARCHAR) END AS sujeto, CAST(1 AS BIGINT) AS violaciones "
+            "FROM mart WHERE ingreso >= 1000 OR hora = 18"
+        ),
+        "flag_list": with_silver(
+            f"SELECT CAST(row_number() OVER () AS INTEGER) AS orden, marca, filas, sin_oro FROM ("
+            f"UNPIVOT (SELECT CAST(count_if({ANY}) AS BIGINT) AS sin_oro, {flag_counts} FROM silver) "
+            f"ON {', '.join(FLAGS)} INTO NAME marca VALUE filas)"
+        ),
         "income_text": with_mart(
             "SELECT 'income_two_decimals' AS prueba, CAST(ingreso AS VARCHAR) AS sujeto, CAST(1 AS BIGINT) AS violaciones "
             "FROM mart WHERE NOT regexp_matches(CAST(ingreso AS VARCHAR), '^-?[0-9]+[.][0-9]{2}$')"
