@@ -96,3 +96,33 @@ def test_encode_rows(spark):
     small = bpe.encode(frame(spark, rows), chunk=1000, overlap=40)
     assert sorted(map(tuple, small.collect()), key=str) == want
     assert bpe.encode(frame(spark, [])).count() == 0
+
+
+def test_very_long_runs():
+    # the library's own split ends in an error on such runs; its merges of a single piece do not
+    c = bpe.codec(bpe.VOCABULARY)
+    for run in (" ", "\n", "\u3000", "a", "é", "."):
+        for n in (1_000_000, 5_000_000):
+            text = "one" + run * n + "x two"
+            plain = [i for m in c.pattern.finditer(text) for i in TIK._encode_single_piece(m.group())]
+            assert bpe.encode_text(c, text) == plain
+            assert c.decode(plain) == text.encode()
+
+
+def test_a_long_text_is_cut_into_many_pieces():
+    c = bpe.codec(bpe.VOCABULARY)
+    text = "日本語テキスト、don't  stop 12.5\n\n" * 20_000 + " " * 100_000 + "so it goes on and on, " * 20_000
+    found = bpe.pieces(c, text)
+    assert "".join(found) == text and len(found) > len(text) // bpe.CHUNK - 6
+    assert sorted(map(len, found))[-2] <= bpe.CHUNK + bpe.OVERLAP
+    assert [i for p in found for i in c.encode(p)] == [i for m in c.pattern.finditer(text) for i in TIK._encode_single_piece(m.group())]
+
+
+def test_runs_over_many_chunks_of_rows(spark):
+    texts = ["one" + " " * 1_000_000 + "x", "\n" * 1_200_000 + "日本語", "a" * 300_000 + " end. " * 20_000]
+    got = {r.doc_id: tuple(r)[1:] for r in bpe.encode(frame(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])).collect()}
+    c = bpe.codec(bpe.VOCABULARY)
+    for i, t in enumerate(texts):
+        ids = [k for m in c.pattern.finditer(t) for k in TIK._encode_single_piece(m.group())]
+        assert got[i] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                          hashlib.sha256(t.encode()).hexdigest())
