@@ -99,7 +99,7 @@ def line_dedup(rows: list[tuple], edits=2, min_chars=20) -> list[tuple]:
     for r in rows:
         if r[0] is not None and r[1] is not None:
             for k, line in enumerate(r[1].split("\n")):
-                if len(line) >= min_chars:
+                if line.strip(" \t\n\v\f\r"):
                     first[line] = min(first.get(line, (math.inf,)), (r[0], k))
     lines = list(first)
     group = {x: x for x in lines}
@@ -111,7 +111,7 @@ def line_dedup(rows: list[tuple], edits=2, min_chars=20) -> list[tuple]:
 
     for i, x in enumerate(lines):
         for y in lines[:i]:
-            if abs(len(x) - len(y)) <= edits and root(x) != root(y) and edit_distance(x, y) <= edits:
+            if min(len(x), len(y)) >= min_chars and abs(len(x) - len(y)) <= edits and root(x) != root(y) and edit_distance(x, y) <= edits:
                 group[root(x)] = root(y)
     head: dict[str, tuple] = {}
     for x in lines:
@@ -121,7 +121,7 @@ def line_dedup(rows: list[tuple], edits=2, min_chars=20) -> list[tuple]:
         text = r[1]
         if r[0] is not None and text is not None:
             text = "\n".join(
-                x for k, x in enumerate(text.split("\n")) if len(x) < min_chars or head[root(x)] == (r[0], k)
+                x for k, x in enumerate(text.split("\n")) if x not in group or head[root(x)] == (r[0], k)
             )
         out.append((r[0], text))
     return out

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -99,3 +100,72 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     assert linededup.dedup_lines(frame(spark, [])).count() == 0
     assert linededup.without_repeats(frame(spark, [])).count() == 0
+
+
+def classes(pairs, n):
+    head = list(range(n))
+
+    def root(i):
+        while head[i] != i:
+            i = head[i]
+        return i
+
+    for i, j in pairs:
+        head[max(root(i), root(j))] = min(root(i), root(j))
+    return [root(i) for i in range(n)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["", "record number ", "abab" * 9]), st.text(alphabet="ab1", max_size=16),
+                          st.sampled_from(["", " was stored at node 7", "ba" * 9])), max_size=14, unique=True),
+       st.integers(1, 3))
+def test_links_of_a_group_are_those_of_all_pairs(parts, edits):
+    lines = list(dict.fromkeys(map("".join, parts)))
+    few, linededup.FEW = linededup.FEW, 2
+    try:
+        got = linededup.link(lines, edits)
+    finally:
+        linededup.FEW = few
+    want = [(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines[:i]) if edit_distance(x, y) <= edits]
+    assert classes(got, len(lines)) == classes(want, len(lines))
+    assert all(edit_distance(lines[i], lines[j]) <= edits for i, j in got)
+
+
+def test_templated_lines_take_no_time_by_pairs():
+    rng = random.Random(4)
+    lines = list(dict.fromkeys(f"record {rng.randrange(10**9):09} was stored at node {rng.randrange(100)}" for _ in range(20_000)))
+    begin = time.time()
+    got = linededup.link(lines)
+    assert time.time() - begin < 120
+    some = rng.sample(range(len(lines)), 40)
+    same = classes(got, len(lines))
+    for i in some:
+        for j, y in enumerate(lines):
+            if linededup.within(lines[i], y, 2):
+                assert same[i] == same[j]
+
+
+def test_ties_within_batches_join_the_same_lines(spark, monkeypatch):
+    rows = generated(seed=3)
+    df = frame(spark, rows)
+    whole = {frozenset(r) for r in linededup.ties(df, 100).collect()}
+    monkeypatch.setattr(linededup, "BATCH_CHARS", 1)
+    nodes = sorted({n for t in whole for n in t})
+    at = {n: i for i, n in enumerate(nodes)}
+    cut = {frozenset(r) for r in linededup.ties(df.repartition(7), 100).collect()}
+    assert {n for t in cut for n in t} == set(nodes)
+    edges = [classes([sorted(at[n] for n in t) for t in some], len(nodes)) for some in (whole, cut)]
+    assert edges[0] == edges[1]
+
+
+def test_short_lines_go_when_equal_only(spark):
+    rows = [(1, "ok\n\nyes sir\n \n", "en", "s", 0), (2, "ok\nok!\n\t\n\n", "en", "s", 0), (3, "yes sir", "en", "s", 0)]
+    df = frame(spark, rows)
+    assert got(linededup.dedup_lines(df)) == [(1, "ok\n\nyes sir\n \n"), (2, "ok!\n\t\n\n"), (3, "")]
+    assert {r.doc_id for r in linededup.without_repeats(df).collect()} == {1, 2}
+
+
+def test_a_document_of_many_repeated_lines(spark):
+    lines = [f"line {i}" for i in range(60_000)]
+    rows = [(1, "\n".join(lines), "en", "s", 0), (2, "\n".join([*lines, "new"]), "en", "s", 0)]
+    assert got(linededup.dedup_lines(frame(spark, rows))) == [(1, rows[0][1]), (2, "new")]

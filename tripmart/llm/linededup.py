@@ -1,20 +1,23 @@
 """Line dedup by a segment-partition edit join.
 
-Two lines are linked when at most ``EDITS`` insertions, deletions or substitutions
-of a character turn one into the other; a line's class is its component of links,
-and every line after the first of its class (by doc_id, then line number) goes.
+Two lines are linked when they are equal or, from ``MIN_CHARS`` characters on, when at
+most ``EDITS`` insertions, deletions or substitutions of a character turn one into the
+other; a line's class is its component of links, and every line after the first of its
+class (by doc_id, then line number) goes.
 
 1. A line of length l is cut into EDITS + 1 segments.  If two lines are linked, a
    segment of the one is a substring of the other near the same place, so each line
    is posted under (length, segment number, segment) and probes the lengths it can
    match with the substrings in the multi-match window.
 2. Postings travel as packed arrays.  Lines that meet under a key are tied to the
-   key's first line; that is a candidate group, not a list of pairs.
-3. A candidate group's texts come together once, large groups as pairs of blocks, and
-   pairs not linked yet are verified by banded bit-parallel edit distance.
-
-Defined results: lines shorter than ``MIN_CHARS`` (blank ones too) are never
-removed; rows with a null doc_id or a null text take no part and stay as they are;
+   key's first line, within each batch first, so a frequent key is posted once a batch;
+   that is a candidate group, not a list of pairs.
+3. A candidate group's texts come together once, large groups as pairs of blocks.  Pairs
+   that meet under a segment there, and under segments of what is left of the lines where
+   many do, are verified by banded bit-parallel edit distance.
+
+Defined results: lines of white space only stay, and no line shorter than
+``MIN_CHARS`` is linked to another text; rows with a null doc_id or a null text take no part and stay as they are;
 rows that repeat a doc_id share their lines' places, so identical rows keep the
 same lines; empty tables give empty tables; extra columns are ignored by
 ``dedup_lines`` and kept by ``without_repeats``, which also leaves out documents
@@ -23,6 +26,10 @@ that lose lines and have no word left.
 
 from __future__ import annotations
 
+import os
+from collections import defaultdict
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -35,8 +42,11 @@ from tripmart.llm.components import components
 EDITS = 2
 MIN_CHARS = 20
 #: Characters of one block of a candidate group, and postings of one packed part.
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_000_000
 PART_POSTINGS = 1_000_000
+#: Lines of a group that are compared pair by pair, and characters of one that are compared by
+#: what is left of it after deletions.
+FEW, SHORT = 48, 12
 #: Characters whose postings a task makes at once.
 BATCH_CHARS = 1_500_000
 
@@ -60,23 +70,23 @@ def node_of(line: str) -> int:
     return value - (value >> 63 << 64)
 
 
-def _lines(raw: bytes | None):
-    """(number, line) of the lines that take part."""
+def _lines(raw: bytes | None, least: int = MIN_CHARS):
+    """(number, line) of the lines of at least so many characters that are not blank."""
     if raw:
         for i, line in enumerate(raw.decode("utf-8", "replace").split("\n")):
-            if len(line) >= MIN_CHARS:
+            if len(line) >= least and line.strip(" \t\n\v\f\r"):
                 yield i, line
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, node, name) of every line that takes part."""
+    """(doc_id, line, node, name) of every line that is not blank."""
     schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("node", pa.int64()), ("name", pa.binary())])
 
     def run(batches_in):
         def rows():
             for batch in batches_in:
                 for doc_id, raw in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                    for i, line in _lines(raw):
+                    for i, line in _lines(raw, 1):
                         full = name(line)
                         yield doc_id, i, node(full), full
 
@@ -149,6 +159,27 @@ def _postings(lines: list[str], owners: np.ndarray, edits: int) -> tuple[np.ndar
     return np.concatenate(keys), np.concatenate(who)
 
 
+def first_ties(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, owners, ends): lines that meet under a key are tied to its first line, if one of them
+    has the key as its own segment; ``ends`` holds these ties, and of such keys only the first line's
+    posting is left."""
+    order = np.lexsort((owners, keys >> np.uint64(1)))
+    keys, owners = keys[order], owners[order]
+    group = keys >> np.uint64(1)
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(group)), bool), group[1:] != group[:-1])))
+    if not len(first):
+        return keys, owners, np.empty((0, 2), np.int64)
+    sizes = np.diff(first, append=len(group))
+    indexed = np.bitwise_or.reduceat(keys & np.uint64(1), first)
+    member = np.repeat(indexed > 0, sizes)
+    ends = np.column_stack((owners, np.repeat(owners[first], sizes)))[member]
+    ends = np.unique(ends[ends[:, 0] != ends[:, 1]], axis=0)
+    left = ~member
+    left[first] = True
+    marked = (group << np.uint64(1)) | np.repeat(indexed, sizes)
+    return marked[left], owners[left], ends
+
+
 def ties(docs: DataFrame, n_lines: int, edits: int = EDITS) -> DataFrame:
     """(a, b): nodes of lines that meet under a key, each tied to the key's first line."""
     per_line = len(probes(1000, edits))
@@ -174,12 +205,16 @@ def ties(docs: DataFrame, n_lines: int, edits: int = EDITS) -> DataFrame:
 
         def pack(lines):
             keys, owners = _postings(list(lines.values()), np.fromiter(lines, np.int64, len(lines)), edits)
-            part = (keys >> np.uint64(1)) % np.uint64(parts)
+            keys, owners, ends = first_ties(keys, owners)
+            yield from cut(ends[:, 0].view(np.uint64), ends[:, 1], -1 - np.arange(len(ends)) * parts // max(len(ends), 1))
+            yield from cut(keys, owners, ((keys >> np.uint64(1)) % np.uint64(parts)).astype(np.int64))
+
+        def cut(left, right, part):
             order = np.argsort(part, kind="stable")
-            keys, owners, part = keys[order], owners[order], part[order]
-            bounds = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
+            left, right, part = left[order], right[order], part[order]
+            bounds = np.flatnonzero(np.diff(part, prepend=parts))
             for a, b in zip(bounds, [*bounds[1:], len(part)]):
-                yield int(part[a]), keys[a:b].tobytes(), owners[a:b].tobytes()
+                yield int(part[a]), left[a:b].tobytes(), right[a:b].tobytes()
 
         yield from batches(rows(), packed)
 
@@ -190,6 +225,9 @@ def ties(docs: DataFrame, n_lines: int, edits: int = EDITS) -> DataFrame:
             now, keys, owners = None, [], []
             for batch in batches_in:
                 for part, k, o in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    if part < 0:  # tied in their batch
+                        yield from zip(np.frombuffer(k, np.int64).tolist(), np.frombuffer(o, np.int64).tolist())
+                        continue
                     if part != now:
                         if keys:
                             yield from tie(keys, owners)
@@ -200,23 +238,8 @@ def ties(docs: DataFrame, n_lines: int, edits: int = EDITS) -> DataFrame:
                 yield from tie(keys, owners)
 
         def tie(keys, owners):
-            key = np.frombuffer(b"".join(keys), np.uint64)
-            owner = np.frombuffer(b"".join(owners), np.int64)
-            order = np.lexsort((owner, key >> np.uint64(1)))
-            key, owner = key[order], owner[order]
-            group = key >> np.uint64(1)
-            first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-            last = np.concatenate((first[1:], [len(group)])) - 1
-            indexed = np.bitwise_or.reduceat(key & np.uint64(1), first) > 0
-            good = indexed & (owner[first] != owner[last])
-            if not good.any():
-                return
-            sizes = last - first + 1
-            member = np.repeat(good, sizes)
-            head = np.repeat(owner[first], sizes)[member]
-            pairs = np.unique(np.column_stack((owner[member], head)), axis=0)
-            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-            yield from zip(pairs[:, 0].tolist(), pairs[:, 1].tolist())
+            ends = first_ties(np.frombuffer(b"".join(keys), np.uint64), np.frombuffer(b"".join(owners), np.int64))[2]
+            yield from zip(ends[:, 0].tolist(), ends[:, 1].tolist())
 
         yield from batches(rows(), edges, most_rows=65_536)
 
@@ -297,7 +320,6 @@ def _common(a: str, b: str) -> tuple[int, int]:
 
 def link(lines: list[str], edits: int = EDITS) -> list[tuple[int, int]]:
     """A spanning forest of the links among lines."""
-    order = sorted(range(len(lines)), key=lambda i: len(lines[i]))
     parent = list(range(len(lines)))
 
     def root(i):
@@ -307,17 +329,59 @@ def link(lines: list[str], edits: int = EDITS) -> list[tuple[int, int]]:
         return i
 
     found = []
-    for at, i in enumerate(order):
-        for j in order[at + 1 :]:
-            if len(lines[j]) - len(lines[i]) > edits:
-                break
-            a, b = root(i), root(j)
-            if a != b and within(lines[i], lines[j], edits):
-                parent[b] = a
-                found.append((i, j))
+    for i, j in _meetings(list(range(len(lines))), lines, edits, root):
+        a, b = root(i), root(j)
+        if a != b and within(lines[i], lines[j], edits):
+            parent[b] = a
+            found.append((i, j))
     return found
 
 
+def _meetings(ids: list[int], texts: list[str], edits: int, root):
+    """Pairs of ids, every pair within ``edits`` that is not connected by then among them.
+
+    Few lines are all paired.  Common ends of many are cut off first; what is left is paired
+    under equal remains of deletions if it is short, else under its segments, where lines that
+    share one go on with the rest of their texts (a mark in the segment's place).
+    """
+    if len(set(map(root, ids))) < 2:
+        return
+    if len(ids) <= FEW:
+        for (a, x), (b, y) in combinations(zip(ids, texts), 2):
+            if abs(len(x) - len(y)) <= edits:
+                yield a, b
+        return
+    start = len(os.path.commonprefix([min(texts), max(texts)]))
+    ends = [t[start:][::-1] for t in texts]
+    end = len(os.path.commonprefix([min(ends), max(ends)]))
+    texts = [t[end:][::-1] for t in ends]
+    groups: dict[object, list[tuple[int, str, bool]]] = defaultdict(list)
+    if max(map(len, texts)) <= SHORT:
+        for i, t in zip(ids, texts):
+            for n in range(min(edits, len(t)) + 1):
+                for gone in combinations(range(len(t)), n):
+                    groups["".join(c for k, c in enumerate(t) if k not in gone)].append((i, "", True))
+        # the longest remains first: they link most, and linked lines need no comparing
+        for same in sorted(groups, key=len, reverse=True):
+            alone = {}
+            members = groups.pop(same)
+            if len(members) > 1:
+                for i, _, _ in members:
+                    alone.setdefault(i, root(i))
+                for a, b in combinations(alone, 2):
+                    if alone[a] != alone[b]:
+                        yield a, b
+        return
+    for i, t in zip(ids, texts):
+        for n, part, at, size, own in probes(len(t), edits):
+            if at + size <= len(t) and n >= 0:
+                groups[hash((n, part, t[at : at + size]))].append((i, t[:at] + "\uffff" + t[at + size :], own))
+    while groups:
+        _, members = groups.popitem()
+        if len({i for i, _, _ in members}) > 1 and any(own for _, _, own in members):
+            yield from _meetings([i for i, _, _ in members], [t for _, t, _ in members], edits, root)
+
+
 def links(docs: DataFrame, firsts: DataFrame, n_lines: int, edits: int = EDITS) -> DataFrame:
     """(a, b): names of linked lines, a spanning forest of the links.
 
@@ -416,11 +480,19 @@ def repeats(docs: DataFrame, edits: int = EDITS) -> DataFrame:
 def _without(df: DataFrame, edits: int) -> DataFrame:
     """``df`` with the shortened text, and what went as the struct column ``__gone``."""
     gone = repeats(df, edits).select(F.col("doc_id").alias("__id"), F.struct("lines", "n_exact", "n_near").alias("__gone"))
-    kept = F.filter(
-        F.split("text", "\n"),
-        lambda line, i: ~F.array_contains(F.col("__gone.lines"), F.struct(i.alias("line"), F.xxhash64(line).alias("node"))),
-    )
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+
+    @F.arrow_udf("string")
+    def left(text: pa.Array, lines: pa.Array) -> pa.Array:
+        def rest(raw, lost):
+            out = {(x["line"], x["node"]) for x in lost}
+            at = {k for k, _ in out}
+            every = enumerate(raw.decode("utf-8", "replace").split("\n"))
+            return "\n".join(x for k, x in every if k not in at or (k, node_of(x)) not in out)
+
+        return pa.array([None if raw is None else rest(raw, lost.as_py()) for raw, lost in zip(utf8(text), lines)], pa.string())
+
+    lost = F.col("__gone").isNotNull()
+    text = F.when(lost, left(F.when(lost, F.col("text")), F.col("__gone.lines"))).otherwise(F.col("text"))
     joined = df.join(gone, df["doc_id"] == F.col("__id"), "left").drop("__id")
     return joined.withColumn("text", text)
 
