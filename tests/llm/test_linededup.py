@@ -121,11 +121,17 @@ def classes(pairs, n):
        st.integers(1, 3))
 def test_links_of_a_group_are_those_of_all_pairs(parts, edits):
     lines = list(dict.fromkeys(map("".join, parts)))
-    few, linededup.FEW = linededup.FEW, 2
-    try:
-        got = linededup.link(lines, edits)
-    finally:
-        linededup.FEW = few
+    usual = linededup.FEW, linededup.MANY
+    for many in (2, 4_000):
+        linededup.FEW, linededup.MANY = 2, many
+        try:
+            got = linededup.link(lines, edits)
+        finally:
+            linededup.FEW, linededup.MANY = usual
+        same_as_all_pairs(lines, got, edits)
+
+
+def same_as_all_pairs(lines, got, edits):
     want = [(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines[:i]) if edit_distance(x, y) <= edits]
     assert classes(got, len(lines)) == classes(want, len(lines))
     assert all(edit_distance(lines[i], lines[j]) <= edits for i, j in got)
@@ -169,3 +175,21 @@ def test_a_document_of_many_repeated_lines(spark):
     lines = [f"line {i}" for i in range(60_000)]
     rows = [(1, "\n".join(lines), "en", "s", 0), (2, "\n".join([*lines, "new"]), "en", "s", 0)]
     assert got(linededup.dedup_lines(frame(spark, rows))) == [(1, rows[0][1]), (2, "new")]
+
+
+def test_near_copies_of_one_long_line():
+    rng = random.Random(5)
+    base = sentence(rng, 40).split()
+    lines = set()
+    while len(lines) < 2_500:
+        words = list(base)
+        for _ in range(rng.choice([1, 1, 2])):
+            words[rng.randrange(len(words))] = sentence(rng, 1)
+        lines.add(" ".join(words))
+    lines = sorted(lines)
+    begin = time.time()
+    got = linededup.link(lines)
+    assert time.time() - begin < 30
+    same = classes(got, len(lines))
+    for i in rng.sample(range(len(lines)), 25):
+        assert all(same[i] == same[j] for j, y in enumerate(lines) if linededup.within(lines[i], y, 2))

@@ -13,8 +13,9 @@ class (by doc_id, then line number) goes.
    key's first line, within each batch first, so a frequent key is posted once a batch;
    that is a candidate group, not a list of pairs.
 3. A candidate group's texts come together once, large groups as pairs of blocks.  Pairs
-   that meet under a segment there, and under segments of what is left of the lines where
-   many do, are verified by banded bit-parallel edit distance.
+   not linked yet whose character counts differ little enough in every window (an edit
+   changes a window's counts by two at most), or that are equal after deletions where
+   little is left between common ends, are verified by banded bit-parallel edit distance.
 
 Defined results: lines of white space only stay, and no line shorter than
 ``MIN_CHARS`` is linked to another text; rows with a null doc_id or a null text take no part and stay as they are;
@@ -44,9 +45,11 @@ MIN_CHARS = 20
 #: Characters of one block of a candidate group, and postings of one packed part.
 GROUP_CHARS = 1_000_000
 PART_POSTINGS = 1_000_000
-#: Lines of a group that are compared pair by pair, and characters of one that are compared by
-#: what is left of it after deletions.
-FEW, SHORT = 48, 12
+#: Lines of a group that are paired as they are; characters between common ends up to which lines
+#: are paired by remains of deletions; lines of a group that is first cut by shared segments.
+FEW, SHORT, MANY = 48, 12, 4_000
+#: Windows of a line and kinds of characters counted in each.
+WINDOWS, KINDS = 4, 16
 #: Characters whose postings a task makes at once.
 BATCH_CHARS = 1_500_000
 
@@ -337,12 +340,23 @@ def link(lines: list[str], edits: int = EDITS) -> list[tuple[int, int]]:
     return found
 
 
-def _meetings(ids: list[int], texts: list[str], edits: int, root):
+def _counts(texts: list[str]) -> np.ndarray:
+    """(window, text, kind): how often each kind of character stands in each window of the texts."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    of = np.repeat(np.arange(len(texts)), lengths)
+    inside = np.arange(len(chars)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    window = inside // max(-(-int(lengths.max()) // WINDOWS), 1)
+    at = (window * len(texts) + of) * KINDS + chars % KINDS
+    found = np.bincount(at, minlength=WINDOWS * len(texts) * KINDS)
+    return np.minimum(found, 1 << 13).astype(np.int16).reshape(WINDOWS, len(texts), KINDS)
+
+
+def _meetings(ids: list[int], texts: list[str], edits: int, root, cuts: int = 3):
     """Pairs of ids, every pair within ``edits`` that is not connected by then among them.
 
-    Few lines are all paired.  Common ends of many are cut off first; what is left is paired
-    under equal remains of deletions if it is short, else under its segments, where lines that
-    share one go on with the rest of their texts (a mark in the segment's place).
+    Up to ``cuts`` times the lines of a large group that share a segment go on by themselves with
+    the rest of their texts (a mark in the segment's place).
     """
     if len(set(map(root, ids))) < 2:
         return
@@ -355,31 +369,42 @@ def _meetings(ids: list[int], texts: list[str], edits: int, root):
     ends = [t[start:][::-1] for t in texts]
     end = len(os.path.commonprefix([min(ends), max(ends)]))
     texts = [t[end:][::-1] for t in ends]
-    groups: dict[object, list[tuple[int, str, bool]]] = defaultdict(list)
     if max(map(len, texts)) <= SHORT:
+        yield from _equal_remains(ids, texts, edits, root)
+    elif cuts and len(ids) > MANY:
+        groups: dict[int, list[tuple[int, str, bool]]] = defaultdict(list)
         for i, t in zip(ids, texts):
-            for n in range(min(edits, len(t)) + 1):
-                for gone in combinations(range(len(t)), n):
-                    groups["".join(c for k, c in enumerate(t) if k not in gone)].append((i, "", True))
-        # the longest remains first: they link most, and linked lines need no comparing
-        for same in sorted(groups, key=len, reverse=True):
-            alone = {}
-            members = groups.pop(same)
-            if len(members) > 1:
-                for i, _, _ in members:
-                    alone.setdefault(i, root(i))
-                for a, b in combinations(alone, 2):
-                    if alone[a] != alone[b]:
-                        yield a, b
-        return
+            for n, part, at, size, own in probes(len(t), edits):
+                if n >= 0 and at + size <= len(t):
+                    groups[hash((n, part, t[at : at + size]))].append((i, t[:at] + "\uffff" + t[at + size :], own))
+        while groups:
+            _, members = groups.popitem()
+            if len({i for i, _, _ in members}) > 1 and any(own for _, _, own in members):
+                yield from _meetings([i for i, _, _ in members], [t for _, t, _ in members], edits, root, cuts - 1)
+    else:
+        counts = _counts(texts)
+        for k in range(len(ids) - 1):
+            near = np.arange(k + 1, len(ids))
+            for window in counts:
+                near = near[np.abs(window[near] - window[k]).sum(1) <= 2 * edits]
+            for j in near.tolist():
+                yield ids[k], ids[j]
+
+
+def _equal_remains(ids: list[int], texts: list[str], edits: int, root):
+    """Pairs of ids whose short texts are equal after up to ``edits`` deletions in each."""
+    groups: dict[str, dict[int, None]] = defaultdict(dict)
     for i, t in zip(ids, texts):
-        for n, part, at, size, own in probes(len(t), edits):
-            if at + size <= len(t) and n >= 0:
-                groups[hash((n, part, t[at : at + size]))].append((i, t[:at] + "\uffff" + t[at + size :], own))
-    while groups:
-        _, members = groups.popitem()
-        if len({i for i, _, _ in members}) > 1 and any(own for _, _, own in members):
-            yield from _meetings([i for i, _, _ in members], [t for _, t, _ in members], edits, root)
+        for n in range(min(edits, len(t)) + 1):
+            for gone in combinations(range(len(t)), n):
+                groups["".join(c for k, c in enumerate(t) if k not in gone)][i] = None
+    # the longest remains first: they link most, and linked lines need no comparing
+    for same in sorted(groups, key=len, reverse=True):
+        members = {i: root(i) for i in groups.pop(same)}
+        if len(set(members.values())) > 1:
+            for a, b in combinations(members, 2):
+                if members[a] != members[b]:
+                    yield a, b
 
 
 def links(docs: DataFrame, firsts: DataFrame, n_lines: int, edits: int = EDITS) -> DataFrame:
