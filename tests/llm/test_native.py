@@ -33,19 +33,26 @@ def anchors(text):
     h = [spark_hash([t.encode()]) for t in TOKEN.findall(text.lower())]
     inner = [spark_hash(h[i : i + 2]) for i in range(len(h) - 1)]
     chosen = [i for i in range(len(h) - 4) if min(inner[i : i + 4]) in (inner[i], inner[i + 3])]
-    keep = lambda x: (x & (1 << 64) - 1) >> 24
+    keep = lambda x: (x & (1 << 64) - 1) >> 26
     if chosen:
         return [(i, keep(spark_hash(h[i : i + 5]))) for i in chosen]
     return [(0, keep(spark_hash(h)))] if h else []
 
 
-def sketch(text):
-    return sorted({x for _, x in anchors(text)})[:64]
+def fingerprint(text):
+    packed = sorted(x << 25 | i for i, x in anchors(text))
+    smallest = sorted({x for _, x in anchors(text)})[:64]
+    whole = [spark_hash(packed) if packed else 42, spark_hash([1, *packed])]
+    return "".join(f"{x & (1 << 64) - 1:016x}" for x in whole) + "".join(f"{x:010x}" for x in smallest)
 
 
 def likeness(a, b):
-    both = sorted(set(a) | set(b))[:64]
-    return len(set(both) & set(a) & set(b)) / len(both) if both else 1.0
+    """First places of all hashes; those near the shift that most of them share match."""
+    a, b = ({x: i for i, x in reversed(anchors(t))} for t in (a, b))
+    shifts = [b[x] - a[x] for x in a.keys() & b.keys()]
+    common = min(shifts, key=lambda s: (-shifts.count(s), s), default=0)
+    matched = sum(abs(s - common) <= 32 for s in shifts)
+    return matched / (len(a) + len(b) - matched) if a or b else 1.0
 
 
 def expected_prints(rows):
@@ -55,9 +62,8 @@ def expected_prints(rows):
     for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
         half = len(text) // 2
         edited = text[: len(text) - half] + after[:half]
-        s, e, n = sketch(text), sketch(edited), sketch(after)
-        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), "".join(f"{x:010x}" for x in s),
-                    "".join(f"{x:010x}" for x in e), likeness(s, e), likeness(s, n)))
+        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), fingerprint(text),
+                    fingerprint(edited), likeness(text, edited), likeness(text, after)))
     return sorted(out, key=str)
 
 
@@ -95,14 +101,29 @@ def test_anchors_do_not_depend_on_context(spark):
     assert shifts == {40}
 
 
-def test_same_place_counts_matches_in_place(spark):
-    rng = random.Random(8)
-    a, b = sentence(rng, 50), sentence(rng, 50)
-    df = spark.createDataFrame([(a, a + " " + b, b + " " + a)], "a string, b string, c string")
-    for c, n in (("a", "x"), ("b", "y"), ("c", "z")):
-        df = syncmers.with_anchors(df, c, n)
-    r = df.select(syncmers.same_place("x", "y").alias("same"), syncmers.same_place("x", "z").alias("moved"), F.size("x").alias("n")).first()
-    assert r.same == r.n and r.moved == 0
+def compared(spark, a, b):
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    for c, n in (("a", "x"), ("b", "y")):
+        df = syncmers.with_places(syncmers.with_anchors(df, c, f"{n}_anchors"), f"{n}_anchors", n)
+    df = syncmers.with_likeness(df, "x", "y", "like")
+    return df.select("like", syncmers.fingerprint("x").alias("x"), syncmers.fingerprint("y").alias("y")).first()
+
+
+def test_likeness_falls_with_moved_passages(spark):
+    words = [f"w{i}" for i in range(20_000)]
+    text = " ".join(words)
+    swapped = compared(spark, text, " ".join(words[10_000:] + words[:10_000]))
+    assert swapped.x != swapped.y and 0.3 < swapped.like < 0.36
+    moved = compared(spark, text, " ".join(words[:2_000] + words[4_000:] + words[2_000:4_000]))
+    assert moved.x != moved.y and 0.6 < moved.like < 0.7
+    one = compared(spark, text, " ".join(words[:9_000] + ["other"] + words[9_001:]))
+    assert one.x != one.y and 0.99 < one.like < 1
+    put_in = compared(spark, text, " ".join(["a", "few", "more"] + words))
+    assert put_in.x != put_in.y and put_in.like > 0.99
+    within = compared(spark, text, " ".join(words[:10_000] + ["a", "few", "more"] + words[10_000:]))
+    assert within.like > 0.99
+    repeated = compared(spark, "one line of the text again " * 3_000, "one line of the text again " * 3_000)
+    assert repeated.x == repeated.y and repeated.like == 1.0
 
 
 # --- licences ----------------------------------------------------------------

@@ -4,18 +4,25 @@ A text is a sequence of tokens: single ideographs or kana, and runs of other
 characters between white space, in lower case.  A run of ``K`` tokens is an anchor
 when the smallest hash among its inner runs of ``S`` tokens stands at its first or
 last place (a closed syncmer).  Whether a run is chosen depends on that run alone, so
-equal passages give equal anchors whatever stands around them.  The fingerprint keeps
-the ``SKETCH`` smallest anchor hashes; likeness is the share of common hashes among
-the smallest ones of both.
+equal passages give equal anchors whatever stands around them.
+
+The fingerprint is made of all anchors and their places: 32 hex digits over the whole
+sequence, which differ as soon as one anchor or place does, and after them the
+``SKETCH`` smallest hashes, for comparisons outside of this module.  Likeness compares
+all anchors of two texts by place: each distinct hash counts once, with its first
+place; the shift that most common hashes share is the texts' common shift, and those
+within ``DRIFT`` tokens of it match.  Likeness is the share of matching hashes among all
+of both, so a passage that moved away counts as lost, and a few words put in do not.
 
 Only DataFrame functions; the one shuffle of texts brings each document beside the
 next one.
 
-Defined results: a null text is the empty text, its fingerprint is empty and alike
+Defined results: a null text is the empty text, its fingerprint has no hashes and is alike
 (1.0) only to another empty one; a text without any chosen run has one anchor, its
-whole sequence; rows without an id come last, and rows that repeat an id are ordered
-by a hash of their text; a table of one row has itself as next; an empty table
-gives an empty table; extra columns are ignored.
+whole sequence; places count modulo 2^24 tokens; of several shifts that equally many
+hashes share the smallest is the common one; rows without an id come last, and rows
+without an id or that repeat one are ordered by a hash of their text; a table of one
+row has itself as next; an empty table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +32,12 @@ from pyspark.sql import functions as F
 
 K, S = 5, 2
 SKETCH = 64
-#: Bits of an anchor hash kept, and hex digits that hold them.
-BITS, DIGITS = 40, 10
+#: Matching anchors may stand this many tokens off the common shift.
+DRIFT = 32
+#: Bits of an anchor hash kept, hex digits that hold them, and bits of a place.
+BITS, DIGITS, PLACE_BITS = 38, 10, 24
+#: Bytes of text, and rows, that a range of neighbouring ids holds at about.
+RANGE_BYTES, RANGE_ROWS = 128 << 20, 200_000
 TOKEN = (
     r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]"
     r"|[^\x20\x09-\x0D\p{IsHan}\p{IsHiragana}\p{IsKatakana}]+"
@@ -69,36 +80,66 @@ def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     ).drop(h, a, at)
 
 
-def sketch(anchors: str) -> Column:
-    """The smallest distinct anchor hashes, ascending."""
-    return F.slice(F.sort_array(F.array_distinct(F.col(anchors)["hash"])), 1, SKETCH)
+def _hash_of(packed: Column) -> Column:
+    return F.shiftright(packed, PLACE_BITS + 1)
+
 
+def _place_of(packed: Column) -> Column:
+    return packed.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
 
-def fingerprint(sketch: str) -> Column:
-    """The sketch as text: ``DIGITS`` hex digits for each hash."""
-    return F.array_join(F.transform(sketch, lambda x: F.lpad(F.lower(F.hex(x)), DIGITS, "0")), "")
 
+def with_places(df: DataFrame, anchors: str, name: str) -> DataFrame:
+    """``df`` with ``name``_all, the anchors packed into longs (hash, a free bit, place) in ascending
+    order, and ``name``, the first of them for each hash."""
+    packed = F.transform(anchors, lambda x: F.shiftleft(x["hash"], PLACE_BITS + 1).bitwiseOR(_place_of(x["pos"].cast("long"))))
+    every = f"{name}_all"
+    df = df.withColumn(every, F.sort_array(packed))
+    return df.withColumn(name, F.filter(every, lambda x, i: (i == 0) | (_hash_of(F.get(every, i - 1)) != _hash_of(x))))
 
-def likeness(a: str, b: str) -> Column:
-    """Share of common hashes among the smallest of two sketches, 0 to 1."""
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(F.array_intersect(both, F.col(a)), F.col(b)))
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(common / F.size(both))
 
+def fingerprint(name: str) -> Column:
+    """All anchors with their places as 32 hex digits, then the smallest hashes."""
 
-def same_place(a: str, b: str) -> Column:
-    """Number of anchors that two texts have at the same place."""
+    def digits(x, n):
+        return F.lpad(F.lower(F.hex(x)), n, "0")
 
-    def placed(c):
-        return F.transform(c, lambda x: F.xxhash64(x["pos"], x["hash"]))
+    every = F.col(f"{name}_all")
+    smallest = F.transform(F.slice(name, 1, SKETCH), lambda x: digits(_hash_of(x), DIGITS))
+    whole = F.concat(digits(F.xxhash64(every), 16), digits(F.xxhash64(F.lit(1).cast("long"), every), 16))
+    return F.concat(whole, F.array_join(smallest, ""))
 
-    return F.size(F.array_intersect(placed(a), placed(b))).cast("long")
 
+def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """``df`` with the likeness of two texts' anchors (columns of ``with_places``), 0 to 1.
 
-def _bucket(doc_id: Column, bounds: list[int]) -> Column:
-    """Number of bounds at or below the id, by bisection; rows without an id come last."""
+    Both sides are sorted together, so a common hash is two neighbours; the shifts, sorted,
+    stand in runs, and the longest run is the common shift.
+    """
+    c, t, starts, mode = (f"{name}__{x}" for x in ("c", "t", "starts", "mode"))
+    other = F.transform(b, lambda x: x.bitwiseOR(F.lit(1 << PLACE_BITS)))
+    df = df.withColumn(c, F.sort_array(F.concat(a, other)))
+    met = F.filter(
+        F.transform(c, lambda x, i: F.when(
+            (i > 0) & (_hash_of(F.get(c, i - 1)) == _hash_of(x)), _place_of(x) - _place_of(F.get(c, i - 1)))),
+        lambda x: x.isNotNull(),
+    )
+    df = df.withColumn(t, F.sort_array(met))
+    edges = F.filter(F.transform(t, lambda x, i: F.when((i == 0) | (F.get(t, i - 1) != x), i)), lambda i: i.isNotNull())
+    df = df.withColumn(starts, edges)
+    runs = F.transform(starts, lambda s, k: F.struct(
+        (F.coalesce(F.get(starts, k + 1), F.size(t)) - s).alias("n"), (-F.get(t, s)).alias("shift")))
+    df = df.withColumn(mode, -F.array_max(runs)["shift"])
+    matched = F.size(F.filter(t, lambda x: F.abs(x - F.col(mode)) <= DRIFT))
+    either = F.size(a) + F.size(b) - matched
+    return df.withColumn(name, F.when(either == 0, F.lit(1.0)).otherwise(matched / either)).drop(c, t, starts, mode)
+
+
+def _bucket(doc_id: Column, bounds: list[int], null_bits: int) -> Column:
+    """Number of bounds at or below the id, by bisection; rows without an id come last,
+    in 2^``null_bits`` ranges of their text's hash."""
+    nameless = len(bounds) + 1 + F.shiftright(F.xxhash64("text"), 64 - null_bits) + (1 << null_bits - 1)
     if not bounds:
-        return F.when(doc_id.isNull(), 1).otherwise(0)
+        return F.when(doc_id.isNull(), nameless).otherwise(0)
     table = F.lit(bounds)
     start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
 
@@ -110,29 +151,26 @@ def _bucket(doc_id: Column, bounds: list[int]) -> Column:
         )).otherwise(s)
 
     found = F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length())), start, halve)["lo"]
-    return F.when(doc_id.isNull(), len(bounds) + 1).otherwise(found)
+    return F.when(doc_id.isNull(), nameless).otherwise(found)
 
 
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` with a struct column ``next`` of ``columns`` of the next row by doc_id.
 
-    Rows are dealt into ranges of ids, as many as there are shuffle partitions; inside a
-    range the next row is a window away, and a range's last row gets the first row
-    of the next range, or of the first one after the last.
+    Rows are dealt into ranges of ids, as many as their rows and bytes ask for and at least
+    one for each shuffle partition; inside a range the next row is a window away, and a
+    range's last row gets the first row of the next range, or of the first one after the last.
     """
-    spark = docs.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ids = docs.select("doc_id")
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()
+    n = max(1, least, -(-rows // RANGE_ROWS), -(-size // RANGE_BYTES))
+    null_bits = max(1, n.bit_length())
     fractions = [i / n for i in range(1, n)]
-    found = (
-        ids.agg(F.percentile_approx("doc_id", fractions, 20 * n)).first()[0] if fractions else None
-    )
+    found = docs.agg(F.percentile_approx("doc_id", fractions, 20 * n)).first()[0] if fractions else None
     bounds = sorted(set(found or []))
-    spread = docs.withColumn("bucket", _bucket(F.col("doc_id"), bounds).cast("int"))
+    spread = docs.withColumn("bucket", _bucket(F.col("doc_id"), bounds, null_bits).cast("int"))
     # the first id of each range that has rows: one small row for each range
-    starts = ids.withColumn("bucket", _bucket(F.col("doc_id"), bounds).cast("int")).groupBy("bucket").agg(
-        F.min("doc_id").alias("first_id")
-    )
+    starts = spread.groupBy("bucket").agg(F.min("doc_id").alias("first_id"))
     order = Window.orderBy("bucket")
     ring = starts.select(
         F.col("bucket").alias("head"), "first_id",
@@ -159,17 +197,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     points of the next document, or all of them if there are fewer.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = with_anchors(rows, "text", "anchors").withColumn("sketch", sketch("anchors")).drop("anchors")
-    near = with_next(own, ["text", "sketch"])
+    near = with_next(rows, ["text"])
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
-    near = near.select(
-        "doc_id", n.cast("long").alias("n_chars"), "text", "sketch", F.col("next.sketch").alias("next_sketch"),
+    texts = near.select(
+        "doc_id", n.cast("long").alias("n_chars"), "text", F.col("next.text").alias("after"),
         F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half)).alias("edited"),
     )
-    both = with_anchors(near, "edited", "edited_anchors").withColumn("edited_sketch", sketch("edited_anchors"))
-    return both.select(
+    for text, name in (("text", "own"), ("after", "next"), ("edited", "changed")):
+        texts = with_places(with_anchors(texts, text, f"{name}_anchors"), f"{name}_anchors", name).drop(f"{name}_anchors")
+    texts = with_likeness(with_likeness(texts, "own", "changed", "near_edited"), "own", "next", "near_next")
+    return texts.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint("sketch").alias("fingerprint"), fingerprint("edited_sketch").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch").alias("near_edited"), likeness("sketch", "next_sketch").alias("near_next"),
+        fingerprint("own").alias("fingerprint"), fingerprint("changed").alias("edited_fingerprint"),
+        "near_edited", "near_next",
     )
