@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tripmart import tables
 from tripmart.functions import months as M
 from tripmart.lake import Lake
-from tripmart.operators import checks, gold, landing, published, serving, silver
+from tripmart.operators import checks, gold, landing, ledgers, published, serving, silver
 from tripmart.operators.contract import ContractError
 from tripmart.plans import publish
 from tripmart.session import configure
@@ -88,16 +88,16 @@ def _landing(spark: SparkSession, lake: Lake, args) -> int:
     """One landing decision run: outcomes, size check, next ledger version."""
     excused = tuple(int(x) for x in args.excusados.split(",") if x.strip())
     listing = spark.read.parquet(args.listing)
-    ledger = landing.current_ledger(spark, lake.landing())
+    ledger = ledgers.state(spark, lake.landing(), landing.LEDGER_SCHEMA)
     classified = landing.classify(listing, ledger, args.forzar, excused)
     counts = {r["resultado"]: r["n"] for r in landing.outcome_counts(classified).collect()}
     out = {"resultados": counts}
     if args.llegados:
         verified = landing.verify_sizes(classified, landed_files(spark, args.llegados))
         out["incompletos"] = verified.where(~F.col("completo")).count()
-        version = landing.write_ledger_version(spark, landing.next_ledger(ledger, verified), lake.landing())
+        version = ledgers.append(spark, landing.accepted(verified), lake.landing())
         out["version"] = version
-        out["ledger"] = landing.current_ledger(spark, lake.landing()).count()
+        out["ledger"] = ledgers.state(spark, lake.landing(), landing.LEDGER_SCHEMA).count()
     _print(out)
     return 1 if counts.get(landing.ERROR) or out.get("incompletos") else 0
 

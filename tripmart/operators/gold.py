@@ -16,6 +16,9 @@ from tripmart.functions.flags import FLAG_NAMES, MONTH, duration_seconds, is_cle
 from tripmart.lake import CANARY_NAME, NAMED_MART, Lake, drop_months, month_folders, read_months, table_exists
 from tripmart.operators.zones import with_zone_names
 
+# Rows of a row group of the mart, about twenty zones of a month, and the writer's option for it.
+ROW_GROUP_ROWS, ROW_GROUP_OPTION = 512, "parquet.block.row.count.limit"
+
 GRAIN = (MONTH, "pu_location_id", "hora")
 MART_COLUMNS = (*GRAIN, "viajes", "ingreso", "distancia_total", "duracion_media_seg")
 
@@ -55,8 +58,10 @@ def aggregate(rows: DataFrame) -> DataFrame:
 
 def _write(m: DataFrame, path: str, dynamic: bool) -> None:
     # The aggregate is bounded by months x zones x hours; one task per month is
-    # small by construction, and keeps one file per month partition.
-    writer = m.repartition(F.col(MONTH)).write.mode("overwrite").partitionBy(MONTH)
+    # small by construction, and keeps one file per month partition. A file is sorted by
+    # the grain and cut into small row groups, so a filter by zone skips nearly all of them.
+    clustered = m.repartition(F.col(MONTH)).sortWithinPartitions(*GRAIN)
+    writer = clustered.write.mode("overwrite").partitionBy(MONTH).option(ROW_GROUP_OPTION, ROW_GROUP_ROWS)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

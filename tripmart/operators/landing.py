@@ -26,6 +26,9 @@ ERROR = "error"
 # (the zone catalogue) excuse none, which is the default.
 TRIPS_NOT_PUBLISHED = (403, 404)
 # ---------------------------------------------------------------------------
+# How an object differs from the last listing.
+NEW, CHANGED, REMOVED = "nuevo", "cambiado", "quitado"
+LISTING_SCHEMA = "key string, length bigint, modified timestamp, cambio string, gone boolean"
 LEDGER_SCHEMA = "key string, etag string, size bigint, landed_at timestamp_ntz"
 
 
@@ -89,15 +92,46 @@ def verify_sizes(classified: DataFrame, landed: DataFrame) -> DataFrame:
     )
 
 
-def next_ledger(ledger: DataFrame, verified: DataFrame, landed_at: Column | None = None) -> DataFrame:
-    """The new ledger version: old entries of untouched keys plus accepted
-    transfers, which record the *source* marker and the declared size."""
+def verify_changed(classified: DataFrame, changes: DataFrame) -> DataFrame:
+    """L5 for what arrived since the last listing: ``changes`` of ``listing_changes``.
+
+    A key without a new or changed file is left out: it was checked when it arrived.
+    """
+    arrived = changes.where(F.col("cambio") != REMOVED)
+    return verify_sizes(classified.join(arrived.select("key"), "key", "left_semi"), arrived)
+
+
+def listing_changes(now: DataFrame, before: DataFrame) -> DataFrame:
+    """(key, length, modified, cambio, gone): the objects of two listings that differ.
+
+    An object is the same if its length and its modification time are; a rewritten one of
+    equal length has a later time. ``gone`` marks objects that are listed no more.
+    """
+    old = before.select(F.col("key"), F.col("length").alias("old_length"), F.col("modified").alias("old_modified"),
+                        F.lit(True).alias("known"))
+    both = now.select("key", "length", "modified", F.lit(True).alias("listed")).join(old, "key", "full_outer")
+    same = F.col("length").eqNullSafe(F.col("old_length")) & F.col("modified").eqNullSafe(F.col("old_modified"))
+    change = (
+        F.when(F.col("known").isNull(), NEW).when(F.col("listed").isNull(), REMOVED).when(~same, CHANGED)
+    )
+    return both.select("key", "length", "modified", change.alias("cambio"), F.col("listed").isNull().alias("gone")).where(
+        F.col("cambio").isNotNull()
+    )
+
+
+def accepted(verified: DataFrame, landed_at: Column | None = None) -> DataFrame:
+    """The ledger entries of accepted transfers: the *source* marker and the declared size."""
     landed_at = F.current_timestamp().cast("timestamp_ntz") if landed_at is None else landed_at
-    accepted = verified.where(F.col("completo")).select(
+    return verified.where(F.col("completo")).select(
         "key", "etag", F.col("declared_size").alias("size"), landed_at.alias("landed_at")
     )
-    kept = ledger.join(accepted.select("key"), "key", "left_anti")
-    return kept.unionByName(accepted)
+
+
+def next_ledger(ledger: DataFrame, verified: DataFrame, landed_at: Column | None = None) -> DataFrame:
+    """The new ledger version: old entries of untouched keys plus accepted transfers."""
+    new = accepted(verified, landed_at)
+    kept = ledger.join(new.select("key"), "key", "left_anti")
+    return kept.unionByName(new)
 
 
 def ledger_versions(spark: SparkSession, root: str) -> list[int]:

@@ -18,13 +18,13 @@ from tripmart import tables
 from tripmart.functions.flags import FLAG_NAMES, MONTH, any_flag
 from tripmart.functions.months import Month
 from tripmart.lake import Lake, list_dirs, read_months, table_exists
-from tripmart.operators import checks, gold, landing, profile, published, serving, silver, zones
+from tripmart.operators import checks, gold, landing, ledgers, profile, published, serving, silver, zones
 from tripmart.plans import publish, reports
 from tripmart.session import configure, scratch
 from tripmart.operators.contract import FILE_MONTH
 from tripmart.sources import fixtures
 from tripmart.sources import zones as zone_source
-from tripmart.sources.landed import landed_files
+from tripmart.sources.landed import changed_files, landed_files
 from tripmart.streaming import arrivals, changelog, hourly
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -326,6 +326,27 @@ def q_landing_files(spark, sf_dir):
     return classified.join(ledger, "key", "left").select("key", "resultado", "marca", "size")
 
 
+def q_landing_changes(spark, sf_dir):
+    """L5, L6 by differences: files listed in three runs. Every third
+    source gets more lines after the first run, and nothing happens before the last."""
+    root = scratch(configure(spark), "landing-changes")
+    lines = fixtures.table(spark, sf_dir, "documents").select("source", F.md5("text").alias("value"))
+    more = lines.where(F.regexp_extract("source", "[0-9]+", 0).cast("int") % 3 == 0)
+    found = []
+    for run, landed in enumerate((lines, more, None), start=1):
+        if landed is not None:
+            landed.write.mode("append").partitionBy("source").text(f"{root}/files")
+        files = landed_files(spark, f"{root}/files", "*.txt").groupBy(
+            F.regexp_extract("key", "source=([^/]+)/", 1).alias("key")
+        ).agg(F.sum("length").alias("length"), F.max("modified").alias("modified"))
+        found.append(changed_files(spark, files, f"{root}/snapshots").select(
+            F.lit(f"corrida {run}").alias("corrida"), "key", "cambio", "length"))
+    state = ledgers.state(spark, f"{root}/snapshots", landing.LISTING_SCHEMA)
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(
+        state.select(F.lit("estado").alias("corrida"), "key", F.lit(None).cast("string").alias("cambio"), "length")
+    )
+
+
 def _classified(spark, sf_dir, forced=False):
     configure(spark)
     return landing.classify(
@@ -612,6 +633,7 @@ QUERIES: dict[str, Query] = {
     "raw_single_files": q_raw_single_files,
     "landing_errors": q_landing_errors,
     "landing_files": q_landing_files,
+    "landing_changes": q_landing_changes,
     "tests_that_fail": q_tests_that_fail,
     "income_text": q_income_text,
     "income_text_other_scale": q_income_text_other_scale,

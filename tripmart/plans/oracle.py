@@ -319,6 +319,13 @@ SELECT source AS key, CASE WHEN bad THEN 'descargado' ELSE 'ya_presente' END AS
        CASE WHEN NOT bad THEN md5(CAST(n AS VARCHAR)) END AS marca, CASE WHEN NOT bad THEN n * 33 END AS size
 FROM (SELECT source, count(*) AS n, CAST(regexp_extract(source, '[0-9]+') AS INT) % 4 = 0 AS bad
       FROM documents GROUP BY source)""",
+        "landing_changes": """
+WITH s AS (
+  SELECT source AS key, count(*) AS n, CAST(regexp_extract(source, '[0-9]+') AS INT) % 3 = 0 AS more
+  FROM documents GROUP BY source)
+SELECT 'corrida 1' AS corrida, key, 'nuevo' AS cambio, n * 33 AS length FROM s
+UNION ALL SELECT 'corrida 2', key, 'cambiado', n * 66 FROM s WHERE more
+UNION ALL SELECT 'estado', key, NULL, CASE WHEN more THEN n * 66 ELSE n * 33 END FROM s""",
         "tests_that_fail": with_mart(
             "SELECT 'zona repetida' AS caso, 'grain_unique' AS prueba, count(*) AS sujetos, 2 * count(*) AS violaciones "
             "FROM mart WHERE pu_location_id = 5 HAVING count(*) > 0 "

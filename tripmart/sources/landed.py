@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.operators import landing, ledgers
+
 
 def landed_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """(key, length, modified) for every file below ``root``.
@@ -28,3 +30,13 @@ def landed_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFram
         F.col("modificationTime").alias("modified"),
     )
 
+
+def changed_files(spark: SparkSession, files: DataFrame, snapshots: str) -> DataFrame:
+    """Which of ``files`` (key, length, modified) are new, changed or gone since the last call.
+
+    The difference is kept as a change set below ``snapshots`` and returned from there, so
+    it is what later calls compare with; unchanged objects are neither written nor returned.
+    """
+    before = ledgers.state(spark, snapshots, landing.LISTING_SCHEMA)
+    number = ledgers.append(spark, landing.listing_changes(files, before), snapshots)
+    return ledgers.changes_of(spark, snapshots, number)
