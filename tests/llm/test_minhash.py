@@ -157,3 +157,26 @@ def test_partners_of_different_blocks_meet_through_their_leaders(spark, monkeypa
         a, b = group[bytes(r.a)], group[bytes(r.b)]
         group = {k: b if g == a else g for k, g in group.items()}
     assert group[n1] == group[n2]
+
+
+def test_long_texts_are_sketched_in_small_parts():
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice("abcdefghij") + str(rng.randrange(10**6)) for _ in range(20_000)).encode()) for i in range(12)]
+    rows += [(100 + i, b"a few words") for i in range(600)]
+    parts = list(minhash._parts(iter(rows), minhash._Words(), minhash.WIDTH))
+    assert [i for part in parts for i, _ in part] == [i for i, _ in rows]
+    assert max(sum(len(s) for _, s in part) for part in parts) < minhash.SKETCH_SHINGLES + 20_000
+    assert max(map(len, parts)) <= minhash.SKETCH_SETS
+
+
+def test_the_query_bounds_the_batches_of_its_workers(spark):
+    from tripmart.llm import common, queries
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.unset(key)
+    try:
+        queries.op4_minhash_inverted(spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(key) == common.BATCH_BYTES
+    finally:
+        spark.conf.set(key, before)

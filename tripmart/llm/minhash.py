@@ -51,6 +51,8 @@ TIE = NEAR + MATCHES - COORDINATES
 MISS = 1e-7
 BLOCK = 4096
 GROUP_SHINGLES = 500_000
+#: Sets whose signature is taken at once: so many, or so many shingles and one set more.
+SKETCH_SETS, SKETCH_SHINGLES = 256, 100_000
 
 _MIX = np.random.default_rng(20240229).integers(1, 1 << 63, (2, COORDINATES), dtype=np.uint64) | np.uint64(1)
 _POWERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -73,7 +75,7 @@ class _Words(dict):
     """Hash of each word met; forgets when it grows past its bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -110,6 +112,19 @@ def signature(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _parts(rows, words: dict, width: int):
+    """(id, set) of (id, text) in lists of bounded size."""
+    part, size = [], 0
+    for doc_id, raw in rows:
+        part.append((doc_id, shingles(raw, words, width)))
+        size += len(part[-1][1])
+        if len(part) >= SKETCH_SETS or size >= SKETCH_SHINGLES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def sketch(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, node, sig) of each row; node (128 bits) names the set, null if empty."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
@@ -120,13 +135,10 @@ def sketch(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
         def rows():
             for batch in batches_in:
-                ids = batch.column(0).to_pylist()
-                texts = utf8(batch.column(1))
-                for a in range(0, len(ids), 256):
-                    sets = [shingles(next(texts), words, width) for _ in ids[a : a + 256]]
-                    full = [s for s in sets if len(s)]
+                for part in _parts(zip(batch.column(0).to_pylist(), utf8(batch.column(1))), words, width):
+                    full = [s for _, s in part if len(s)]
                     sigs = iter(signature(full) if full else ())
-                    for doc_id, s in zip(ids[a : a + 256], sets):
+                    for doc_id, s in part:
                         if len(s):
                             yield doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), next(sigs).tobytes()
                         else:
@@ -280,11 +292,12 @@ def _confirm(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int,
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
         return [(1, 0)] if 100 * both >= percent * (lengths.sum() - both) else []
     vocabulary, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    flat = flat.astype(np.int32)  # at most two blocks of GROUP_SHINGLES, and a set more in each
     starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     label = np.arange(n)
     done = np.zeros(n, bool)
     links = []
-    mark = np.zeros(len(vocabulary), np.int64)
+    mark = np.zeros(len(vocabulary), np.int32)
     while True:
         # pairs inside one component need no test; those with a tested set are done
         open_ = label[~done]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from tripmart.llm import (
     bpe, embeddedup, filteraudit, licenses, linededup, minhash, mixing, quotes, syncmers, tokencount, topk, toxicity, turnrepair,
 )
-from tripmart.llm.common import table
+from tripmart.llm.common import lean, table
 
 
 def op1_toxicity(spark, sf_dir):
@@ -22,7 +22,7 @@ def op3_syncmers(spark, sf_dir):
 
 
 def op4_minhash_inverted(spark, sf_dir):
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(lean(spark), sf_dir, "documents"))
 
 
 def op5_byte_bpe(spark, sf_dir):
