@@ -9,6 +9,7 @@ from tests.conftest import SF_SMALL
 from tripmart.functions.flags import FLAG_NAMES, any_flag
 from tripmart.lake import Lake
 from tripmart.operators import checks, gold, profile, serving, silver
+from tripmart.plans import catalog
 from tripmart.session import scratch
 from tripmart.sources import fixtures
 
@@ -207,3 +208,9 @@ def test_publish_is_refused_when_the_staged_mart_fails_its_tests(spark):
 
     assert published.snapshot(spark, lake, "yellow").number == 0
     assert not list_dirs(spark, f"{lake.published('yellow')}/*/v=*")  # nothing staged stays behind
+
+
+def test_the_failing_data_tests_read_one_computed_mart(spark):
+    df = catalog.q_tests_that_fail(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Relation [l_orderkey") == 1  # clean silver rows of D6; the mart is read as kept

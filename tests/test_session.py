@@ -52,3 +52,9 @@ def test_cluster_settings_can_be_set(spark):
                 spark.conf.set(key, value)
             finally:
                 spark.conf.set(key, before)
+
+
+def test_configure_keeps_methods_within_what_hotspot_compiles(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(key, "65535")
+    assert configure(spark).conf.get(key) == "8000"

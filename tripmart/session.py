@@ -19,6 +19,14 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Pinned beside them for speed; no result depends on it. HotSpot never compiles a method of more
+# than 8,000 bytes, and a filter on flags that are computed in the same plan repeats their
+# expressions into one such method, which is then interpreted row by row. Above this size Spark
+# generates its operators one by one, in small methods.
+SPEED_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 
 # Recommended settings for a large cluster (pass with --conf to spark-submit).
 # Silver tasks each read and write one slice of one month; the only data-sized
@@ -41,9 +49,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings the semantics rely on; leave everything else alone.
 
     This changes the session given: its time zone becomes UTC, for plans built before
-    as well. Queries call it when they are built; keep the zone until they have run.
+    as well. Queries call it when they are built; keep the settings until they have run.
     """
-    for key, value in REQUIRED_CONF.items():
+    for key, value in (REQUIRED_CONF | SPEED_CONF).items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
