@@ -58,3 +58,37 @@ def test_configure_keeps_methods_within_what_hotspot_compiles(spark):
     key = "spark.sql.codegen.hugeMethodLimit"
     spark.conf.set(key, "65535")
     assert configure(spark).conf.get(key) == "8000"
+
+
+def test_months_are_written_side_by_side_and_the_setting_returns(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from tripmart import session
+    from tripmart.lake import Lake
+    from tripmart.operators import silver
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    seen, plain = [], DataFrameWriter.parquet
+
+    def recorded(self, *args, **kwargs):
+        seen.append(spark.conf.get(key))
+        return plain(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    monkeypatch.setattr(session, "OPEN_MONTHS", 2)  # the other months of a task are sorted
+    before = spark.conf.get(key)
+    month = F.format_string("2001-%02d", F.col("id") % 5 + 1)
+    rows = spark.range(0, 1000, 1, 1)
+    silver.write_months(rows.withColumn("mes", month), str(tmp_path / "table"))
+    raw = rows.withColumn("mes_archivo", month)
+    silver.land_raw(raw, Lake(str(tmp_path / "folders")))
+    months = silver.land_single_files(raw, Lake(str(tmp_path / "files")))
+    assert seen == ["2"] * 3 and spark.conf.get(key) == before
+    assert months == [f"2001-{i:02d}" for i in range(1, 6)]
+    for path in (tmp_path / "table", silver.Lake(str(tmp_path / "folders")).raw("yellow")):
+        got = spark.read.parquet(str(path)).select("id", "mes").collect()
+        assert sorted(map(tuple, got)) == [(i, f"2001-{i % 5 + 1:02d}") for i in range(1000)]
+    files = Lake(str(tmp_path / "files"))
+    for i, m in enumerate(months):
+        assert sorted(r.id for r in spark.read.parquet(files.raw_file("yellow", m)).collect()) == list(range(i, 1000, 5))

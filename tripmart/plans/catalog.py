@@ -210,7 +210,7 @@ def q_publish_corrupted(spark, sf_dir):
     rows = read_months(spark, staged.silver_path, [middle])
     other = f"{lake.root}/other"
     tip = (F.col("tip_amount") + 1).cast(rows.schema["tip_amount"].dataType)
-    rows.withColumn("tip_amount", tip).write.partitionBy(MONTH).parquet(other)
+    silver.write_months(rows.withColumn("tip_amount", tip), other)
     silver.write_months(read_months(spark, other, [middle]), staged.silver_path)
     try:
         publish.publish(spark, lake, staged)
