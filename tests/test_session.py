@@ -92,3 +92,43 @@ def test_months_are_written_side_by_side_and_the_setting_returns(spark, tmp_path
     files = Lake(str(tmp_path / "files"))
     for i, m in enumerate(months):
         assert sorted(r.id for r in spark.read.parquet(files.raw_file("yellow", m)).collect()) == list(range(i, 1000, 5))
+
+
+def test_landing_by_month_shuffles_into_few_enough_partitions_to_be_written_unsorted(spark, tmp_path, monkeypatch):
+    import re
+
+    from pyspark.sql import functions as F
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from tripmart.lake import Lake
+    from tripmart.operators import silver
+
+    dealt, plain = [], DataFrameWriter.parquet
+
+    def recorded(self, *args, **kwargs):
+        plan = self._df._jdf.queryExecution().executedPlan().toString()
+        dealt.extend(re.findall(r"hashpartitioning\(mes#\d+, (\d+)\)", plan))
+        return plain(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", recorded)
+    month = F.when(F.col("id") % 7 > 0, F.format_string("2001-%02d", F.col("id") % 7))
+    raw = spark.range(0, 1000, 1, 3).withColumn("mes_archivo", month)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        for n in ("400", "5"):
+            spark.conf.set(key, n)
+            lake = Lake(str(tmp_path / n))
+            silver.land_raw(raw, lake)
+            got = spark.read.parquet(lake.raw("yellow")).select("id", "mes").collect()
+            assert sorted(r.id for r in got) == list(range(1000))
+            assert all(r.mes == (f"2001-{r.id % 7:02d}" if r.id % 7 else None) for r in got)
+            files = Lake(str(tmp_path / f"files-{n}"))
+            months = silver.land_single_files(raw.where("mes_archivo IS NOT NULL"), files)
+            assert months == [f"2001-{i:02d}" for i in range(1, 7)]
+            for i, m in enumerate(months, start=1):
+                held = spark.read.parquet(files.raw_file("yellow", m)).collect()
+                assert sorted(r.id for r in held) == list(range(i, 1000, 7))
+        assert dealt == ["200", "200", "5", "5"]
+    finally:
+        spark.conf.set(key, before)

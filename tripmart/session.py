@@ -117,6 +117,20 @@ def months_side_by_side(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_WRITERS, before)
 
 
+# Most partitions of a shuffle that Spark writes row by row (its bypassMergeThreshold).
+MONTH_PARTITIONS = 200
+
+
+def month_partitions(spark: SparkSession) -> int:
+    """Partitions of a shuffle that deals rows out by month: the session's number, up to 200.
+
+    With more, a task keeps the rows of its split, about 210 bytes each, to sort them by partition.
+    Few tables have more months, and a month that is large for one task is split by
+    adaptive execution whatever the number.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), MONTH_PARTITIONS)
+
+
 class NoSharedFolder(RuntimeError):
     """A cluster session that names no folder all executors can reach."""
 
